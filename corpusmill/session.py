@@ -29,3 +29,22 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors, once a Spark application; needed where they don't have it installed."""
+    import tempfile
+    import zipfile
+    from pathlib import Path
+
+    context = spark.sparkContext
+    if getattr(context, "_corpusmill_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="corpusmill-")) / "corpusmill.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(package.rglob("*")):
+            if file.suffix in {".py", ".json", ".csv", ".txt"}:
+                out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._corpusmill_shipped = True
