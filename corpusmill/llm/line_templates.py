@@ -15,13 +15,27 @@ from corpusmill.llm.common import in_bitmap, key_bitmap, materialize, text_of
 #: Leading tokens of a leaf, documents from which something recurs, share of constant fields, and least tokens of a line.
 LEADING, DOCUMENTS, CONSTANT_SHARE, MIN_TOKENS = 2, 10, 0.5, 3
 VARIABLE = "<*>"
-SPLIT = r"[\x20\x09-\x0D]+"
 
 
-def _tokens(line: Column) -> Column:
-    """The tokens of a line, variable ones masked."""
-    plain = F.filter(F.split(line, SPLIT, -1), lambda t: t != "")
-    return F.transform(plain, lambda t: F.when(t.rlike("[0-9]"), VARIABLE).otherwise(t))
+def _masked_lines(text: Column) -> Column:
+    """The lines of a text with tokens parted by one space and tokens with a digit masked; lines without a token are empty.
+
+    Most texts have neither odd spaces nor digits; a plain search spares them the replacements.
+    """
+    odd = text.rlike(r"[\x09\x0B-\x0D]|\x20\x20|\n\x20|\x20\n|^\x20|\x20$")
+    tidy = F.regexp_replace(F.regexp_replace(text, r"[\x20\x09\x0B-\x0D]+", " "), r"(?:^|(?<=\n))\x20|\x20(?=\n|$)", "")
+    plain = F.when(odd, tidy).otherwise(text)
+    digits = F.regexp_replace(plain, r"[^\x20\n0-9]*+[0-9][^\x20\n]*+", VARIABLE)
+    return F.split(F.when(plain.rlike("[0-9]"), digits).otherwise(plain), "\n", -1)
+
+
+def _size(masked: Column) -> Column:
+    """Number of tokens of a masked line that has one."""
+    return F.char_length(masked) - F.char_length(F.replace(masked, F.lit(" "), F.lit(""))) + 1
+
+
+def _leaf(masked: Column, leading: int) -> Column:
+    return F.xxhash64(_size(masked), F.substring_index(masked, " ", leading))
 
 
 def _digest(masked: Column) -> Column:
@@ -50,23 +64,18 @@ def drop_templates(
     """
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     row_key = F.xxhash64("id", "text")
-    lines = rows.select(row_key.alias("row"), F.split("text", "\n", -1).alias("lines"))
-    tokens = lines.select("row", F.filter(F.transform("lines", _tokens), lambda t: F.size(t) >= 1).alias("lines"))
-    lead = lambda t: [F.coalesce(F.get(t, F.lit(i)), F.lit("")) for i in range(leading)]
-    described = tokens.select(
-        "row", F.transform("lines", lambda t: F.struct(F.size(t).alias("n"), F.xxhash64(F.size(t), *lead(t)).alias("leaf"), _digest(F.concat_ws(" ", t)).alias("line"))).alias("lines")
-    )
+    lines = rows.select(row_key.alias("row"), F.filter(_masked_lines(F.col("text")), lambda t: t != "").alias("lines"))
+    described = lines.select("row", F.transform("lines", lambda t: F.struct(_size(t).alias("n"), _leaf(t, leading).alias("leaf"), _digest(t).alias("line"))).alias("lines"))
     known = described.select("row", F.array_min(F.transform("lines", lambda x: x["line"])).alias("identity"), F.explode("lines").alias("x"))
-    known = known.where(F.col("x.n") >= min_tokens).select("row", "identity", "x.n", "x.leaf", "x.line")
+    known = known.where(F.col("x.n") >= min_tokens).select("row", "identity", "x.leaf", "x.line")
     table = materialize(known, "lines")
     leaves = table.groupBy("leaf", "identity").agg(F.lit(1).alias("one")).groupBy("leaf").count().where(F.col("count") >= documents).select("leaf")
     leaves = materialize(leaves, "leaves")
 
     # the tokens of each distinct line of a recurring leaf
-    texts = lines.select(F.explode("lines").alias("text")).select(_tokens(F.col("text")).alias("tokens")).where(F.size("tokens") >= min_tokens)
-    texts = texts.withColumn("leaf", F.xxhash64(F.size("tokens"), *lead(F.col("tokens"))))
+    texts = lines.select(F.explode("lines").alias("text")).where(_size(F.col("text")) >= min_tokens).withColumn("leaf", _leaf(F.col("text"), leading))
     texts = in_bitmap(texts, F.col("leaf"), key_bitmap(leaves.select(F.col("leaf").alias("key")), "key"), "open").where("open")
-    texts = texts.select("leaf", _digest(F.concat_ws(" ", "tokens")).alias("line"), "tokens").groupBy("leaf", "line").agg(F.first("tokens").alias("tokens"))
+    texts = texts.groupBy("leaf", "text").agg(F.lit(1).alias("one")).select("leaf", _digest(F.col("text")).alias("line"), F.split("text", " ", -1).alias("tokens"))
     texts = materialize(texts.join(leaves, "leaf", "left_semi"), "texts")
     holders = table.join(leaves, "leaf", "left_semi").select("leaf", "line", "identity").distinct()
     holders = materialize(holders, "holders")
@@ -99,15 +108,16 @@ def drop_templates(
     hits = materialize(hits, "hits")
     keyed = rows.withColumn("row", row_key)
     flagged = in_bitmap(keyed, F.col("row"), key_bitmap(hits.select(F.col("row").alias("key")), "key"), "open")
-    joined = flagged.where("open").join(hits, "row", "left").drop("open").unionByName(flagged.where(~F.col("open")).select("row", "id", "text").withColumn("gone", F.lit(None).cast("array<string>")))
-    parts = F.split("text", "\n", -1)
-    gone = lambda line: F.coalesce(F.array_contains("gone", _digest(F.concat_ws(" ", _tokens(line)))) & (F.size(_tokens(line)) >= min_tokens), F.lit(False))
-    stay = F.filter(parts, lambda x: ~gone(x))
-    changed = joined.withColumn("stay", F.when(F.col("gone").isNotNull(), stay))
+    # sorted and merged at every size: a plan that broadcasts small inputs would grow faster than the input
+    touched = flagged.where("open").join(hits.hint("merge"), "row", "left").select("id", "text", "gone")
+    rest = flagged.where(~F.col("open")).select("id", "text", F.lit(None).cast("array<string>").alias("gone"))
+    both = touched.unionByName(rest).select("id", "text", "gone", F.arrays_zip(F.split("text", "\n", -1).alias("line"), _masked_lines(F.col("text")).alias("masked")).alias("lines"))
+    leaves_it = lambda x: ~(F.array_contains("gone", _digest(x["masked"])) & (_size(x["masked"]) >= min_tokens))
+    changed = both.withColumn("stay", F.when(F.col("gone").isNotNull(), F.transform(F.filter("lines", leaves_it), lambda x: x["line"])))
     return changed.select(
         F.col("id").alias(id_col),
-        F.size(F.filter(parts, lambda x: F.regexp_replace(x, SPLIT, "") != "")).cast("long").alias("n_lines"),
-        F.when(F.col("gone").isNull(), 0).otherwise(F.size(parts) - F.size("stay")).cast("long").alias("n_dropped"),
+        F.size(F.filter("lines", lambda x: x["masked"] != "")).cast("long").alias("n_lines"),
+        F.when(F.col("gone").isNull(), 0).otherwise(F.size("lines") - F.size("stay")).cast("long").alias("n_dropped"),
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join("stay", "\n")).alias("text"),
     )
 
