@@ -6,6 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, also where the body uses it inside a lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
@@ -44,9 +49,8 @@ def filled_tokens(text: Column) -> Column:
 
 def ngrams(tokens: Column, n: int, least: int | None = None) -> Column:
     """Word n-grams joined by one space; none when there are fewer than ``least`` (or n) tokens."""
-    count = F.size(tokens)
-    grams = F.transform(F.sequence(F.lit(0), F.greatest(count - n, F.lit(0))), lambda i: F.array_join(F.slice(tokens, i + 1, n), " "))
-    return F.when(count >= max(n, least or n), grams).otherwise(F.array().cast("array<string>"))
+    grams = lambda t: F.transform(F.sequence(F.lit(0), F.greatest(F.size(t) - n, F.lit(0))), lambda i: F.array_join(F.slice(t, i + 1, n), " "))
+    return let(tokens, lambda t: F.when(F.size(t) >= max(n, least or n), grams(t)).otherwise(F.array().cast("array<string>")))
 
 
 def sha1_hash32(value: Column) -> Column:

@@ -30,11 +30,16 @@ def line_diff(old: str | None, new: str | None, fixed: bool = False) -> tuple[in
     return starts[0], ends[0], ends[0] - starts[0], starts[1], ends[1], ends[1] - starts[1], inserts, deletes, inserts + deletes
 
 
-@F.pandas_udf(DIFF)
-def diff_stats(old, new):
-    import pandas as pd
+def diff_stats(old: Column | str, new: Column | str) -> Column:
+    """``line_diff`` of two columns as a struct."""
 
-    return pd.DataFrame([line_diff(a, b) for a, b in zip(old, new, strict=True)], columns=list(DIFF_FIELDS))
+    @F.pandas_udf(DIFF)
+    def stats(a, b):
+        import pandas as pd
+
+        return pd.DataFrame([line_diff(x, y) for x, y in zip(a, b, strict=True)], columns=list(DIFF_FIELDS))
+
+    return stats(old, new)
 
 
 def words(subject: Column) -> Column:

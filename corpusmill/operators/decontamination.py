@@ -31,8 +31,8 @@ def substring_matches(docs: DataFrame, needles: DataFrame, id_col: str = "doc_id
     # words inside the needle are whole words of a text that holds it; split on single spaces keeps runs exact
     seeded = marked.where(long).withColumn("seed", F.array_join(F.slice("w", 2, seed_words), "\x1f")).drop("w")
     rows = docs.select(F.col(id_col).alias("id"), F.lower(F.coalesce(text_col, F.lit(""))).alias("t"))
-    words = F.split("t", r"\s", -1)
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - seed_words + 1, F.lit(1))), lambda i: F.array_join(F.slice(words, i, seed_words), "\x1f"))
+    places = lambda w: F.sequence(F.lit(1), F.greatest(F.size(w) - seed_words + 1, F.lit(1)))
+    runs = tx.let(F.split("t", r"\s", -1), lambda w: F.transform(places(w), lambda i: F.array_join(F.slice(w, i, seed_words), "\x1f")))
     seeds = seeded.select("seed").distinct()
     if seeds.count() <= BROADCAST_ROWS:  # then the runs of a text are tested where they are made
         seeds = F.broadcast(seeds)

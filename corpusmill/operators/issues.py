@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpusmill.functions.text import let
+
 #: Bot authors: fixed values. Keywords and suffixes are compared with the lower-case author, names as they are.
 BOT_KEYWORDS = ("[bot]", "botmanager", "bors-", "jenkins", "k8s-", "-test-", "travis")
 BOT_SUFFIXES = (
@@ -66,10 +68,13 @@ def without_bots(events: Column) -> Column:
 
 def masked(events: Column) -> Column:
     """Events whose authors, by first appearance, are username_0, username_1, ... in the author field and all texts."""
-    authors = F.array_distinct(F.transform(events, lambda e: e["author"]))
-    name = lambda a: F.concat(F.lit("username_"), (F.array_position(authors, a) - 1).cast("string"))
-    hide = lambda t: F.aggregate(authors, t, lambda acc, a: F.replace(acc, a, name(a)))
-    return F.transform(events, lambda e: F.struct(name(e["author"]).alias("author"), hide(e["text"]).alias("text")))
+
+    def renamed(authors: Column) -> Column:
+        name = lambda a: F.concat(F.lit("username_"), (F.array_position(authors, a) - 1).cast("string"))
+        hide = lambda t: F.aggregate(authors, t, lambda acc, a: F.replace(acc, a, name(a)))
+        return F.transform(events, lambda e: F.struct(name(e["author"]).alias("author"), hide(e["text"]).alias("text")))
+
+    return let(F.array_distinct(F.transform(events, lambda e: e["author"])), renamed)
 
 
 def size_of(events: Column) -> Column:

@@ -9,6 +9,7 @@ import tokenize
 from functools import lru_cache
 from html.parser import HTMLParser
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Characters a token that a language's text must reach: fixed values.
@@ -39,15 +40,14 @@ def visible_text(page: str) -> str:
     return "".join(parser.parts)
 
 
-@F.pandas_udf("boolean")
-def html_keeps(pages):
+def html_keeps(page: Column) -> Column:
     """Whether more than a fifth of a page, and more than 100 characters, is text; null and empty pages don't pass."""
 
     def keeps(page):
         text = visible_text(page or "")
         return len(text) > 100 and len(text) > 0.2 * len(page)
 
-    return pages.map(keeps)
+    return F.pandas_udf(lambda pages: pages.map(keeps).astype(bool), "boolean", F.PandasUDFType.SCALAR)(page)
 
 
 def python_comments(code: str) -> str:
@@ -79,8 +79,7 @@ def comment_chars(code: str, language: str) -> int:
     return sum(len(text) for kind, text in lexer.get_tokens(code) if kind in (Comment.Multiline, Comment.Single))
 
 
-@F.pandas_udf("double")
-def natural_language_ratio(code, language):
+def natural_language_ratio(code: Column, language: Column) -> Column:
     """Share of comments and docstrings in code; null for empty code."""
 
     def ratio(text, name):
@@ -88,9 +87,13 @@ def natural_language_ratio(code, language):
             return None
         return (len(python_comments(text)) if name == "python" else comment_chars(text, name)) / len(text)
 
-    import pandas as pd
+    @F.pandas_udf("double")
+    def ratios(codes, languages):
+        import pandas as pd
+
+        return pd.Series([ratio(t, n) for t, n in zip(codes, languages, strict=True)], dtype="float64")
 
-    return pd.Series([ratio(t, n) for t, n in zip(code, language, strict=True)], dtype="float64")
+    return ratios(code, language)
 
 
 @lru_cache(maxsize=2)

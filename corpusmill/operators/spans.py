@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.functions.text import let
+
 
 def overlap_length(s: Column, e: Column, s2: Column, e2: Column) -> Column:
     return F.greatest(F.least(e, e2) - F.greatest(s, s2), F.lit(0))
@@ -70,8 +72,8 @@ def bio_entities(labels: DataFrame, key: str = "doc_id") -> DataFrame:
 def windows(tokens: Column, length: int, frequency: int = 0) -> Column:
     """Overlapping windows of a token array as structs (chunk_id, offset, tokens); the step is length, its half, or length / frequency."""
     step = length if frequency == 0 else length // 2 if frequency == 1 else length // frequency
-    starts = F.when(F.size(tokens) > 0, F.sequence(F.lit(0), F.size(tokens) - 1, F.lit(step))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda s, i: F.struct(i.alias("chunk_id"), s.alias("offset"), F.slice(tokens, s + 1, length).alias("tokens")))
+    starts = lambda t: F.when(F.size(t) > 0, F.sequence(F.lit(0), F.size(t) - 1, F.lit(step))).otherwise(F.array().cast("array<int>"))
+    return let(tokens, lambda t: F.transform(starts(t), lambda s, i: F.struct(i.alias("chunk_id"), s.alias("offset"), F.slice(t, s + 1, length).alias("tokens"))))
 
 
 def combine_scores(scores: DataFrame, how: str = "average", key: str = "doc_id") -> DataFrame:

@@ -201,8 +201,8 @@ def comment_ratio(spark, sf):
 @query(
     "literal_offsets",
     """WITH c AS (SELECT doc_id, text, string_split(text, 'the ') AS parts FROM documents),
-       o AS (SELECT doc_id, i, list_sum(list_transform(parts[1:i], lambda p: length(p))) + 4 * (i - 1) AS at FROM c, unnest(range(1, len(parts))) t(i))
-       SELECT doc_id, count(*) AS n, max(at)::BIGINT AS last FROM o GROUP BY doc_id""",
+       o AS (SELECT doc_id, i, list_sum(list_transform(parts[1:i], lambda p: length(p))) + 4 * (i - 1) AS spot FROM c, unnest(range(1, len(parts))) t(i))
+       SELECT doc_id, count(*) AS n, max(spot)::BIGINT AS last FROM o GROUP BY doc_id""",
 )
 def literal_offsets(spark, sf):
     found = table(spark, sf, "documents").select("doc_id", tx.literal_offsets(F.col("text"), F.lit("the ")).alias("o")).where(F.size("o") > 0)
@@ -211,8 +211,8 @@ def literal_offsets(spark, sf):
 
 @query(
     "context_window",
-    """WITH p AS (SELECT doc_id, text, instr(text, 'License') AS at FROM documents WHERE contains(text, 'License'))
-       SELECT doc_id, substr(text, greatest(at - 1 - 50, 0)::BIGINT + 1, (least(at - 1 + 7 + 50, length(text)) - greatest(at - 1 - 50, 0))::BIGINT) AS near FROM p""",
+    """WITH p AS (SELECT doc_id, text, instr(text, 'License') AS spot FROM documents WHERE contains(text, 'License'))
+       SELECT doc_id, substr(text, greatest(spot - 1 - 50, 0)::BIGINT + 1, (least(spot - 1 + 7 + 50, length(text)) - greatest(spot - 1 - 50, 0))::BIGINT) AS near FROM p""",
 )
 def context_window(spark, sf):
     start = F.instr("text", "License") - 1
