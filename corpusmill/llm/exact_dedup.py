@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import JAVA_SPACE, in_bitmap, key_bitmap, text_of
+from corpusmill.llm.common import JAVA_SPACE, in_bitmap, key_bitmap, materialize, text_of
 
 PREFIX_CHARS = 128
 
@@ -23,14 +23,27 @@ def exact_groups(docs: DataFrame, digest_all: bool = False, prefix_chars: int =
     shuffled; a false positive of the bitmap costs a hash and changes no result. ``digest_all`` hashes the
     rest too, for a caller who wants the digest of each text; it is null for them otherwise.
     """
-    grouped = _grouped(docs.withColumn("__row", F.monotonically_increasing_id()), digest_all, prefix_chars, id_col, text_col)
-    return grouped.drop("__row")
+    counted, groups = _grouped(docs, digest_all, prefix_chars, id_col, text_col)
+    # size as a second key makes both sides reshuffle, which lets AQE split the partition of a large group
+    joined = counted.join(groups, ["text_sha256", "size"], "left").withColumn("nr", F.explode(F.sequence(F.lit(1), "rows")))
+    single = F.col("group_size").isNull()
+    return joined.select(
+        F.col("id").alias(id_col),
+        F.when(single, F.col("id")).otherwise(F.col("stays.id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
+        (single | ((F.col("nr") == 1) & _stays())).alias("kept"),
+        "text_sha256",
+    )
+
+
+def _stays() -> Column:
+    return F.col("id").eqNullSafe(F.col("stays.id")) & (F.col("key") == F.col("stays.key"))
 
 
-def _grouped(docs: DataFrame, digest_all: bool, prefix_chars: int, id_col: str, text_col: str) -> DataFrame:
-    """``exact_groups`` with the row number ``__row``, which tells rows apart that share id and text."""
+def _grouped(docs: DataFrame, digest_all: bool, prefix_chars: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(rows by id and text with their number, groups of equal texts with the id and text that stay)."""
     normal = F.regexp_replace(text_of(text_col), JAVA_SPACE, "")
-    sized = docs.select("__row", F.col(id_col).alias("id"), normal.alias("normal"), F.char_length(text_of(text_col)).cast("long").alias("points"))
+    sized = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("key"), normal.alias("normal"), F.char_length(text_of(text_col)).cast("long").alias("points"))
     sized = sized.withColumn("size", F.octet_length("normal"))
     # another pass over the text is cheaper than keeping it: lengths alone are shuffled here
     by_size = sized.groupBy("size").count().where("count > 1").select(F.xxhash64("size").alias("key"))
@@ -38,39 +51,29 @@ def _grouped(docs: DataFrame, digest_all: bool, prefix_chars: int, id_col: str,
     colliding = in_bitmap(sized, F.xxhash64("size"), key_bitmap(by_size, "key"), "open")
     by_prefix = colliding.where("open").select(prefix.alias("key")).groupBy("key").count().where("count > 1").select("key")
     flagged = in_bitmap(sized, prefix, key_bitmap(by_prefix, "key"), "open")
-    digest = F.sha2("normal", 256)
-    rows = flagged.select("__row", "id", "points", "size", F.when(F.col("open") | F.lit(digest_all), digest).alias("text_sha256"), "open")
-    best = F.struct("points", F.col("id").isNotNull().alias("known"), (-F.col("id")).alias("least"), (-F.col("__row")).alias("first"))
+    rows = flagged.select("id", "key", "points", "size", F.when(F.col("open") | F.lit(digest_all), F.sha2("normal", 256)).alias("text_sha256"), "open")
+    # rows that share id and text differ in nothing that matters here: they are counted
+    counted = rows.groupBy("id", "key", "points", "size", "text_sha256", "open").agg(F.count("*").cast("int").alias("rows"))
+    best = F.struct("points", F.col("id").isNotNull().alias("known"), (-F.col("id")).alias("least"), "key")
     groups = (
-        rows.where("open")
+        counted.where("open")
         .groupBy("text_sha256")
-        .agg(F.max("size").alias("size"), F.count("*").alias("group_size"), F.max_by(F.struct("id", "__row"), best).alias("stays"))
+        .agg(F.max("size").alias("size"), F.sum("rows").alias("group_size"), F.max_by(F.struct("id", "key"), best).alias("stays"))
         .where("group_size > 1")
     )
-    # size as a second key makes both sides reshuffle, which lets AQE split the partition of a large group
-    joined = rows.join(groups, ["text_sha256", "size"], "left")
-    single = F.col("group_size").isNull()
-    return joined.select(
-        "__row",
-        F.col("id").alias(id_col),
-        F.when(single, F.col("id")).otherwise(F.col("stays.id")).alias("keep_id"),
-        F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-        (single | (F.col("__row") == F.col("stays.__row"))).alias("kept"),
-        "text_sha256",
-    )
+    return counted, groups
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that ``exact_groups`` does not keep; all columns stay.
-
-    ``docs`` should be a scan of files, whose rows have the same numbers each time they are read.
-    """
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    gone = _grouped(numbered, False, PREFIX_CHARS, id_col, text_col).where(~F.col("kept")).select(F.col("__row").alias("__gone"))
-    # rows outside the bitmap of dropped rows stay without a join
-    flagged = in_bitmap(numbered, F.xxhash64("__row"), key_bitmap(gone.select(F.xxhash64("__gone").alias("key")), "key"), "__open")
-    doubtful = flagged.where("__open").join(gone, F.col("__row") == F.col("__gone"), "left_anti")
-    return flagged.where(~F.col("__open")).unionByName(doubtful).drop("__open", "__row")
+    """``docs`` with one row of each group of ``exact_groups``; all columns stay."""
+    counted, groups = _grouped(docs, False, PREFIX_CHARS, id_col, text_col)
+    copies = materialize(counted.join(groups, ["text_sha256", "size"]).select("id", "key", _stays().alias("stays"), "rows"), "copies")
+    gone = copies.where(~F.col("stays")).select(F.col("id").alias("__gone_id"), F.col("key").alias("__gone"))
+    touched = key_bitmap(copies.where("not stays or rows > 1").select("key"), "key")
+    # rows outside the bitmap of what goes or repeats stay without a join
+    flagged = in_bitmap(docs.withColumn("__key", F.xxhash64(text_of(text_col))), F.col("__key"), touched, "__open")
+    doubtful = flagged.where("__open").join(gone, (F.col("__key") == F.col("__gone")) & F.col(id_col).eqNullSafe(F.col("__gone_id")), "left_anti")
+    return flagged.where(~F.col("__open")).unionByName(doubtful.dropDuplicates([id_col, "__key"])).drop("__open", "__key")
 
 
 ORACLE = r"""

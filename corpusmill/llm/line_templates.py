@@ -55,8 +55,8 @@ def drop_templates(
 
     Lines are parted by newlines. A line of fewer than ``min_tokens`` tokens is left alone. A field is
     constant if ``documents`` distinct documents of the leaf have its token there; a template recurs if
-    ``documents`` have it and at least ``constant_share`` of its fields are constant. Documents that share
-    their least line digest are copies and count once, so a document is not emptied for having copies.
+    ``documents`` have it and at least ``constant_share`` of its fields are constant. Documents of one
+    text count once, so a document is not emptied for having exact copies.
 
     Null texts count as empty, null ids pass through, repeated rows get the same result each, an empty table
     gives no row. Lines reach a shuffle only as digests, or when their leaf recurs (a bitmap of fixed size
@@ -64,10 +64,9 @@ def drop_templates(
     """
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     row_key = F.xxhash64("id", "text")
-    lines = rows.select(row_key.alias("row"), F.filter(_masked_lines(F.col("text")), lambda t: t != "").alias("lines"))
-    described = lines.select("row", F.transform("lines", lambda t: F.struct(_size(t).alias("n"), _leaf(t, leading).alias("leaf"), _digest(t).alias("line"))).alias("lines"))
-    known = described.select("row", F.array_min(F.transform("lines", lambda x: x["line"])).alias("identity"), F.explode("lines").alias("x"))
-    known = known.where(F.col("x.n") >= min_tokens).select("row", "identity", "x.leaf", "x.line")
+    lines = rows.select(row_key.alias("row"), F.md5(F.col("text").cast("binary")).alias("identity"), F.filter(_masked_lines(F.col("text")), lambda t: t != "").alias("lines"))
+    described = lines.select("row", "identity", F.explode(F.transform("lines", lambda t: F.struct(_size(t).alias("n"), _leaf(t, leading).alias("leaf"), _digest(t).alias("line")))).alias("x"))
+    known = described.where(F.col("x.n") >= min_tokens).select("row", "identity", "x.leaf", "x.line")
     table = materialize(known, "lines")
     leaves = table.groupBy("leaf", "identity").agg(F.lit(1).alias("one")).groupBy("leaf").count().where(F.col("count") >= documents).select("leaf")
     leaves = materialize(leaves, "leaves")
@@ -129,7 +128,7 @@ WITH l AS (
     SELECT doc_id, nr, line, list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS tokens FROM l
 ), m AS (
     SELECT *, len(tokens) AS n, array_to_string(tokens, ' ') AS masked, coalesce(tokens[1], '') AS first, coalesce(tokens[2], '') AS second FROM t WHERE len(tokens) > 0
-), i AS (SELECT doc_id, min(md5(masked)) AS identity FROM m GROUP BY doc_id
+), i AS (SELECT doc_id, md5(coalesce(text, '')) AS identity FROM documents
 ), h AS (SELECT DISTINCT n, first, second, masked, tokens, identity FROM m JOIN i USING (doc_id) WHERE n >= 3
 ), leaves AS (SELECT n, first, second FROM h GROUP BY ALL HAVING count(DISTINCT identity) >= 10
 ), f AS (SELECT n, first, second, masked, identity, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos FROM h JOIN leaves USING (n, first, second)
