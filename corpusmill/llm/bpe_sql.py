@@ -20,9 +20,9 @@ from corpusmill.llm.common import text_blocks
 from corpusmill.llm.tokens import vocabulary
 
 #: Words whose ids a worker remembers; a full memo is emptied.
-MEMO_WORDS = 700_000
+MEMO_WORDS = 350_000
 #: Rounds of one recursion, and symbol rows that its rounds may make; both bound DuckDB's memory.
-ROUNDS, ROUND_ROWS = 48, 6_000_000
+ROUNDS, ROUND_ROWS = 48, 3_000_000
 
 CONTRACT = f"""
 WITH RECURSIVE steps(word, pos, tok, round) AS (
@@ -60,7 +60,7 @@ class SqlBpe:
         self.ranks, self.split = ranks, regex.compile(pattern).findall
         self.bytes = np.array([ranks[bytes((b,))] for b in range(256)], np.int32)
         splits = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "350MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})
         self._register("merge_rows", dict(zip(("first", "second", "merged"), map(list, zip(*splits, strict=True)), strict=True)))
         self.db.execute("CREATE TABLE merges AS SELECT first::INT AS first, second::INT AS second, merged::INT AS merged FROM merge_rows")
         self._register("token_rows", {"tok": list(ranks.values()), "letters": [t.hex() for t in ranks]})

@@ -28,7 +28,7 @@ from corpusmill.llm.common import text_blocks, text_of
 from corpusmill.llm.tokens import WHITE_SPACE, byte_letters, vocabulary
 
 #: Bounds of the counter's tables; a full table is emptied and compiled again as needed.
-MAX_TRANSITIONS, MAX_PAIRS, MAX_PIECES = 500_000, 500_000, 400_000
+MAX_TRANSITIONS, MAX_PAIRS, MAX_PIECES = 400_000, 250_000, 250_000
 CHUNK = 256
 
 # character classes of the splitter; the letters of contractions have their own
