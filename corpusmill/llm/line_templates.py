@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import in_bitmap, key_bitmap, materialize, text_of
+from corpusmill.llm.common import SPACES, in_bitmap, key_bitmap, materialize, text_of
 
 #: Leading tokens of a leaf, documents from which something recurs, share of constant fields, and least tokens of a line.
 LEADING, DOCUMENTS, CONSTANT_SHARE, MIN_TOKENS = 2, 10, 0.5, 3
@@ -20,22 +20,31 @@ VARIABLE = "<*>"
 def _masked_lines(text: Column) -> Column:
     """The lines of a text with tokens parted by one space and tokens with a digit masked; lines without a token are empty.
 
-    Most texts have neither odd spaces nor digits; a plain search spares them the replacements.
+    Most texts have no odd spaces and most lines no digit; plain searches spare them the replacements.
     """
-    odd = text.rlike(r"[\x09\x0B-\x0D]|\x20\x20|\n\x20|\x20\n|^\x20|\x20$")
+    odd = text.startswith(" ") | text.endswith(" ")
+    for found in ("  ", "\t", "\x0b", "\x0c", "\r", "\n ", " \n"):
+        odd = odd | text.contains(found)
     tidy = F.regexp_replace(F.regexp_replace(text, r"[\x20\x09\x0B-\x0D]+", " "), r"(?:^|(?<=\n))\x20|\x20(?=\n|$)", "")
-    plain = F.when(odd, tidy).otherwise(text)
-    digits = F.regexp_replace(plain, r"[^\x20\n0-9]*+[0-9][^\x20\n]*+", VARIABLE)
-    return F.split(F.when(plain.rlike("[0-9]"), digits).otherwise(plain), "\n", -1)
+    lines = F.split(F.when(odd, tidy).otherwise(text), "\n", -1)
+    masked = lambda x: F.when(x.rlike("[0-9]"), F.regexp_replace(x, r"(?<![^\x20])[^\x20\n0-9]*+[0-9][^\x20\n]*+", VARIABLE)).otherwise(x)
+    return F.transform(lines, masked)
 
 
 def _size(masked: Column) -> Column:
     """Number of tokens of a masked line that has one."""
-    return F.char_length(masked) - F.char_length(F.replace(masked, F.lit(" "), F.lit(""))) + 1
+    return F.octet_length(masked) - F.octet_length(F.replace(masked, F.lit(" "), F.lit(""))) + 1
 
 
-def _leaf(masked: Column, leading: int) -> Column:
-    return F.xxhash64(_size(masked), F.substring_index(masked, " ", leading))
+def _leaf(masked: Column, size: Column, leading: int) -> Column:
+    return F.xxhash64(size, F.substring_index(masked, " ", leading))
+
+
+def _in_leaves(text: Column, leading: int, min_tokens: int) -> Column:
+    """Masked lines of a text that have ``min_tokens`` tokens or more, each with its leaf."""
+    sized = F.transform(_masked_lines(text), lambda t: F.struct(t.alias("text"), _size(t).alias("n")))
+    enough = F.filter(sized, lambda x: x["n"] >= min_tokens)
+    return F.transform(enough, lambda x: F.struct(x["text"].alias("text"), _leaf(x["text"], x["n"], leading).alias("leaf")))
 
 
 def _digest(masked: Column) -> Column:
@@ -64,15 +73,14 @@ def drop_templates(
     """
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     row_key = F.xxhash64("id", "text")
-    lines = rows.select(row_key.alias("row"), F.md5(F.col("text").cast("binary")).alias("identity"), F.filter(_masked_lines(F.col("text")), lambda t: t != "").alias("lines"))
-    described = lines.select("row", "identity", F.explode(F.transform("lines", lambda t: F.struct(_size(t).alias("n"), _leaf(t, leading).alias("leaf"), _digest(t).alias("line")))).alias("x"))
-    known = described.where(F.col("x.n") >= min_tokens).select("row", "identity", "x.leaf", "x.line")
+    lines = rows.select(row_key.alias("row"), F.md5(F.col("text").cast("binary")).alias("identity"), _in_leaves(F.col("text"), leading, min_tokens).alias("lines"))
+    known = lines.select("row", "identity", F.explode(F.transform("lines", lambda x: F.struct(x["leaf"].alias("leaf"), _digest(x["text"]).alias("line")))).alias("x")).select("row", "identity", "x.leaf", "x.line")
     table = materialize(known, "lines")
     leaves = table.groupBy("leaf", "identity").agg(F.lit(1).alias("one")).groupBy("leaf").count().where(F.col("count") >= documents).select("leaf")
     leaves = materialize(leaves, "leaves")
 
     # the tokens of each distinct line of a recurring leaf
-    texts = lines.select(F.explode("lines").alias("text")).where(_size(F.col("text")) >= min_tokens).withColumn("leaf", _leaf(F.col("text"), leading))
+    texts = lines.select(F.explode("lines").alias("x")).select("x.leaf", "x.text")
     texts = in_bitmap(texts, F.col("leaf"), key_bitmap(leaves.select(F.col("leaf").alias("key")), "key"), "open").where("open")
     texts = texts.groupBy("leaf", "text").agg(F.lit(1).alias("one")).select("leaf", _digest(F.col("text")).alias("line"), F.split("text", " ", -1).alias("tokens"))
     texts = materialize(texts.join(leaves, "leaf", "left_semi"), "texts")
@@ -109,15 +117,17 @@ def drop_templates(
     flagged = in_bitmap(keyed, F.col("row"), key_bitmap(hits.select(F.col("row").alias("key")), "key"), "open")
     # sorted and merged at every size: a plan that broadcasts small inputs would grow faster than the input
     touched = flagged.where("open").join(hits.hint("merge"), "row", "left").select("id", "text", "gone")
-    rest = flagged.where(~F.col("open")).select("id", "text", F.lit(None).cast("array<string>").alias("gone"))
-    both = touched.unionByName(rest).select("id", "text", "gone", F.arrays_zip(F.split("text", "\n", -1).alias("line"), _masked_lines(F.col("text")).alias("masked")).alias("lines"))
+    pairs = F.arrays_zip(F.split("text", "\n", -1).alias("line"), _masked_lines(F.col("text")).alias("masked"))
     leaves_it = lambda x: ~(F.array_contains("gone", _digest(x["masked"])) & (_size(x["masked"]) >= min_tokens))
-    changed = both.withColumn("stay", F.when(F.col("gone").isNotNull(), F.transform(F.filter("lines", leaves_it), lambda x: x["line"])))
-    return changed.select(
+    stay = F.transform(F.filter(pairs, leaves_it), lambda x: x["line"])
+    cut = touched.withColumn("stay", F.when(F.col("gone").isNotNull(), stay))
+    rest = flagged.where(~F.col("open")).select("id", "text", F.lit(None).cast("array<string>").alias("stay"))
+    lines = F.split("text", "\n", -1)
+    return cut.select("id", "text", "stay").unionByName(rest).select(
         F.col("id").alias(id_col),
-        F.size(F.filter("lines", lambda x: x["masked"] != "")).cast("long").alias("n_lines"),
-        F.when(F.col("gone").isNull(), 0).otherwise(F.size("lines") - F.size("stay")).cast("long").alias("n_dropped"),
-        F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join("stay", "\n")).alias("text"),
+        F.size(F.filter(lines, lambda x: F.ltrim(x, F.lit(SPACES)) != "")).cast("long").alias("n_lines"),
+        F.when(F.col("stay").isNull(), 0).otherwise(F.size(lines) - F.size("stay")).cast("long").alias("n_dropped"),
+        F.when(F.col("stay").isNull(), F.col("text")).otherwise(F.array_join("stay", "\n")).alias("text"),
     )
 
 
