@@ -48,7 +48,7 @@ class Shingler:
         """(digest of each word sequence, hashes of all shingles, where each text's begin, how many it has)."""
         import xxhash
 
-        if len(self.memo) > 300_000:
+        if len(self.memo) > 100_000:
             self.memo.clear()
         memo, digests, hashes = self.memo, [], []
         for text in texts:

@@ -12,7 +12,7 @@ WHITE_SPACE = "\t-\r \x85\xa0  -     　"
 #: Letters of which runs are looked up alone, where an ASCII character or the end follows.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 #: Entries of a memo; a full memo is emptied, so memory stays bounded on any input.
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 200_000
 
 
 def byte_letters() -> dict[int, str]:
