@@ -12,13 +12,11 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm.common import WORD, in_bitmap, key_bitmap, materialize, text_blocks
 
-#: Orders of line hashes by which documents are told apart.
-ORDERS = 3
 #: Distinct documents of a host from which a line counts as boilerplate, and what a document must keep without them.
 LINE_DOCUMENTS = 10
 MIN_WORDS, MIN_SHARE = 20, 0.2
 
-FEATURES = "rid long, id {kind}, row long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, lines array<struct<line:binary,words:long,beside:array<binary>>>"
+FEATURES = "rid long, id {kind}, row long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, body binary, lines array<struct<line:binary,words:long>>"
 
 
 def repeat_words(codes: np.ndarray, owner: np.ndarray, n: int, width: int = 8) -> np.ndarray:
@@ -45,30 +43,17 @@ def repeat_words(codes: np.ndarray, owner: np.ndarray, n: int, width: int = 8) -
     return found
 
 
-def _beside(keys: list[bytes]) -> dict[bytes, list[bytes]]:
-    """For each line of a document the least other line in each of ORDERS orders; empty where it is alone.
-
-    Copies and near copies of a document mostly agree in these, so a line counts once for all of them, while
-    a boilerplate line stands beside other lines elsewhere. Several orders keep a second boilerplate line, which
-    may be least in one of them, from hiding the first.
-    """
-    found: dict[bytes, list[bytes]] = {k: [] for k in keys}
-    for j in range(ORDERS):
-        first, second = (sorted(keys, key=lambda k: k[5 * j :] + k[: 5 * j])[:2] + [b"", b""])[:2]
-        for k in keys:
-            found[k].append((second if k == first else first)[:8])
-    return found
-
-
 def _row(*columns: str) -> Column:
     """Names a row by its content: equal rows share their fate."""
     return F.xxhash64(*columns)
 
 
 def document_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """The statistics of each document and its distinct normalised lines as 128-bit hashes with their words.
+    """The statistics of each document, a 128-bit hash of its normalised text (``body``), and its distinct
+    normalised lines as 128-bit hashes with their words.
 
-    A line is normalised by lower case, digits as 0 and words joined by one space.
+    A line is normalised by lower case, digits as 0 and words joined by one space; a text is the sequence
+    of its normalised lines that have words.
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -83,9 +68,10 @@ def document_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             texts = [t or "" for t in batch.column(1).to_pylist()]
             n = len(texts)
             codes: dict[str, int] = {}
-            flat, stats, lines_of = [], np.zeros((4, n), np.int64), []
+            flat, stats, lines_of, bodies = [], np.zeros((4, n), np.int64), [], []
             for i, text in enumerate(texts):
                 lines, seen, sizes = text.split("\n"), set(), {}
+                body = xxhash.xxh3_128()
                 count = chars = repeated = 0
                 for line in lines:
                     words = words_of(line)
@@ -98,9 +84,10 @@ def document_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                     flat += [codes.setdefault(w, len(codes)) for w in words]
                     key = xxhash.xxh3_128_digest(" ".join(words).lower().translate(digits).encode("utf-8", "surrogatepass"))
                     sizes[key] = sizes.get(key, 0) + len(words)
+                    body.update(key)
                 stats[:, i] = count, chars, sum(map(text.count, "#*$%&|<>")), repeated
-                beside = _beside(list(sizes))
-                lines_of.append([{"line": k, "words": v, "beside": beside[k]} for k, v in sizes.items()])
+                bodies.append(body.digest())
+                lines_of.append([{"line": k, "words": v} for k, v in sizes.items()])
             owner = np.repeat(np.arange(n), stats[0])
             windows = repeat_words(np.array(flat, np.int64), owner, n)
             yield pa.RecordBatch.from_arrays(
@@ -112,9 +99,10 @@ def document_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                     *map(pa.array, stats[:3]),
                     pa.array(stats[3]),
                     pa.array(windows),
-                    pa.array(lines_of, pa.list_(pa.struct([("line", pa.binary()), ("words", pa.int64()), ("beside", pa.list_(pa.binary()))]))),
+                    pa.array(bodies, pa.binary()),
+                    pa.array(lines_of, pa.list_(pa.struct([("line", pa.binary()), ("words", pa.int64())]))),
                 ],
-                ["rid", "id", "row", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines"],
+                ["rid", "id", "row", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "body", "lines"],
             )
             number += n
 
@@ -133,7 +121,8 @@ def judge(
 ) -> DataFrame:
     """One row a document: id, the five statistics, base_failed, n_line_words (words of boilerplate lines), kept.
 
-    A line found in ``line_documents`` or more distinct documents of its host is boilerplate. A document
+    A line found in ``line_documents`` or more distinct documents of its host is boilerplate; documents of
+    equal normalised text are one, all others count each, near copies too. A document
     is depleted if without such lines fewer than ``min_words`` words or less than ``min_share`` of its words
     are left; it is kept if it is neither depleted nor base_failed (fewer than 20 words, or more than 30 of
     100 in repeated windows). Null texts count as empty, null hosts as one host, repeated rows are judged
@@ -145,13 +134,12 @@ def judge(
 
 def _judged(docs: DataFrame, line_documents: int, min_words: int, min_share: float, id_col: str, text_col: str, host_col: str) -> DataFrame:
     features = materialize(document_features(docs, id_col, text_col, host_col), "features")
-    lines = features.select("rid", F.coalesce("host", F.lit("")).alias("host"), F.explode("lines").alias("l")).select("rid", "host", "l.line", "l.words", "l.beside")
-    told = lines.select("host", "line", F.posexplode("beside").alias("order", "other"))
-    counted = told.groupBy("host", "line", "order", "other").agg(F.lit(1).alias("one")).groupBy("host", "line", "order").agg(F.count("*").alias("documents"))
-    common = counted.where(F.col("documents") >= line_documents).select("host", "line").distinct()
+    lines = features.select("rid", "body", F.coalesce("host", F.lit("")).alias("host"), F.explode("lines").alias("l")).select("rid", "body", "host", "l.line", "l.words")
+    counted = lines.groupBy("host", "line", "body").agg(F.lit(1).alias("one")).groupBy("host", "line").agg(F.count("*").alias("documents"))
+    common = counted.where(F.col("documents") >= line_documents).select("host", "line")
     # a constant third key makes both sides reshuffle, which lets AQE split a frequent line's partition
     lost = (
-        lines.drop("beside")
+        lines.drop("body")
         .withColumn("k", F.length("line"))
         .join(common.withColumn("k", F.length("line")), ["host", "line", "k"])
         .groupBy("rid")
@@ -161,7 +149,7 @@ def _judged(docs: DataFrame, line_documents: int, min_words: int, min_share: flo
     base = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     depleted = (F.col("n_line_words") > 0) & ((left < min_words) | (left < min_share * F.col("n_words")))
     return (
-        features.drop("lines")
+        features.drop("body", "lines")
         .join(lost, "rid", "left")
         .withColumn("n_line_words", F.coalesce("n_line_words", F.lit(0)))
         .select(F.col("row").alias("__row"), F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), "n_line_words", (~base & ~depleted).alias("kept"))

@@ -145,6 +145,25 @@ def test_quality(spark, docs, rows, empty):
     assert judged[50] and sum(judged.values()) == 1  # documents left with three words are depleted
 
 
+def test_quality_counts_distinct_documents(spark):
+    """Every line that 10 different documents of a host share is boilerplate, however many of them share several lines."""
+    alphabet = "abcdefghijklmnopqrst"
+    rows, want = [], {}
+    for host in range(6):
+        for n, shared, own in ((12, 6, 5), (20, 4, 1), (9, 6, 5)):
+            name = f"h{host}-{n}"
+            lines = [f"menu {alphabet[host]} {alphabet[k]} {alphabet[n - 1]}" for k in range(shared)]
+            for i in range(n):
+                mine = [f"own {alphabet[host]} {alphabet[i]} {alphabet[k]} {alphabet[n - 1]}" for k in range(own)]
+                want[len(rows)] = 4 * shared if n >= 10 else 0
+                rows.append((len(rows), "\n".join(lines + mine), name))
+    for k in range(12):  # copies, up to case, digits and white space, are one document
+        want[len(rows)] = 0
+        rows.append((len(rows), f"Page  {k % 10} of\n\nthe one text" if k % 2 else f"page {k % 10} of\nTHE one text", "copies"))
+    judged = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)).collect()
+    assert {r.doc_id: r.n_line_words for r in judged} == want
+
+
 def test_binary_round_trip(spark, docs, rows, empty):
     lib = library("word_bpe_49k.json")
     for name, plane_bits in (("bits", 1), ("bytes", 8)):
