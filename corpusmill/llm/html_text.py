@@ -26,21 +26,49 @@ SCAN = re.compile(f"{RAW}|{TAG}", re.S | re.I)
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 DROPPED = frozenset("head nav footer aside form button select menu dialog audio video fieldset".split())
-ROLE = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+#: What a class says of its element's surroundings or subject, such as has-sidebar or category-social.
+ABOUT = re.compile(r"(?:^|(?<=[_-]))(?:has|no|not|with|without|category|cat|tag)[_-].*", re.I | re.S)
 MARK = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|consent|notice|alert|comments?|commentlist|disqus|replies|respond|sidebar|widget|menu|nav(?:igation|bar)?|breadcrumbs?|footer|masthead|share|sharing|social|related|recommended|newsletter|subscribe|signup|popup|modal|overlay|pagination|pager|skip|complementary|contentinfo|search|login)(?=$|[\s_-])",
     re.I,
 )
-HIDDEN = re.compile(r"""\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+
+
+def marks_of(rest: str) -> tuple[bool, bool]:
+    """(whether a tag's attributes hide its element, whether its names mark it as no part of the main text)."""
+    hidden = marked = False
+    for found in ATTRIBUTE.finditer(rest):
+        name, value = found[1].lower(), found[2] or found[3] or found[4] or ""
+        if name == "hidden" or (name == "aria-hidden" and value.strip().lower() == "true") or (name == "style" and UNSEEN.search(value)):
+            hidden = True
+        elif name in ("class", "id", "role", "aria-label"):
+            marked = marked or any(MARK.search(ABOUT.sub("", token)) for token in value.split())
+    return hidden, marked
 
 
 def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """(text, characters of link text, inside an article or main element) of each line; dropped parts leave WINDOW empty lines."""
+    """(text, characters of link text, inside an article or main element) of each line; dropped parts leave WINDOW empty lines.
+
+    A part marked by its names is none to drop if it is an article or main element, or holds over half of the
+    page's text without link text.
+    """
+    lines, total, held = _scan(page, frozenset())
+    most = frozenset(at for at, n in held.items() if 2 * n > total)
+    return _scan(page, most)[0] if most else lines
+
+
+def _scan(page: str, spared: frozenset[int]) -> tuple[list[tuple[str, int, bool]], int, dict[int, int]]:
+    """The lines where the marked elements that begin at ``spared`` stay, the page's characters of text, and those of each marked element by where it begins."""
     lines: list[tuple[str, int, bool]] = []
     parts: list[str] = []
     linked = links = inside = 0
-    stack: list[tuple[str, bool]] = []  # open elements: name, whether it is the root of a dropped part
-    dropped = 0
+    # open elements: name, whether it is the root of a dropped part, whether lines in it count as inside, where it begins if marked
+    stack: list[tuple[str, bool, bool, int | None]] = []
+    dropped = unmarked = 0  # open roots of dropped parts; those that no mark made one
+    marked: list[int] = []
+    total, held = 0, {}
     at = 0
 
     def end_line() -> None:
@@ -55,7 +83,24 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         end_line()
         lines.extend([("", 0, inside > 0)] * WINDOW)
 
+    def count(text: str) -> None:
+        nonlocal total
+        if not unmarked and not links:
+            n = sum(map(len, text.split()))
+            total += n
+            for begin in marked:
+                held[begin] += n
+
+    def leave(root: bool, begin: int | None) -> None:
+        nonlocal dropped, unmarked
+        dropped -= root
+        if begin is not None:
+            marked.remove(begin)
+        else:
+            unmarked -= root
+
     for tag in SCAN.finditer(page):
+        count(page[at : tag.start()])
         if not dropped and tag.start() > at:
             parts.append(page[at : tag.start()])
             if links:
@@ -70,12 +115,12 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                 end_line()
             if found is None:
                 continue
-            for open_name, root in reversed(stack[found:]):
-                dropped -= root
+            for open_name, root, counted, begin in reversed(stack[found:]):
+                leave(root, begin)
                 if root:
                     gap()
                 links -= open_name == "a"
-                if open_name in ("article", "main"):
+                if counted:
                     end_line()
                     inside -= 1
             del stack[found:]
@@ -88,29 +133,36 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         if name in ("p", "li", "td", "th", "tr", "option", "dd", "dt"):  # these end an open one of their kind
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
-                    for open_name, root in stack[i:]:
-                        dropped -= root
+                    for open_name, root, _, begin in stack[i:]:
+                        leave(root, begin)
                         links -= open_name == "a"
                     del stack[i:]
                     break
                 if stack[i][0] not in INLINE:
                     break
         root = name in DROPPED or (name == "header" and not inside)
+        begin = None
         if not root and rest and name not in ("html", "body"):
-            named = " ".join(filter(None, (x for found in ROLE.findall(rest) for x in found)))
-            root = bool(MARK.search(named) or HIDDEN.search(rest))
+            root, by_name = marks_of(rest)
+            if by_name and not root and name not in ("article", "main"):
+                begin, root = tag.start(), tag.start() not in spared
         if root:
             gap()
-        stack.append((name, root))
         dropped += root
+        if begin is not None:
+            marked.append(begin)
+            held[begin] = 0
+        else:
+            unmarked += root
         links += name == "a"
-        inside += name in ("article", "main") and not dropped
-        if name in ("article", "main") and dropped:
-            stack[-1] = ("", root)  # an article in a dropped part is none
+        counted = name in ("article", "main") and not dropped  # an article in a dropped part is none
+        inside += counted
+        stack.append((name, root, counted, begin))
+    count(page[at:])
     if not dropped:
         parts.append(page[at:])
     end_line()
-    return lines
+    return lines, total, held
 
 
 def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:

@@ -121,6 +121,24 @@ def test_main_text(spark):
     assert sorted((r.page_id, r.n_chars) for r in html_text.extract(pages).collect()) == [(1, len(want)), (1, len(want)), (2, 0)]
 
 
+def test_main_text_keeps_articles():
+    """Loose marks drop no article, and a dropped article ends at its own closing tag."""
+    story, other, extra = (f"{word} and more words of the page. " * 6 for word in ("story", "other", "extra"))
+    text, beside, rest = story.strip(), other.strip(), extra.strip()
+    for mark in ("aria-hidden='false'", "class='overflow-hidden'", "style='overflow:hidden'", "title='The hidden city'", "class='post has-sidebar'", "class='no-sidebar'", "class='category-social'", "class='content with-sidebar'"):
+        for name in ("div", "article"):
+            assert html_text.main_text(f"<body><{name} {mark}><p>{story}</p></{name}></body>") == text, (name, mark)
+            # even where most of the page's text is elsewhere
+            assert html_text.main_text(f"<body><div {mark}><p>{story}</p></div><div><p>{other}</p><p>{extra}</p></div></body>") == f"{text} {beside} {rest}", mark
+    assert html_text.main_text(f"<main class=promo><p>{story}</main>") == text
+    assert html_text.main_text(f"<article class=related><p>{story}</p></article><article><p>{other}</p></article>") == f"{text} {beside}"
+    for hide in ("hidden", "hidden=''", "aria-hidden=true", "style='display: none'"):
+        assert html_text.main_text(f"<div><article {hide}><p>{story}</p></article><article><p>{other}</p></article></div>") == beside, hide
+    assert html_text.main_text(f"<article><p>{story}</p><aside><article>inner</article></aside><p>{other}</p></article>") == f"{text} {beside}"
+    assert html_text.main_text(f"<div class='page sidebar-layout'><p>{story}</p><p>{other}</p><div class=sidebar-right>{extra}</div></div>") == f"{text} {beside}"
+    assert html_text.main_text(f"<div><p>{story}</p><p>{other}</p></div><div class='site-footer'>{extra}</div>") == f"{text} {beside}"
+
+
 def base_statistics(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
     windows = collections.Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
