@@ -1,9 +1,9 @@
 """N-gram Jaccard join: MinHash LSH forest for candidates, exact verification of all pairs in a candidate cluster.
 
-Each distinct word sequence has one signature path in every tree of the forest. Paths are sorted, so
-neighbours in a tree share the longest prefixes; from there matched prefixes are shortened down to the
-depth at which the forest reaches the target recall at the threshold. Candidates whose whole signatures
-agree too little are let go, the rest forms clusters. Within a cluster every pair of texts is compared
+Each distinct word sequence has one signature path in every tree of the forest. Texts whose paths share a
+prefix in a tree meet in a node; the prefix has the depth at which the forest reaches the target recall at
+the threshold. In a small node, pairs whose whole signatures agree too little are let go; the texts of a
+larger node stay together. What is left forms clusters. Within a cluster every pair of texts is compared
 exactly, in blocks of bounded size, so links and classes hold no estimate.
 """
 
@@ -21,8 +21,8 @@ from corpusmill.llm.common import WORD, connected_components, in_bitmap, key_bit
 
 SHINGLE, THRESHOLD = 5, 0.8
 TREES, DEPTH, RECALL = 24, 8, 0.999
-#: Neighbours of a path in its sorted tree that are candidates; each has several trees to be near.
-NEIGHBOURS = 3
+#: Texts of a forest node up to which its pairs are looked at one by one; a larger node is one cluster.
+SMALL = 4
 #: Distinct texts of a cluster's block; two blocks are compared by one task.
 BLOCK = 512
 
@@ -109,39 +109,21 @@ def _features(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFra
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"rid long, id {kind}, key binary, n_shingles long, paths binary")
 
 
-def _candidates(texts: DataFrame, depth: int) -> DataFrame:
-    """Pairs (a, b) of keys that are near each other in a sorted tree and share a prefix of ``depth``."""
+def _candidates(texts: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of keys that share a prefix of ``depth`` in a tree: all pairs of nodes of up to SMALL texts,
+    and each text of a larger node with the node's least key."""
     width = 2 * DEPTH
     tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
-    nodes = texts.select("key", "paths", tree).select("key", F.concat(F.unhex(F.lpad(F.hex("tree"), 2, "0")), F.substring("paths", F.col("tree") * width + 1, F.lit(width))).alias("path"))
-    node = F.xxhash64(F.substring("path", 1, 1 + 2 * depth))
-    shared = nodes.select(node.alias("key")).groupBy("key").count().where("count > 1")
-    nodes = in_bitmap(nodes, node, key_bitmap(shared, "key"), "open").where("open").select("path", "key")
-    same = 1 + 2 * depth
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        path, key = np.empty(0, f"S{1 + width}"), np.empty(0, "S16")
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            fixed = lambda i, n: np.frombuffer(b"".join(batch.column(i).to_pylist()), f"V{n}")
-            path, key = (np.concatenate([old.astype(new.dtype), new]) if len(old) else new for old, new in ((path, fixed(0, 1 + width)), (key, fixed(1, 16))))
-            prefix = np.ascontiguousarray(path.view(np.uint8).reshape(-1, 1 + width)[:, :same]).view(f"V{same}").ravel()
-            first, second = [], []
-            for lag in range(1, NEIGHBOURS + 1):
-                near = np.flatnonzero(prefix[:-lag] == prefix[lag:]) if len(prefix) > lag else np.empty(0, np.int64)
-                first.append(key[near])
-                second.append(key[near + lag])
-            first, second = np.concatenate(first), np.concatenate(second)
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in first], pa.binary()), pa.array([x.tobytes() for x in second], pa.binary())], ["a", "b"])
-            path, key = path[-NEIGHBOURS:], key[-NEIGHBOURS:]
-
-    # ranges of (path, key) split a node of any size; a pair that a range's edge parts meets in other trees
-    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = nodes.repartitionByRange(parts, "path", "key").sortWithinPartitions("path", "key").mapInArrow(run, "a binary, b binary")
-    return found.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    prefix = F.substring("paths", F.col("tree") * width + 1, F.lit(2 * depth))
+    nodes = texts.select("key", "paths", tree).select("key", F.xxhash64("tree", prefix).alias("node"))
+    shared = materialize(nodes.groupBy("node").agg(F.count("*").alias("size"), F.min("key").alias("least")).where("size > 1"), "nodes")
+    nodes = in_bitmap(nodes, F.col("node"), key_bitmap(shared.select(F.col("node").alias("key")), "key"), "open").where("open").select("node", "key")
+    # the key's length as a second key makes both sides reshuffle, which lets AQE split a large node's partition
+    met = materialize(nodes.withColumn("k", F.length("key")).join(shared.withColumn("k", F.length("least")), ["node", "k"]).drop("k"), "met")
+    small = met.where(F.col("size") <= SMALL).groupBy("node").agg(F.collect_list("key").alias("keys"))
+    pairs = small.select("keys", F.explode("keys").alias("a")).select("a", F.explode("keys").alias("b")).where("a < b").distinct()
+    stars = met.where((F.col("size") > SMALL) & (F.col("key") != F.col("least"))).select(F.col("least").alias("a"), F.col("key").alias("b")).distinct()
+    return pairs, stars
 
 
 def _agreeing(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -253,8 +235,8 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = S
     features = materialize(_features(docs, id_col, text_col, shingle), "forest")
     worded = features.where("n_shingles > 0")
     texts = materialize(worded.groupBy("key").agg(F.min_by("id", F.struct("id", "rid")).alias("id"), F.count("*").alias("copies"), F.first("paths").alias("paths"), F.first("n_shingles").alias("n_shingles")), "texts")
-    pairs = _agreeing(_candidates(texts, prefix_depth(threshold)), texts, threshold - 0.15)
-    clusters = connected_components(pairs).select(F.col("node").alias("key"), F.col("root").alias("cluster"))
+    pairs, stars = _candidates(texts, prefix_depth(threshold))
+    clusters = connected_components(_agreeing(pairs, texts, threshold - 0.15).unionByName(stars)).select(F.col("node").alias("key"), F.col("root").alias("cluster"))
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("cluster_size"))
     # length as a second key makes both sides reshuffle, which lets AQE split a large cluster's partition
     sized = clusters.withColumn("k", F.length("cluster")).join(sizes.withColumn("k", F.length("cluster")), ["cluster", "k"]).drop("k")

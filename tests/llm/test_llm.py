@@ -243,6 +243,18 @@ def test_near_classes(unique, rows, empty):
     assert near_dup.near_classes(empty).count() == 0
 
 
+def test_near_classes_among_texts_that_share_passages(spark):
+    """2,000 pairs of similarity 0.8 among texts that share over half of their shingles: none is lost."""
+    common = " ".join(f"c{k}" for k in range(213))
+    rows = []
+    for i in range(2000):
+        own = [f"o{i}x{k}" for k in range(87)]
+        rows += [(2 * i, " ".join([common, *own])), (2 * i + 1, " ".join([common, *own[:55], *(f"p{i}x{k}" for k in range(32))]))]
+    found = {r.doc_id: (r.class_id, r.n_links) for r in near_dup.near_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    lost = [i for i, _ in rows if found[i] != (i - i % 2, 1)]
+    assert not lost
+
+
 def test_pipeline(spark, rows, tmp_path):
     spark.createDataFrame(rows[:-1], SCHEMA).select("doc_id", "text", "lang", "source", "n_chars").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
     packed = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
