@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,16 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a local one is made only where none is set."""
+    """The folder named by spark.checkpoint.dir; a local one is made only where none is set and one machine does all."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='corpusmill-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """``df`` written as Parquet and read back: cuts lineage at files that survive lost executors."""
     path = f"{shared_dir(df.sparkSession)}/corpusmill/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
