@@ -24,8 +24,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import shared_dir, text_blocks
-from corpusmill.llm.tokens import encoder, vocabulary
+from corpusmill.llm.common import discard, materialize, released, shared_dir, text_blocks
+from corpusmill.llm.tokens import encoded_documents, stored_ids
 
 MAGIC, VERSION = b"BPLN", 1
 HEAD = struct.Struct("<4sBBHIQQ")
@@ -65,32 +65,46 @@ def write_shard(ids: np.ndarray, doc_ids: list[int | None], counts: list[int], p
     return b"".join([head, *frames, np.array(list(map(len, frames)), "<u4").tobytes(), documents, struct.pack("<I", len(documents))])
 
 
-def read_shard(image: bytes) -> tuple[np.ndarray, list[int | None], np.ndarray]:
-    """(ids, document ids, ids of each document) of an image."""
+def _index(image: bytes) -> tuple[int, int, int, np.ndarray, np.ndarray, int]:
+    """(bits a plane row, planes, ids a block, where each frame starts, document table, ids) of an image."""
     magic, version, plane_bits, planes, block, n, _ = HEAD.unpack_from(image)
     if magic != MAGIC or version != VERSION:
         raise ValueError("not a shard of bit planes")
-    unpack = zstandard.ZstdDecompressor().decompress
     (documents,) = struct.unpack_from("<I", image, len(image) - 4)
     table_at = len(image) - 4 - documents
-    table = np.frombuffer(unpack(image[table_at:-4]), [("id", "<i8"), ("null", "u1"), ("n", "<u8")])
+    table = np.frombuffer(zstandard.ZstdDecompressor().decompress(image[table_at:-4]), [("id", "<i8"), ("null", "u1"), ("n", "<u8")])
     frames = -(-n // block) * planes
     sizes = np.frombuffer(image, "<u4", frames, table_at - 4 * frames)
-    starts = HEAD.size + np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-    parts = []
-    for b in range(0, frames, planes):
-        rows = [np.frombuffer(unpack(image[starts[k] : starts[k + 1]]), np.uint8) for k in range(b, b + planes)]
-        parts.append(from_planes(np.stack(rows), min(block, n - b // planes * block), plane_bits))
-    ids = np.concatenate(parts) if parts else np.empty(0, "<u4")
-    return ids, [None if x["null"] else int(x["id"]) for x in table], table["n"].astype(np.int64)
+    return plane_bits, planes, block, HEAD.size + np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), table, n
+
+
+def read_range(image: bytes, start: int, stop: int) -> np.ndarray:
+    """The ids from ``start`` to ``stop`` of an image; the chunk index tells the only blocks that are decompressed."""
+    plane_bits, planes, block, starts, _, n = _index(image)
+    start, stop = max(start, 0), min(stop, n)
+    unpack, parts = zstandard.ZstdDecompressor().decompress, []
+    for b in range(start // block, -(-stop // block) if stop > start else 0):
+        rows = [np.frombuffer(unpack(image[starts[k] : starts[k + 1]]), np.uint8) for k in range(b * planes, (b + 1) * planes)]
+        parts.append(from_planes(np.stack(rows), min(block, n - b * block), plane_bits))
+    if not parts:
+        return np.empty(0, "<u4")
+    skipped = start // block * block
+    return np.concatenate(parts)[start - skipped : stop - skipped]
+
+
+def read_shard(image: bytes) -> tuple[np.ndarray, list[int | None], np.ndarray]:
+    """(ids, document ids, ids of each document) of an image."""
+    table, n = _index(image)[4:]
+    return read_range(image, 0, n), [None if null else i for i, null in zip(table["id"].tolist(), table["null"].tolist(), strict=True)], table["n"].astype(np.int64)
 
 
 def write_ids(docs: DataFrame, path: str, vocab: str = "word_bpe_49k.json", end_id: int = 1, plane_bits: int = 1, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Writes the ids of all documents in ascending order of their integer id (nulls first) as a table of shards.
 
-    The rows are dealt by ranges of (id, digest of the text), which also splits an id that many rows
-    share, and each range is cut into shards of bounded size. Null texts count as empty and get the
-    end id alone; repeated rows are written each; an empty table gives an empty table of shards.
+    Texts become ids before they are shuffled. The rows are dealt by ranges of (id, hash of the ids), which
+    also splits an id that many rows share, and each range is cut into shards of bounded size; a document is
+    never cut, and its ids take fewer bytes than its text. Null texts count as empty and get the end id
+    alone; repeated rows are written each; an empty table gives an empty table of shards.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     if kind not in ("bigint", "int", "smallint", "tinyint"):
@@ -99,7 +113,6 @@ def write_ids(docs: DataFrame, path: str, vocab: str = "word_bpe_49k.json", end_
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        encode = encoder(vocabulary(vocab)).encode_block
         part, number = TaskContext.get().partitionId(), 0
         ids, doc_ids, total = [], [], 0
 
@@ -107,22 +120,23 @@ def write_ids(docs: DataFrame, path: str, vocab: str = "word_bpe_49k.json", end_
             image = write_shard(np.concatenate(ids), doc_ids, list(map(len, ids)), plane_bits)
             return pa.RecordBatch.from_pydict({"part": [part], "number": [number], "n_ids": [total], "n_docs": [len(ids)], "image": [image]})
 
-        for batch in text_blocks(batches):
-            for doc_id, found in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist()), strict=True):
-                ids.append(np.append(found.astype("<u4"), np.uint32(end_id)))
+        for batch in released(text_blocks(batches, column="ids")):
+            for doc_id, found in zip(batch.column(0).to_pylist(), stored_ids(batch, 2), strict=True):
+                ids.append(found)
                 doc_ids.append(doc_id)
-                total += len(ids[-1])
+                total += len(found)
                 if total >= SHARD_IDS:
                     yield shard()
                     ids, doc_ids, total, number = [], [], 0, number + 1
         if ids:
             yield shard()
 
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    encoded = materialize(encoded_documents(docs, vocab, end_id, id_col, text_col), "encoded")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = ["id", F.xxhash64("text")]
-    dealt = slim.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    order = ["id", "salt"]
+    dealt = encoded.withColumn("id", F.col("id").cast("long")).repartitionByRange(parts, *order).sortWithinPartitions(*order).select("id", "wide", "ids")
     dealt.mapInArrow(run, "part long, number long, n_ids long, n_docs long, image binary").write.option("compression", "none").parquet(path)
+    discard(encoded)
 
 
 def read_ids(spark: SparkSession, path: str, keep_ids: bool = False) -> DataFrame:
@@ -138,7 +152,7 @@ def read_ids(spark: SparkSession, path: str, keep_ids: bool = False) -> DataFram
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in released(batches):
             for first, image in zip(batch.column(0), batch.column(1), strict=True):
                 ids, doc_ids, counts = read_shard(image.as_py())
                 ends = np.cumsum(counts)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.sources.shared import materialize, shared_dir
+
 #: Characters that separate words: space and U+0009 to U+000D.
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -19,23 +19,6 @@ BITMAP_BITS = 1 << 25
 BITMAP_BUCKET = 32768
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one is made only where none is set."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='corpusmill-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read back: its lineage ends at replicated files."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/corpusmill/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def discard(df: DataFrame) -> None:
     """Deletes the files of a ``materialize`` result that no later plan reads."""
     spark = df.sparkSession
@@ -69,12 +52,18 @@ def key_bitmap(keys: DataFrame, key: str) -> DataFrame:
 def in_bitmap(df: DataFrame, key: Column, bitmap: DataFrame, flag: str) -> DataFrame:
     """``df`` with the boolean ``flag``: whether ``key`` may be in the set that ``bitmap`` stands for."""
     bit = F.pmod(key, F.lit(BITMAP_BITS))
-    joined = df.withColumn("__bucket", F.bitmap_bucket_number(bit)).withColumn("__at", F.bitmap_bit_position(bit)).join(
-        F.broadcast(bitmap), F.col("__bucket") == F.col("bitmap_bucket"), "left"
-    )
-    byte = F.conv(F.hex(F.substring("bitmap", (F.col("__at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    hit = F.getbit(byte, F.pmod(F.col("__at"), F.lit(8)).cast("int")) == 1
-    return joined.withColumn(flag, F.coalesce(hit, F.lit(False))).drop("__bucket", "__at", "bitmap_bucket", "bitmap")
+    bucket, at, side, bits = new_names(df.columns, 4)
+    known = bitmap.select(F.col("bitmap_bucket").alias(side), F.col("bitmap").alias(bits))
+    joined = df.withColumn(bucket, F.bitmap_bucket_number(bit)).withColumn(at, F.bitmap_bit_position(bit)).join(F.broadcast(known), F.col(bucket) == F.col(side), "left")
+    byte = F.conv(F.hex(F.substring(F.col(bits), (F.col(at) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.getbit(byte, F.pmod(F.col(at), F.lit(8)).cast("int")) == 1
+    return joined.withColumn(flag, F.coalesce(hit, F.lit(False))).drop(bucket, at, side, bits)
+
+
+def new_names(taken: list[str], n: int) -> list[str]:
+    """``n`` column names that differ from all of ``taken``, case aside."""
+    used = {c.lower() for c in taken}
+    return [name for name in (f"__c{i}" for i in range(len(used) + n)) if name not in used][:n]
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -114,6 +103,20 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return labels
 
 
+def released(blocks: Iterator) -> Iterator:
+    """The same blocks; when they end, memory that a task no longer uses goes back to the system, as Python workers outlive tasks."""
+    yield from blocks
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def text_blocks(batches: Iterator, column: str = "text", limit: int = 2_000_000) -> Iterator:
     """Arrow batches cut into slices of about ``limit`` characters of ``column``, or one longer text."""
     import pyarrow.compute as pc

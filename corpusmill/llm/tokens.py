@@ -1,18 +1,34 @@
-"""Token ids of whole texts, as the tokenizers library gives them, with a memo for recurring pieces."""
+"""Token ids of whole texts, equal to those of the tokenizers library.
+
+The merges of a vocabulary file are compiled to a rank table of the tiktoken library, which applies
+them several times as fast. Both pick the merge of least rank, leftmost first; they could differ only in
+a token that its own merges don't build, so every token is checked when the file is read, and a
+vocabulary that fails goes to the tokenizers library alone.
+"""
 
 from __future__ import annotations
 
+import json
 import re
+import zlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from corpusmill.llm.common import released, text_blocks
 
 #: Characters with the Unicode property White_Space: a fixed value of the standard.
-WHITE_SPACE = "\t-\r \x85\xa0  -     　"
-#: Letters of which runs are looked up alone, where an ASCII character or the end follows.
-LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
-#: Entries of a memo; a full memo is emptied, so memory stays bounded on any input.
-MEMO_ENTRIES = 200_000
+WHITE_SPACE = "\t-\r \x85\xa0  -     　"
+#: Latin letters that normalisation leaves alone; symbols that are no letters, numbers or spaces in any version of Unicode.
+LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ſ"
+SYMBOLS = "\x00\x03-\x08\x0e-\x1f!-/:-@\\[-`{-\x7f¡-©«-±´¶-¸»¿×÷‐-‧‰-⁞€"
+#: What ends a word, and what stands for a word that the library encodes, in the rank table of a vocabulary with word ends.
+WORD_END, ELSEWHERE = "\x01", "\x02"
+#: Stored ids: those of larger vocabularies take four bytes.
+NARROW, WIDE = np.dtype("<u2"), np.dtype("<u4")
 
 
 def byte_letters() -> dict[int, str]:
@@ -25,85 +41,97 @@ def byte_letters() -> dict[int, str]:
 class Encoder:
     """Ids of a vocabulary file of the tokenizers library, without begin, end or added special tokens.
 
-    A text is cut where the vocabulary's own splitter always cuts (``kind``), recurring pieces are
-    remembered, and pieces not seen before go to the library, runs of plain letters straight to its model. A text that holds the string of a
-    special token goes to the library whole, as its default handles it. Null counts as empty.
+    Strings of special tokens inside a text are handled as the library's default does; null counts as empty.
     """
 
     def __init__(self, path: str):
-        import json
-
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        description = json.loads(self.tokenizer.to_str())
-        self.special = [x["content"] for x in description["added_tokens"]]
-        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.dtype = "<u2" if size <= 1 << 16 else "<u4"
-        self.lower = False
-        self.bytes = str.maketrans(byte_letters())
-        kind = (description["pre_tokenizer"] or {}).get("type")
-        if kind == "ByteLevel" and not description["normalizer"] and not description["pre_tokenizer"]["add_prefix_space"]:
-            # one space belongs to the piece after it; longer white space ends before its last character
-            rest = f" ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+"
-            self.pieces = re.compile(rf" ?[{LETTERS}]++(?=[\x00-\x7f]|\Z)|{rest}").findall
-            self.word = re.compile(f" ?[{LETTERS}]+").fullmatch
-        elif kind == "Sequence" and description["pre_tokenizer"]["pretokenizers"][0].get("behavior") == "Removed":
-            # white space is dropped, and no rule looks across it
-            self.pieces = re.compile(rf"[{LETTERS}]++(?=[\x00-\x7f]|\Z)|[^ \t-\r]+").findall
-            self.word = re.compile(f"[{LETTERS}]+").fullmatch
-            self.lower = True
-        else:
-            self.pieces, self.word = (lambda text: [text]), (lambda text: None)
-        self.memo: dict[str, bytes] = {}
-
-    def _remember(self, pieces: set[str]) -> None:
-        """Encodes unseen pieces in one call of the library."""
-        if len(self.memo) + len(pieces) > MEMO_ENTRIES:
-            self.memo.clear()
-        model, words = self.tokenizer.model.tokenize, []
-        for piece in pieces:
-            if self.word(piece):
-                letters = (piece.lower() if self.lower else piece).encode().decode("latin-1").translate(self.bytes)
-                self.memo[piece] = np.array([x.id for x in model(letters)], self.dtype).tobytes()
-            else:
-                words.append(piece)
-        if not words:
+        with open(path, encoding="utf-8") as file:
+            description = json.load(file)
+        special = {x["content"]: x["id"] for x in description["added_tokens"]}
+        self.special = list(special)
+        self.dtype = NARROW if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else WIDE
+        self.encode_text = self._library
+        model, splitter, normal = description["model"], description["pre_tokenizer"] or {}, description["normalizer"]
+        if model["type"] != "BPE" or model.get("dropout") or not special:
             return
-        if not self.special:
-            found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-            self.memo.update((w, np.asarray(x.ids, self.dtype).tobytes()) for w, x in zip(words, found, strict=True))
+        suffix = model["end_of_word_suffix"] or ""
+        ranks = self._ranks(model, special, suffix)
+        if ranks is None:
             return
-        # a special token's string, which no piece holds, ends each word: its id marks where to cut
-        mark = self.tokenizer.token_to_id(self.special[0])
-        marked = [x for w in words for x in (w, self.special[0])]
-        ids = np.asarray(self.tokenizer.encode_batch_fast([marked], is_pretokenized=True, add_special_tokens=False)[0].ids, self.dtype)
-        ends = np.flatnonzero(ids == mark)
-        if len(ends) != len(words):
-            raise ValueError("the library cut the marked words otherwise than expected")
-        size, raw, begin = ids.itemsize, ids.tobytes(), 0
-        for word, end in zip(words, (ends * ids.itemsize).tolist(), strict=True):
-            self.memo[word] = raw[begin:end]
-            begin = end + size
+        import public_tokenizers
+        import tiktoken
+
+        if splitter.get("type") == "ByteLevel" and splitter["use_regex"] and not splitter["add_prefix_space"] and not normal and not suffix:
+            self.fast = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+            self.encode_text = lambda text: self.fast.encode_to_numpy(text, allowed_special="all")
+        elif suffix and splitter.get("type") == "Sequence" and splitter["pretokenizers"][0].get("behavior") == "Removed" and normal and len(special) > 1:
+            # lower case; white space is dropped, and no rule looks across it
+            self.mark = special[self.special[0]]
+            ranks[(ELSEWHERE + WORD_END).encode()] = self.mark
+            self.fast = tiktoken.Encoding(path, pat_str=f"[^{WORD_END}]+{WORD_END}", mergeable_ranks=ranks, special_tokens={})
+            self.safe = re.compile(f"[{LETTERS}{SYMBOLS}0-9 \t-\r]*").fullmatch
+            self.pieces = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[{SYMBOLS}]+").findall
+            self.words = re.compile("[^ \t-\r]+").findall
+            self.encode_text = self._words
+
+    def _ranks(self, model: dict, special: dict[str, int], suffix: str) -> dict[bytes, int] | None:
+        """Ids by the bytes of their tokens (a word's end as WORD_END), or none if ids don't give the order of the merges
+        or a token isn't what its own merges build."""
+        from tokenizers.models import BPE
+
+        vocab = {t: i for t, i in model["vocab"].items() if t not in special}
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        first = 512 if suffix else 256
+        cut = len(suffix)
+        if len(vocab) != first + len(merges) or any(vocab.get(a[: len(a) - cut if a.endswith(suffix) and cut else None] + b) != first + i for i, (a, b) in enumerate(merges)):
+            return None
+        inner = BPE(vocab=vocab, merges=merges)
+        for token, i in vocab.items():
+            ends = bool(cut) and token.endswith(suffix)
+            built = self.tokenizer.model.tokenize(token[:-cut]) if ends else inner.tokenize(token)
+            if [x.id for x in built] != [i]:
+                return None
+        back = {c: b for b, c in byte_letters().items()}
+        end = WORD_END.encode()
+        ranks = {bytes(back[c] for c in (t[:-cut] if cut and t.endswith(suffix) else t)) + (end if cut and t.endswith(suffix) else b""): i for t, i in vocab.items()}
+        return ranks if len(ranks) == len(vocab) else None
+
+    def _library(self, text: str) -> np.ndarray:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
+
+    def _words(self, text: str) -> np.ndarray:
+        if any(s in text for s in self.special):
+            return self._library(text)
+        if self.safe(text):
+            found = self.pieces(text.lower())
+            return self.fast.encode_to_numpy(WORD_END.join(found) + WORD_END) if found else np.empty(0, self.dtype)
+        pieces, elsewhere = [], []
+        for word in self.words(text):
+            if self.safe(word):
+                pieces += self.pieces(word.lower())
+            else:
+                pieces.append(ELSEWHERE)
+                elsewhere.append(word)
+        ids = self.fast.encode_to_numpy(WORD_END.join(pieces) + WORD_END)
+        found = [np.asarray(x.ids, ids.dtype) for x in self.tokenizer.encode_batch_fast(elsewhere, add_special_tokens=False)]
+        spots = np.flatnonzero(ids == self.mark)
+        parts = np.split(ids, spots)
+        return np.concatenate([parts[0], *(x for own, rest in zip(found, parts[1:], strict=True) for x in (own, rest[1:]))])
 
     def encode_block(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text; call it with blocks of bounded size."""
-        cut = [[] if not t else None if any(s in t for s in self.special) else self.pieces(t) for t in texts]
-        seen = set().union(*(p for p in cut if p))
-        unseen = {p for p in seen if p not in self.memo}
-        if unseen:
-            if len(self.memo) + len(unseen) > MEMO_ENTRIES:
-                unseen = seen
-            self._remember(unseen)
-        get = self.memo.__getitem__
-        return [np.asarray(self.tokenizer.encode(t, add_special_tokens=False).ids, self.dtype) if p is None else np.frombuffer(b"".join(map(get, p)), self.dtype) for t, p in zip(texts, cut, strict=True)]
+        none = np.empty(0, self.dtype)
+        return [self.encode_text(t).astype(self.dtype) if t else none for t in texts]
 
 
 @lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
-    """One encoder a Python worker; its memo lives as long as the worker."""
+    """One encoder a Python worker; it holds the vocabulary and nothing of the texts."""
     return Encoder(path)
 
 
@@ -112,3 +140,27 @@ def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+def encoded_documents(docs: DataFrame, vocab: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, salt, wide, ids) of each document: ids in two bytes each where all fit, ``salt`` a hash of both."""
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        encode = encoder(vocabulary(vocab))
+        narrow = encode.dtype.itemsize == 2 and end_id < 1 << 16
+        stored = NARROW if narrow else WIDE
+        end = np.array([end_id], stored).tobytes()
+        for batch in released(text_blocks(batches)):
+            ids = [x.astype(stored).tobytes() + end for x in encode.encode_block(batch.column(1).to_pylist())]
+            salt = [zlib.crc32(x) for x in ids]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(salt, pa.int64()), pa.array([not narrow] * len(ids)), pa.array(ids, pa.binary())], ["id", "salt", "wide", "ids"])
+
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, salt long, wide boolean, ids binary")
+
+
+def stored_ids(batch, column: int) -> list[np.ndarray]:
+    """The ids of a batch; the flag before them tells their width."""
+    return [np.frombuffer(x, WIDE if wide else NARROW) for x, wide in zip(batch.column(column).to_pylist(), batch.column(column - 1).to_pylist(), strict=True)]
