@@ -1,9 +1,11 @@
 """Lexical retrieval packing: BM25 neighbours of a seed document fill its window.
 
-Every input partition is a sequence of shards of bounded size. A shard builds its own BM25 inverted
-index over the token ids of its whole documents; pieces are packed within the shard, so nothing is
-shuffled and no document group can gather in one task. The window left open at a shard's end is
-carried into the partition's next shard, so only a partition's last window holds padding.
+Texts become ids once, and document frequencies and lengths are summed over all documents. Every
+document is routed by its strongest BM25 terms: rows are dealt by ranges of these terms, so documents that
+share them stand together wherever they came from, and a term that many documents share is split
+by the next terms. A range is a sequence of shards of bounded size, each with an inverted index that weighs
+terms by the counts of the whole corpus. The window left open at a shard's end is carried into the
+range's next shard, so only a range's last window holds padding.
 """
 
 from __future__ import annotations
@@ -16,38 +18,70 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import text_blocks
-from corpusmill.llm.tokens import encoder, vocabulary
+from corpusmill.llm.common import materialize, released, text_blocks
+from corpusmill.llm.tokens import WIDE, encoded_documents, stored_ids
 
 K1, B = 1.2, 0.75
+#: Strongest terms of a document by which it is routed.
+ROUTES = 3
+#: Ids of a shard; its index takes about 100 bytes an id.
+SHARD_IDS = 1 << 20
+
+
+def term_counts(documents: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(term, place of the document, occurrences) of each distinct pair, in order of terms."""
+    n = max(len(documents), 1)
+    owner = np.repeat(np.arange(len(documents), dtype=np.int64), [len(d) for d in documents])
+    terms = np.concatenate(documents).astype(np.int64) if documents else np.empty(0, np.int64)
+    keys, tf = np.unique(terms * n + owner, return_counts=True)
+    return keys // n, keys % n, tf
+
+
+class Corpus:
+    """Counts over all documents: how many there are, their mean length, and in how many each term is."""
+
+    def __init__(self, n: int, mean: float, frequency: np.ndarray):
+        self.n, self.mean, self.frequency = n, max(mean, 1.0), frequency
+        self.idf = np.log1p((n - frequency + 0.5) / (frequency + 0.5))
+
+    def weights(self, terms: np.ndarray, tf: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """BM25 weight of each term in a document of the given length."""
+        return self.idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths / self.mean))
+
+    def routes(self, documents: list[np.ndarray]) -> np.ndarray:
+        """The ROUTES strongest terms of each document that another document has too; -1 where it has fewer."""
+        terms, owner, tf = term_counts(documents)
+        lengths = np.fromiter(map(len, documents), np.int64, len(documents))
+        shared = self.frequency[terms] > 1
+        terms, owner, tf = terms[shared], owner[shared], tf[shared]
+        order = np.lexsort((terms, -self.weights(terms, tf, lengths[owner]), owner))
+        terms, owner = terms[order], owner[order]
+        rank = np.arange(len(owner)) - np.searchsorted(owner, owner)
+        found = np.full((len(documents), ROUTES), -1, np.int32)
+        first = rank < ROUTES
+        found[owner[first], rank[first]] = terms[first]
+        return found
 
 
 class Bm25Shard:
     """Inverted index of one shard: for each term the documents that hold it and their BM25 weight."""
 
-    def __init__(self, documents: list[np.ndarray], query_terms: int):
-        n = len(documents)
-        lengths = np.fromiter(map(len, documents), np.int64, n)
-        owner = np.repeat(np.arange(n, dtype=np.uint64), lengths)
-        terms = np.concatenate(documents).astype(np.uint64) if n else np.empty(0, np.uint64)
-        keys, tf = np.unique(terms * np.uint64(n) + owner, return_counts=True)
-        self.terms, self.first = np.unique(keys // np.uint64(max(n, 1)), return_index=True)
-        self.last = np.append(self.first[1:], len(keys))
-        self.documents = (keys % np.uint64(max(n, 1))).astype(np.int64)
-        df = self.last - self.first
-        idf = np.repeat(np.log1p((n - df + 0.5) / (df + 0.5)), df)
-        norm = K1 * (1 - B + B * lengths[self.documents] / max(lengths.mean() if n else 1, 1))
-        self.weights = idf * tf * (K1 + 1) / (tf + norm)
-        # the query of a document: its strongest terms that another document shares
-        place = np.repeat(np.arange(len(self.terms)), df)
+    def __init__(self, documents: list[np.ndarray], corpus: Corpus):
+        lengths = np.fromiter(map(len, documents), np.int64, len(documents))
+        terms, self.documents, tf = term_counts(documents)
+        self.weights = corpus.weights(terms, tf, lengths[self.documents])
+        first = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]])) if len(terms) else np.empty(0, np.int64)
+        self.first, self.last = first, np.append(first[1:], len(terms))
+        df = self.last - first
+        # the query of a document: all its terms that another document of the shard has
+        place = np.repeat(np.arange(len(first)), df)
         shared = np.flatnonzero(np.repeat(df, df) > 1)
-        order = shared[np.lexsort((-self.weights[shared], self.documents[shared]))]
-        docs = self.documents[order]
-        begin = np.searchsorted(docs, np.arange(n + 1))
-        self.queries = [place[order[i : min(i + query_terms, j)]] for i, j in zip(begin, begin[1:], strict=False)]
-        self.n = n
+        order = shared[np.argsort(self.documents[shared], kind="stable")]
+        self.queries = np.split(place[order], np.searchsorted(self.documents[order], np.arange(1, max(len(documents), 1))))
+        self.n = len(documents)
 
     def scores(self, document: int) -> np.ndarray:
+        """BM25 score of every document of the shard for the terms of one."""
         found = np.zeros(self.n)
         for term in self.queries[document]:
             span = slice(self.first[term], self.last[term])
@@ -56,10 +90,10 @@ class Bm25Shard:
 
 
 class Packer:
-    """Packs the shards of one partition; the window that is open at a shard's end is carried on."""
+    """Packs the shards of one range; the window that is open at a shard's end is carried on."""
 
-    def __init__(self, size: int, query_terms: int, first_sequence: int):
-        self.size, self.query_terms = size, query_terms
+    def __init__(self, size: int, first_sequence: int, corpus: Corpus):
+        self.size, self.corpus = size, corpus
         self.unnumbered = first_sequence
         self.window, self.filled = self._number(), 0
 
@@ -70,11 +104,11 @@ class Packer:
     def pack(self, documents: list[np.ndarray]) -> Iterator[tuple[int, int, int, int, int]]:
         """(document, start, length, sequence, offset) of each piece of the shard's documents."""
         begin = [0] * len(documents)
-        for doc, ids in enumerate(documents):  # whole windows of long documents stand alone
+        for doc, ids in enumerate(documents):  # whole windows of long documents stand alone; their tails are packed
             while len(ids) - begin[doc] >= self.size:
                 yield doc, begin[doc], self.size, self._number(), 0
                 begin[doc] += self.size
-        index = Bm25Shard(documents, self.query_terms)
+        index = Bm25Shard([d[i:] for i, d in zip(begin, documents, strict=True)], self.corpus)
         unused = np.array([i < len(d) for i, d in zip(begin, documents, strict=True)], bool)
         scores, scan = None, 0
         while True:
@@ -103,13 +137,38 @@ class Packer:
                     scores = index.scores(doc) if stop < len(documents[doc]) else None
 
 
+def corpus_counts(encoded: DataFrame) -> Corpus:
+    """Counts over all documents; only sums by term, as many as the vocabulary has, come to the driver."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        total = np.zeros(2, np.int64)  # documents, ids
+        frequency = np.zeros(1, np.int64)
+        for batch in released(text_blocks(batches, column="ids")):
+            documents = stored_ids(batch, 1)
+            total += len(documents), sum(map(len, documents))
+            terms = term_counts(documents)[0]
+            found = np.bincount(terms, minlength=len(frequency))
+            found[: len(frequency)] += frequency
+            frequency = found
+        used = np.flatnonzero(frequency)
+        yield pa.RecordBatch.from_pydict({"term": np.concatenate([[-2, -1], used]), "n": np.concatenate([total, frequency[used]])})
+
+    rows = encoded.select("wide", "ids").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    counts = {r.term: r.n for r in rows}
+    n, ids = counts.pop(-2, 0), counts.pop(-1, 0)
+    frequency = np.zeros(max(counts, default=0) + 1, np.int64)
+    frequency[list(counts)] = list(counts.values())
+    return Corpus(n, ids / max(n, 1), frequency)
+
+
 def pack(
     docs: DataFrame,
     vocab: str = "byte_bpe_50k.json",
     size: int = 2048,
     end_id: int = 1,
-    query_terms: int = 24,
-    shard_chars: int = 4_000_000,
+    shard_ids: int = SHARD_IDS,
     keep_ids: bool = False,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -117,19 +176,31 @@ def pack(
     """One row a piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids, little-endian).
 
     A document's ids are those of the tokenizers library and ``end_id``; each lies in one piece.
-    A window starts with a seed; its ``query_terms`` strongest BM25 terms retrieve the shard's unused
-    documents in order of score, then documents without a shared term follow in input order. A
-    document that doesn't fit is cut and its rest seeds the next window. Null texts count as empty
-    (``end_id`` alone), null ids pass through, repeated rows are packed each, an empty table gives no row.
+    Whole windows of a document over ``size`` ids stand alone, its tail is packed. A window starts with a
+    seed, whose terms retrieve the shard's unused documents in order of BM25 score; then documents without a
+    shared term follow in the order of routing. A document that doesn't fit is cut and its rest seeds the
+    next window. Neighbours are looked for within a shard of ``shard_ids`` ids, which routing by the strongest terms fills
+    with related documents. Null texts count as empty (``end_id`` alone), null ids pass through, repeated
+    rows are packed each, a text longer than a shard is a shard of its own, ties in score go to the document
+    routed first, an empty table gives no row.
     """
+    encoded = materialize(encoded_documents(docs, vocab, end_id, id_col, text_col), "encoded")
+    corpus = docs.sparkSession.sparkContext.broadcast(corpus_counts(encoded))
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def route(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in released(text_blocks(batches, column="ids")):
+            routes = corpus.value.routes(stored_ids(batch, 3))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(routes[:, i]) for i in range(ROUTES))], [*batch.schema.names, *(f"k{i}" for i in range(ROUTES))])
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        encode = encoder(vocabulary(vocab)).encode_block
-        packer = Packer(size, query_terms, TaskContext.get().partitionId() << 40)
-        for batch in text_blocks(batches, limit=shard_chars):
-            documents = [np.append(x.astype("<u4"), np.uint32(end_id)) for x in encode(batch.column(1).to_pylist())]
+        packer = Packer(size, TaskContext.get().partitionId() << 40, corpus.value)
+        for batch in released(shards(batches)):
+            documents = [x.astype(WIDE) for x in stored_ids(batch, 2)]
             rows = list(packer.pack(documents))
             doc, start, length, sequence, offset = (np.array(x, np.int64) for x in zip(*rows, strict=True))
             pieces = [documents[d][s : s + n].tobytes() for d, s, n in zip(doc.tolist(), start.tolist(), length.tolist(), strict=True)]
@@ -146,7 +217,24 @@ def pack(
                 columns["ids"] = pa.array(pieces, pa.binary())
             yield pa.RecordBatch.from_pydict(columns)
 
-    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = docs.schema[id_col].dataType.simpleString()
+    def shards(batches: Iterator) -> Iterator:
+        """Batches cut and joined to shards of about ``shard_ids`` ids."""
+        import pyarrow as pa
+
+        held, total = [], 0
+        for batch in text_blocks(batches, column="ids", limit=2 * shard_ids):
+            n = sum(len(x) // 2 for x in batch.column(2).to_pylist())
+            if held and total + n > shard_ids:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, total = [], 0
+            held.append(batch)
+            total += n
+        if held:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    keys = [f"k{i}" for i in range(ROUTES)]
+    routed = encoded.mapInArrow(route, f"id {kind}, salt long, wide boolean, ids binary, " + ", ".join(f"{k} int" for k in keys))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = routed.repartitionByRange(parts, *keys, "salt", "id").sortWithinPartitions(*keys, "salt", "id").select("id", "wide", "ids")
     schema = f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids binary" * keep_ids
-    return slim.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return dealt.mapInArrow(run, schema).withColumnRenamed("id", id_col)
