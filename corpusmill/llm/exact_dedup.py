@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import JAVA_SPACE, in_bitmap, key_bitmap, materialize, text_of
+from corpusmill.llm.common import JAVA_SPACE, in_bitmap, key_bitmap, materialize, new_names, text_of
 
 PREFIX_CHARS = 128
 
@@ -65,15 +65,20 @@ def _grouped(docs: DataFrame, digest_all: bool, prefix_chars: int, id_col: str,
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of ``exact_groups``; all columns stay."""
+    """``docs`` with one row of each group of ``exact_groups``; all columns stay, whatever their names.
+
+    Null texts count as empty, so of rows without text one stays; of rows equal in id and text one stays; an empty
+    table stays empty.
+    """
+    gone_id, gone_key, key, flag = new_names(docs.columns, 4)
     counted, groups = _grouped(docs, False, PREFIX_CHARS, id_col, text_col)
     copies = materialize(counted.join(groups, ["text_sha256", "size"]).select("id", "key", _stays().alias("stays"), "rows"), "copies")
-    gone = copies.where(~F.col("stays")).select(F.col("id").alias("__gone_id"), F.col("key").alias("__gone"))
+    gone = copies.where(~F.col("stays")).select(F.col("id").alias(gone_id), F.col("key").alias(gone_key))
     touched = key_bitmap(copies.where("not stays or rows > 1").select("key"), "key")
     # rows outside the bitmap of what goes or repeats stay without a join
-    flagged = in_bitmap(docs.withColumn("__key", F.xxhash64(text_of(text_col))), F.col("__key"), touched, "__open")
-    doubtful = flagged.where("__open").join(gone, (F.col("__key") == F.col("__gone")) & F.col(id_col).eqNullSafe(F.col("__gone_id")), "left_anti")
-    return flagged.where(~F.col("__open")).unionByName(doubtful.dropDuplicates([id_col, "__key"])).drop("__open", "__key")
+    flagged = in_bitmap(docs.withColumn(key, F.xxhash64(text_of(text_col))), F.col(key), touched, flag)
+    doubtful = flagged.where(flag).join(gone, (F.col(key) == F.col(gone_key)) & F.col(id_col).eqNullSafe(F.col(gone_id)), "left_anti")
+    return flagged.where(~F.col(flag)).unionByName(doubtful.dropDuplicates([id_col, key])).drop(flag, key)
 
 
 ORACLE = r"""

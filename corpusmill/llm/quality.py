@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import WORD, in_bitmap, key_bitmap, materialize, text_blocks
+from corpusmill.llm.common import WORD, in_bitmap, key_bitmap, materialize, new_names, released, text_blocks
 
 #: Distinct documents of a host from which a line counts as boilerplate, and what a document must keep without them.
 LINE_DOCUMENTS = 10
@@ -64,7 +64,7 @@ def document_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         words_of = re.compile(WORD).findall
         digits = str.maketrans("123456789", "0" * 9)
         number = TaskContext.get().partitionId() << 33
-        for batch in text_blocks(batches):
+        for batch in released(text_blocks(batches)):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             n = len(texts)
             codes: dict[str, int] = {}
@@ -157,11 +157,39 @@ def _judged(docs: DataFrame, line_documents: int, min_words: int, min_share: flo
 
 
 def drop_rejected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """``docs`` without the documents that ``judge`` rejects; all columns stay."""
+    """``docs`` without the documents that ``judge`` rejects; all columns stay, whatever their names.
+
+    Null and empty texts have too few words and go; repeated rows share their fate; an empty table stays empty.
+    """
+    gone_id, gone_row, row, flag = new_names(docs.columns, 4)
     verdicts = _judged(docs, LINE_DOCUMENTS, MIN_WORDS, MIN_SHARE, id_col, text_col, host_col)
-    gone = materialize(verdicts.where(~F.col("kept")).select(F.col("__row").alias("__gone"), F.col(id_col).alias("__gone_id")), "rejected")
-    numbered = docs.withColumn("__row", _row(id_col, text_col, host_col))
+    gone = materialize(verdicts.where(~F.col("kept")).select(F.col("__row").alias(gone_row), F.col(id_col).alias(gone_id)), "rejected")
+    numbered = docs.withColumn(row, _row(id_col, text_col, host_col))
     # rows outside the bitmap of rejected rows stay without a join
-    flagged = in_bitmap(numbered, F.col("__row"), key_bitmap(gone.select(F.col("__gone").alias("key")), "key"), "__open")
-    doubtful = flagged.where("__open").join(gone, (F.col("__row") == F.col("__gone")) & F.col(id_col).eqNullSafe(F.col("__gone_id")), "left_anti")
-    return flagged.where(~F.col("__open")).unionByName(doubtful).drop("__open", "__row")
+    flagged = in_bitmap(numbered, F.col(row), key_bitmap(gone.select(F.col(gone_row).alias("key")), "key"), flag)
+    doubtful = flagged.where(flag).join(gone, (F.col(row) == F.col(gone_row)) & F.col(id_col).eqNullSafe(F.col(gone_id)), "left_anti")
+    return flagged.where(~F.col(flag)).unionByName(doubtful).drop(flag, row)
+
+
+ORACLE = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS host FROM documents
+), w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM d
+), win AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 6), lambda i: {'spot': i, 'words': array_to_string(w[i:i + 7], ' ')})) AS x FROM w WHERE len(w) >= 8
+), again AS (SELECT doc_id, x.spot AS spot, count(*) OVER (PARTITION BY doc_id, x.words) AS n FROM win
+), covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(spot, spot + 8)) AS p FROM again WHERE n > 1) GROUP BY doc_id
+), lines AS (SELECT doc_id, host, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS nr FROM d
+), norm AS (
+    SELECT doc_id, host, line, nr, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
+           regexp_replace(lower(array_to_string(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), ' ')), '[0-9]', '0', 'g') AS norm
+    FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM norm GROUP BY doc_id
+), body AS (SELECT doc_id, md5(string_agg(norm, chr(10) ORDER BY nr)) AS body FROM norm GROUP BY doc_id
+), common AS (SELECT host, norm FROM norm JOIN body USING (doc_id) GROUP BY host, norm HAVING count(DISTINCT body) >= 10
+), lost AS (SELECT doc_id, sum(words) AS n FROM norm JOIN common USING (host, norm) GROUP BY doc_id
+), stats AS (
+    SELECT w.doc_id, len(w.w) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars, length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+           coalesce(dup.n, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words, coalesce(lost.n, 0)::BIGINT AS n_line_words
+    FROM w LEFT JOIN dup USING (doc_id) LEFT JOIN covered USING (doc_id) LEFT JOIN lost USING (doc_id)
+), judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM stats)
+SELECT *, NOT base_failed AND NOT (n_line_words > 0 AND (n_words - n_line_words < 20 OR n_words - n_line_words < 0.2 * n_words)) AS kept FROM judged
+"""

@@ -65,7 +65,7 @@ QUERIES = (
     op9_lattice_lm,
     op10_near_join,
 )
-ORACLES = {"op1_line_dedup": line_templates.ORACLE, "op4_exact_dedup": exact_dedup.ORACLE, "op10_near_join": near_dup.ORACLE}
+ORACLES = {"op1_line_dedup": line_templates.ORACLE, "op4_exact_dedup": exact_dedup.ORACLE, "op6_quality_rules": quality.ORACLE, "op10_near_join": near_dup.ORACLE}
 
 
 def queries() -> dict:
