@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
+from corpusmill.operators import minhash
+from corpusmill.sources.shared import materialize
 
 #: A trivial solution that matches too much: a fixed value.
 WHITELIST = ("return ''.join(strings)",)
@@ -30,14 +32,14 @@ def substring_matches(docs: DataFrame, needles: DataFrame, id_col: str = "doc_id
     long = F.size("w") >= seed_words + 2
     # words inside the needle are whole words of a text that holds it; split on single spaces keeps runs exact
     seeded = marked.where(long).withColumn("seed", F.array_join(F.slice("w", 2, seed_words), "\x1f")).drop("w")
-    rows = docs.select(F.col(id_col).alias("id"), F.lower(F.coalesce(text_col, F.lit(""))).alias("t"))
+    rows = docs.select(F.col(id_col).alias("id"), F.lower(F.coalesce(text_col, F.lit(""))).alias("t")).withColumn("row", F.xxhash64("id", "t"))
     places = lambda w: F.sequence(F.lit(1), F.greatest(F.size(w) - seed_words + 1, F.lit(1)))
     runs = tx.let(F.split("t", r"\s", -1), lambda w: F.transform(places(w), lambda i: F.array_join(F.slice(w, i, seed_words), "\x1f")))
     seeds = seeded.select("seed").distinct()
     if seeds.count() <= BROADCAST_ROWS:  # then the runs of a text are tested where they are made
         seeds = F.broadcast(seeds)
-    candidates = rows.select("id", F.explode(F.array_distinct(runs)).alias("seed")).join(seeds, "seed", "left_semi").join(seeded, "seed").select("id", "benchmark", "ord", "needle", "lowered").distinct()
-    found = candidates.join(rows, "id").where(F.col("t").contains(F.col("lowered"))).select("id", "benchmark", "ord", "needle")
+    candidates = rows.select("id", "row", F.explode(F.array_distinct(runs)).alias("seed")).join(seeds, "seed", "left_semi").join(seeded, "seed").select("id", "row", "benchmark", "ord", "needle", "lowered").distinct()
+    found = candidates.drop("id").join(rows, "row").where(F.col("t").contains(F.col("lowered"))).select("id", "benchmark", "ord", "needle")
     short = marked.where(~long).drop("w")
     chars = short.agg(F.coalesce(F.sum(F.char_length("needle")), F.lit(0))).first()[0]
     if chars > BROADCAST_CHARS:
@@ -62,22 +64,42 @@ def incremental_matches(docs: DataFrame, needles: DataFrame, searched: DataFrame
     return docs.select(id_col).join(known.select(id_col, "needle"), id_col).unionByName(fresh)
 
 
+def _token_sets(df: DataFrame, key: str, text_col: str) -> DataFrame:
+    return df.select(F.col(key).alias("k"), F.array_distinct(tx.filled_tokens(F.coalesce(text_col, F.lit("")))).alias("s"))
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """Marked for a broadcast if its counted rows allow it."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def jaccard_pairs(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.58, id_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """(id, item, similarity) of token-set Jaccard similarity at or over ``threshold``, exactly.
 
-    Prefix filtering: with tokens ordered from rare to common, sets this similar share one of their first
-    n - ceil(threshold * n) + 1 tokens, so only these are joined; candidates are verified on whole sets.
+    Prefix filtering on the benchmark's side: a set this similar holds at least ceil(threshold * n) of an item's n tokens,
+    so it has one of the item's first n - that + 1, taken from rare to common. Tokens of documents meet only these,
+    and only where the sizes allow the similarity; candidates are verified on whole sets. Rows of one id are told apart.
     """
-    sets = lambda df, key: df.select(F.col(key).alias("k"), F.array_distinct(tx.filled_tokens(F.coalesce(text_col, F.lit("")))).alias("s"))
-    a, b = sets(docs, id_col), sets(benchmark, item_col)
-    # rarity among the benchmark orders tokens; tokens the benchmark lacks come first and join nothing
-    frequency = b.select(F.explode("s").alias("t")).groupBy("t").agg(F.count("*").alias("n"))
-
-    def prefix(df: DataFrame) -> DataFrame:
-        ranked = df.select("k", F.size("s").alias("size"), F.explode("s").alias("t")).join(frequency, "t", "left")
-        order = Window.partitionBy("k").orderBy(F.coalesce("n", F.lit(0)), "t")
-        return ranked.withColumn("r", F.row_number().over(order)).where(F.col("r") <= F.col("size") - F.ceil(threshold * F.col("size")) + 1).where("n is not null").select("k", "t")
-
-    pairs = prefix(a).toDF("a", "t").join(prefix(b).toDF("b", "t"), "t").select("a", "b").distinct()
-    verified = pairs.join(a.toDF("a", "sa"), "a").join(b.toDF("b", "sb"), "b").withColumn("similarity", tx.jaccard(F.col("sa"), F.col("sb")))
-    return verified.where(F.col("similarity") >= threshold).select(F.col("a").alias(id_col), F.col("b").alias(item_col), "similarity")
+    rows = _token_sets(docs, id_col, text_col).withColumn("row", F.xxhash64("k", "s")).withColumn("n", F.size("s"))
+    items = _token_sets(benchmark, item_col, text_col).withColumn("m", F.size("s")).where("m > 0")
+    tokens = rows.select("row", "n", F.explode("s").alias("t"))
+    listed = items.select("k", "m", F.explode("s").alias("t"))
+    vocabulary = _small(listed.select("t").distinct())
+    frequency = tokens.join(vocabulary, "t", "left_semi").groupBy("t").agg(F.count("*").alias("df"))
+    order = Window.partitionBy("k").orderBy(F.coalesce("df", F.lit(0)), "t")
+    ranked = listed.join(frequency, "t", "left").withColumn("r", F.row_number().over(order))
+    prefix = _small(materialize(ranked.where(F.col("r") <= F.col("m") - F.ceil(threshold * F.col("m") - 1e-9) + 1).select("t", F.col("k").alias("item"), "m"), "prefix"))
+    fits = (F.col("n") >= threshold * F.col("m") - 1e-9) & (F.col("m") >= threshold * F.col("n") - 1e-9)
+    pairs = tokens.join(prefix, "t").where(fits).select("row", "item").distinct()
+    verified = pairs.join(_small(items.select(F.col("k").alias("item"), F.col("s").alias("si"))), "item").join(rows, "row")
+    verified = verified.withColumn("similarity", tx.jaccard(F.col("s"), F.col("si")))
+    return verified.where(F.col("similarity") >= threshold).select(F.col("k").alias(id_col), F.col("item").alias(item_col), "similarity").distinct()
+
+
+def lsh_pairs(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.58, num_perm: int = 128, id_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """(id, item) of documents that share a band of their token sets' MinHash with a benchmark item: the candidates of
+    an index over the benchmark that is asked for every document."""
+    bands, rows = minhash.band_choice(threshold, num_perm)
+    keys = lambda df, key: minhash.band_keys(minhash.minhash_signatures(df, num_perm, variant="tokens", id_col=key, text_col=text_col), bands, rows)
+    index = _small(materialize(keys(benchmark, item_col), "index").withColumnRenamed("id", item_col))
+    return keys(docs, id_col).join(index, ["band", "h"]).select(F.col("id").alias(id_col), item_col).distinct()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.operators.graph import connected_components
 from corpusmill.operators.minhash import band_choice, band_keys, minhash_signatures, star_edges
+from corpusmill.sources.shared import materialize
 
 
 def near_duplicate_components(
@@ -16,10 +17,11 @@ def near_duplicate_components(
     """(id, component) of documents with a near-duplicate; ``short_docs`` "keep" leaves texts without shingles alone."""
     if bands is None or rows is None:
         bands, rows = band_choice(threshold, num_perm)
-    signatures = minhash_signatures(docs, num_perm, ngram, least, variant, id_col=id_col, text_col=text_col)
+    # written once, as the buckets' minima and their members both come from it
+    signed = materialize(minhash_signatures(docs, num_perm, ngram, least, variant, id_col=id_col, text_col=text_col), "signatures")
     if short_docs == "keep":
-        signatures = signatures.where(F.array_min("sig") < 0xFFFFFFFF)
-    return connected_components(star_edges(band_keys(signatures, bands, rows)))
+        signed = signed.where("n_shingles > 0")
+    return connected_components(star_edges(band_keys(signed, bands, rows)))
 
 
 def keep_least(docs: DataFrame, components: DataFrame, id_col: str = "doc_id") -> DataFrame:

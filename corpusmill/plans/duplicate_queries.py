@@ -9,25 +9,39 @@ from corpusmill.operators import decontamination as dc
 from corpusmill.operators import dedup, minhash
 from corpusmill.operators.graph import connected_components
 from corpusmill.plans.registry import query, table
-
-#: A small hash family, which DuckDB evaluates in its wide integers, for checks of the whole chain.
-SMALL, BANDS, ROWS = 8, 4, 2
-
-
-def _permutations_sql() -> str:
-    a, b = minhash.permutations(SMALL)
-    return ", ".join(f"({i}, {x}::HUGEINT, {y}::HUGEINT)" for i, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)))
-
-
-BANDS_SQL = f"""
-t AS (SELECT doc_id, regexp_split_to_array(text, '[^A-Za-z_0-9]') AS w FROM documents),
-g AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) ELSE [] END)) AS gram FROM t),
-s AS (SELECT doc_id, sha1(gram) AS h FROM g),
-v AS (SELECT doc_id, ('0x' || substr(h, 7, 2) || substr(h, 5, 2) || substr(h, 3, 2) || substr(h, 1, 2))::BIGINT AS x FROM s),
-perms(i, a, b) AS (VALUES {_permutations_sql()}),
-m AS (SELECT doc_id, i, min((((x::HUGEINT * a + b) % 18446744073709551616) % 2305843009213693951) % 4294967296)::BIGINT AS sig FROM v, perms GROUP BY doc_id, i),
-f AS (SELECT d.doc_id, p.i, coalesce(m.sig, 4294967295) AS sig FROM documents d CROSS JOIN perms p LEFT JOIN m ON m.doc_id = d.doc_id AND m.i = p.i),
-bands AS (SELECT doc_id AS id, i // {ROWS} AS band, string_agg(lower(printf('%08x', sig)), '' ORDER BY i) AS h FROM f GROUP BY doc_id, i // {ROWS}),
+from corpusmill.sources.shared import materialize
+
+#: The default hash family and its bands at a threshold of 0.7; DuckDB evaluates it in its wide integers.
+PERMUTATIONS, THRESHOLD = 256, 0.7
+BANDS, ROWS = minhash.band_choice(THRESHOLD, PERMUTATIONS)
+
+
+def _permutations_sql(n: int) -> str:
+    """(i, low and high halves of a and b): products of 32-bit halves stay within 64 bits."""
+    a, b = minhash.permutations(n)
+    halves = lambda x: f"{x & 0xFFFFFFFF}::UBIGINT, {x >> 32}::UBIGINT"
+    return ", ".join(f"({i}, {halves(x)}, {halves(y)})" for i, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)))
+
+
+def _bands_sql(p: str, source: str, key: str, grams: str, permutations: int, bands: int, rows: int) -> str:
+    """Statements that end with ``p``bands (id, band, h); ``grams`` makes a list of the tokens w."""
+    return f"""
+{p}t AS (SELECT {key} AS doc_id, regexp_split_to_array(text, '[^A-Za-z_0-9]') AS w FROM {source}),
+{p}g AS (SELECT doc_id, unnest(list_distinct({grams})) AS gram FROM {p}t),
+{p}s AS (SELECT doc_id, sha1(gram) AS h FROM {p}g),
+{p}v AS (SELECT DISTINCT doc_id, ('0x' || substr(h, 7, 2) || substr(h, 5, 2) || substr(h, 3, 2) || substr(h, 1, 2))::UBIGINT AS x FROM {p}s),
+{p}perms(i, al, ah, bl, bh) AS (VALUES {_permutations_sql(permutations)}),
+{p}p1 AS (SELECT doc_id, i, x * al AS low, ((x * ah) & 4294967295) + bh AS high, bl FROM {p}v, {p}perms),
+{p}p2 AS (SELECT doc_id, i, (low & 4294967295) + bl AS low, high + (low >> 32) AS high FROM {p}p1),
+{p}p3 AS (SELECT doc_id, i, low & 4294967295 AS low, (high + (low >> 32)) & 4294967295 AS high FROM {p}p2),
+{p}p4 AS (SELECT doc_id, i, (((high & 536870911) << 32) + low) + (high >> 29) AS y FROM {p}p3),
+{p}m AS (SELECT doc_id, i, min((CASE WHEN y >= 2305843009213693951 THEN y - 2305843009213693951 ELSE y END) & 4294967295)::BIGINT AS sig FROM {p}p4 GROUP BY doc_id, i),
+{p}f AS (SELECT d.doc_id, p.i, coalesce(m.sig, 4294967295) AS sig FROM {p}t d CROSS JOIN {p}perms p LEFT JOIN {p}m m ON m.doc_id = d.doc_id AND m.i = p.i),
+{p}bands AS (SELECT doc_id AS id, i // {rows} AS band, string_agg(lower(printf('%08x', sig)), '' ORDER BY i) AS h FROM {p}f WHERE i < {bands * rows} GROUP BY doc_id, i // {rows})"""
+
+
+GRAMS_SQL = "CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) ELSE [] END"
+BANDS_SQL = f"""{_bands_sql("", "documents", "doc_id", GRAMS_SQL, PERMUTATIONS, BANDS, ROWS)},
 edges AS (SELECT DISTINCT id AS src, least AS dst FROM (SELECT id, min(id) OVER (PARTITION BY band, h) AS least FROM bands) WHERE id <> least)
 """
 COMPONENTS_SQL = """
@@ -37,32 +51,32 @@ components AS (SELECT a AS id, min(b) AS component FROM reached GROUP BY a)
 """
 
 
-def _bands(spark, sf):
-    return minhash.band_keys(minhash.minhash_signatures(table(spark, sf, "documents"), SMALL), BANDS, ROWS)
+def _signed(spark, sf, **options):
+    return materialize(minhash.minhash_signatures(table(spark, sf, "documents"), PERMUTATIONS, **options), "signatures")
 
 
 @query("minhash_bands", f"WITH {BANDS_SQL} SELECT band, h, id FROM bands")
 def minhash_bands(spark, sf):
-    return _bands(spark, sf)
+    return minhash.band_keys(_signed(spark, sf), BANDS, ROWS).select("band", F.lower(F.hex("h")).alias("h"), "id")
 
 
 @query("lsh_edges", f"WITH {BANDS_SQL} SELECT src, dst FROM edges")
 def lsh_edges(spark, sf):
-    return minhash.star_edges(_bands(spark, sf))
+    return minhash.star_edges(minhash.band_keys(_signed(spark, sf), BANDS, ROWS))
 
 
-def _small_components(spark, sf):
-    return dedup.near_duplicate_components(table(spark, sf, "documents"), num_perm=SMALL, bands=BANDS, rows=ROWS)
+def _components(spark, sf):
+    return dedup.near_duplicate_components(table(spark, sf, "documents"), THRESHOLD, PERMUTATIONS)
 
 
 @query("components", f"WITH RECURSIVE {BANDS_SQL}, {COMPONENTS_SQL} SELECT id, component FROM components")
 def components(spark, sf):
-    return _small_components(spark, sf)
+    return _components(spark, sf)
 
 
 @query("dedup_keep_least", f"WITH RECURSIVE {BANDS_SQL}, {COMPONENTS_SQL} SELECT doc_id FROM documents LEFT JOIN components ON doc_id = id WHERE component IS NULL OR component = id")
 def dedup_keep_least(spark, sf):
-    return dedup.keep_least(table(spark, sf, "documents"), _small_components(spark, sf)).select("doc_id")
+    return dedup.keep_least(table(spark, sf, "documents"), _components(spark, sf)).select("doc_id")
 
 
 @query(
@@ -75,18 +89,19 @@ def dedup_keep_least(spark, sf):
 def dedup_keep_best(spark, sf):
     docs = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
     order = [-F.coalesce("quality", F.lit(0)), -F.col("n_chars")]
-    return dedup.keep_best(docs, _small_components(spark, sf), order).select("doc_id")
+    return dedup.keep_best(docs, _components(spark, sf), order).select("doc_id")
 
 
-@query("dedup_keep_min")
+@query("dedup_keep_min", f"WITH RECURSIVE {BANDS_SQL}, {COMPONENTS_SQL} SELECT doc_id, lang, source, n_chars FROM documents LEFT JOIN components ON doc_id = id WHERE component IS NULL OR component = id")
 def dedup_keep_min(spark, sf):
     """Near-dedup with the default parameters: 256 permutations, threshold 0.7, 5-grams."""
     docs = table(spark, sf, "documents")
-    return dedup.keep_least(docs, dedup.near_duplicate_components(docs)).select("doc_id", "lang", "source", "n_chars")
+    return dedup.keep_least(docs, _components(spark, sf)).select("doc_id", "lang", "source", "n_chars")
 
 
 @query("dedup_v2")
 def dedup_v2(spark, sf):
+    """The second variant; DuckDB has no xxHash of 32 bits, so a brute-force version checks it."""
     docs = table(spark, sf, "documents")
     return dedup.keep_least(docs, dedup.near_duplicate_components(docs, num_perm=250, variant="v2")).select("doc_id", "lang", "source", "n_chars")
 
@@ -94,7 +109,7 @@ def dedup_v2(spark, sf):
 @query("dedup_report", f"WITH RECURSIVE {BANDS_SQL}, {COMPONENTS_SQL}, k AS (SELECT count(*) AS n FROM components WHERE id <> component) SELECT count(*) AS rows_before, count(*) - (SELECT n FROM k) AS rows_after, round(100 * (count(*) - (SELECT n FROM k)) / count(*), 2) AS kept_percent FROM documents")
 def dedup_report(spark, sf):
     docs = table(spark, sf, "documents")
-    return dedup.dedup_report(docs, dedup.keep_least(docs, _small_components(spark, sf)))
+    return dedup.dedup_report(docs, dedup.keep_least(docs, _components(spark, sf)))
 
 
 @query("graph_components", """WITH RECURSIVE e AS (SELECT o_custkey AS src, o_custkey // 3 AS dst FROM orders), b AS (SELECT src AS a, dst AS b FROM e WHERE src <> dst UNION SELECT dst, src FROM e WHERE src <> dst),
@@ -167,6 +182,23 @@ def decontam_jaccard(spark, sf):
     return dc.jaccard_pairs(table(spark, sf, "documents"), table(spark, sf, "benchmark"), 0.2)
 
 
+@query("decontam_near", f"WITH {TOKEN_SETS_SQL} SELECT doc_id, item_id, similarity FROM sims WHERE similarity >= 0.58")
+def decontam_near(spark, sf):
+    """The default threshold."""
+    return dc.jaccard_pairs(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+FILLED_SQL = "list_filter(w, lambda x: x <> '')"
+
+
+@query(
+    "decontam_lsh",
+    f"WITH {_bands_sql('d_', 'documents', 'doc_id', FILLED_SQL, 128, *minhash.band_choice(0.25, 128))}, {_bands_sql('i_', 'benchmark', 'item_id', FILLED_SQL, 128, *minhash.band_choice(0.25, 128))} SELECT DISTINCT a.id AS doc_id, b.id AS item_id FROM d_bands a JOIN i_bands b USING (band, h)",
+)
+def decontam_lsh(spark, sf):
+    return dc.lsh_pairs(table(spark, sf, "documents"), table(spark, sf, "benchmark"), 0.25)
+
+
 @query("decontam_max_similarity", f"WITH {TOKEN_SETS_SQL}, best AS (SELECT doc_id, max(similarity) AS s FROM sims WHERE similarity >= 0.1 GROUP BY doc_id) SELECT count(*) AS n, min(s) AS least, max(s) AS most, avg(s) AS mean FROM best")
 def decontam_max_similarity(spark, sf):
     pairs = dc.jaccard_pairs(table(spark, sf, "documents"), table(spark, sf, "benchmark"), 0.1)
