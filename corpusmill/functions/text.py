@@ -157,3 +157,67 @@ def is_private_ipv4(value: Column) -> Column:
         low = sum(int(x) << 8 * (3 - i) for i, x in enumerate(address.split(".")))
         found = found | number.between(low, low + 2 ** (32 - length) - 1)
     return F.coalesce(found, F.lit(False))
+
+
+#: Shape of an IPv6 address with at most one run of left-out groups.
+IPV6_GROUP = "[0-9A-Fa-f]{1,4}"
+IPV6 = rf"(?:(?:{IPV6_GROUP}:){{7}}{IPV6_GROUP}|(?=(?:[^:]*:){{2,8}}[^:]*$)(?:{IPV6_GROUP}(?::{IPV6_GROUP}){{0,6}})?::(?:{IPV6_GROUP}(?::{IPV6_GROUP}){{0,6}})?)"
+
+
+def is_ipv6(value: Column) -> Column:
+    return value.rlike(f"^{IPV6}$") & (F.size(F.filter(F.split(value, ":", -1), lambda g: g != "")) <= 8)
+
+
+#: Private and reserved IPv6 ranges, and public ones inside of them (address, prefix length): fixed values of the address registry.
+PRIVATE_IPV6 = (
+    ("::1", 128), ("::", 128), ("::ffff:0:0", 96), ("64:ff9b:1::", 48), ("100::", 64), ("2001::", 23), ("2001:db8::", 32), ("2002::", 16),
+    ("3fff::", 20), ("fc00::", 7), ("fe80::", 10),
+)
+PUBLIC_IPV6 = (("2001:1::1", 128), ("2001:1::2", 128), ("2001:3::", 32), ("2001:4:112::", 48), ("2001:20::", 28), ("2001:30::", 28))
+
+
+def is_private_ipv6(value: Column) -> Column:
+    """Whether an IPv6 address lies in a private or reserved range; false for what is no address."""
+    import ipaddress
+
+    halves = F.split(value, "::", -1)
+    filled = lambda half: F.filter(F.split(F.coalesce(half, F.lit("")), ":", -1), lambda g: g != "")
+    left, right = filled(F.get(halves, F.lit(0))), filled(F.get(halves, F.lit(1)))
+    missing = F.greatest(F.lit(8) - F.size(left) - F.size(right), F.lit(0))
+    padded = F.transform(F.concat(left, F.array_repeat(F.lit("0"), missing), right), lambda g: F.lpad(F.lower(g), 4, "0"))
+
+    def within(digits: Column, ranges) -> Column:
+        """Compares the first bits as hexadecimal text, which orders like the numbers."""
+        found = F.lit(False)
+        for address, length in ranges:
+            low = int(ipaddress.IPv6Address(address))
+            high = low | ((1 << (128 - length)) - 1)
+            found = found | digits.between(f"{low:032x}", f"{high:032x}")
+        return found
+
+    whole = let(F.array_join(padded, ""), lambda d: within(d, PRIVATE_IPV6) & ~within(d, PUBLIC_IPV6))
+    return F.coalesce(is_ipv6(value) & whole, F.lit(False))
+
+
+def is_private_ip(value: Column) -> Column:
+    return is_private_ipv4(value) | is_private_ipv6(value)
+
+
+def first_item(values: Column) -> Column:
+    """The first element of a list; null for an empty or null one."""
+    return F.get(values, F.lit(0))
+
+
+def json_list(value: Column, element: str = "string") -> Column:
+    """A JSON array as a list; empty where it is null or can't be read."""
+    return F.coalesce(F.from_json(value, f"array<{element}>"), F.array().cast(f"array<{element}>"))
+
+
+def flat_licenses(column: Column) -> Column:
+    """The plain list of a struct whose ``list`` holds structs with an ``item``."""
+    return F.transform(column["list"], lambda x: x["item"])
+
+
+def filled_size(size: Column, text: Column) -> Column:
+    """The size that a row has, else the characters of its text."""
+    return F.coalesce(size, F.char_length(text))

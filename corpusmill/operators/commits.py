@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
+from difflib import HtmlDiff, SequenceMatcher
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -42,6 +42,22 @@ def diff_stats(old: Column | str, new: Column | str) -> Column:
     return stats(old, new)
 
 
+def html_diff(old: Column | str, new: Column | str) -> Column:
+    """A table of both sides with their differences marked, for people to look at."""
+
+    @F.pandas_udf("string")
+    def rendered(a, b):
+        import pandas as pd
+
+        return pd.Series([HtmlDiff().make_table((x or "").splitlines(), (y or "").splitlines()) for x, y in zip(a, b, strict=True)])
+
+    return rendered(old, new)
+
+
+def short_enough(contents: Column, most: int = 100_000) -> Column:
+    return F.coalesce(F.char_length(contents) < most, F.lit(False))
+
+
 def words(subject: Column) -> Column:
     return F.filter(F.split(subject, r"\s+", -1), lambda w: w != "")
 

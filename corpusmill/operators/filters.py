@@ -125,5 +125,10 @@ def without_owners(repos: Column, owners: list[str]) -> Column:
     return F.when(F.size(left) > 0, F.array_join(left, ","))
 
 
+def without_listed(df: DataFrame, listed: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose keys are on no list; null keys stay."""
+    return df.join(listed.select(*keys).distinct(), keys, "left_anti")
+
+
 def sampled(salt: str, key: Column, share: float) -> Column:
     return keyed_uniform(salt, key) < share

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import let
@@ -17,12 +17,15 @@ BOT_NAMES = (
     "msftclas", "PyDocTeur", "SparkQA", "karma-pr-reporter", "danger-public", "claassistantio", "probot-stale",
 )
 
-#: Boilerplate of mails at the start of a text: fixed values. What is kept are the first and the third group.
+#: Boilerplate of mails: fixed values, matched at the start of a text. What is kept are the first and the third group.
 MAIL_PATTERNS = (
     r"(?s)^(.*)From:.+Reply to this email directly.+view it on GitHub(.*)\n?(.*)",
     r"(?s)^(.*)On.+notifications@github.com.+wrote:.+Reply to this email directly.+view it on GitHub(.*)\n?(.*)",
     r"(?s)^(.*)Signed-off-by: .+<.+>(.*?)\n?(.*)",
 )
+MAIL_DATE = r"[0-9]+/[0-9]+/[0-9]+ [0-9]{2}:[0-9]{2} [AP]M.+wrote"
+#: White space that is stripped from both ends of a text or line.
+SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
 
 
 def event_text(comment: Column, description: Column) -> Column:
@@ -90,28 +93,61 @@ def keeps(users: Column, size: Column, events: Column, least: int = 200, most: i
     return (size >= least) & ((users >= 2) | ((size <= most) & (events <= max_events)))
 
 
+def stripped(text: Column) -> Column:
+    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+
+
 def strip_mail(text: Column) -> Column:
     """Without mail boilerplate: the first pattern that matches at the start decides, else the lines are scanned.
 
-    The scan starts at the last line that has the notification address or a date header and ends at the last
-    reply or quoted line (the one after it, if it ends with a colon); what lies between goes. If there is a
-    start but no end, the lines before the start come before the whole text.
+    The scan starts at the last line that has the notification address or a date header, or at the first line
+    if none has, and ends at the last quoted line or line with the reply notice (the one after it, if that line ends
+    with a colon), or before the first line if there is none; what lies between goes. A null text is empty.
     """
-    lines = F.split(text, "\n", -1)
-    last = lambda test: F.array_max(F.transform(lines, lambda x, i: F.when(test(x), i)))
-    start = last(lambda x: x.contains("notifications@github.com") | x.rlike(r"^\d+/\d+/\d+ \d{2}:\d{2} [AP]M.+wrote"))
-    end = F.array_max(
-        F.transform(lines, lambda x, i: F.when(x.startswith("Reply to this email directly") | x.startswith(">"), F.when(x.endswith(":"), i + 1).otherwise(i)))
-    )
-    head = F.slice(lines, 1, F.greatest(start, F.lit(0)))
-    tail = F.when(end.isNull(), lines).otherwise(F.slice(lines, F.least(end + 2, F.size(lines) + 1), F.size(lines)))
-    found = F.when(start.isNull(), text).otherwise(F.array_join(F.concat(head, tail), "\n"))
-    for pattern in reversed(MAIL_PATTERNS):
-        found = F.when(text.rlike(pattern), F.concat(F.regexp_extract(text, pattern, 1), F.regexp_extract(text, pattern, 3))).otherwise(found)
-    return F.regexp_replace(F.regexp_replace(found, "_{20,}", ""), r"^\s+|\s+$", "")
+
+    def scanned(whole: Column) -> Column:
+        return let(F.split(whole, "\n", -1), outside)
+
+    def outside(lines: Column) -> Column:
+        bare = F.transform(lines, stripped)
+        starts = F.transform(bare, lambda x, i: F.when(x.contains("notifications@github.com") | x.rlike(MAIL_DATE), i))
+        replied = lambda x, i: F.when(x.contains("Reply to this email directly"), F.when(x.endswith(":"), i + 1).otherwise(i))
+        ends = F.transform(bare, lambda x, i: F.when(x.startswith(">"), i).otherwise(replied(x, i)))
+        placed = F.transform(ends, lambda e, i: F.when(e.isNotNull(), F.struct(i.alias("line"), e.alias("end"))))
+        start, end = F.coalesce(F.array_max(starts), F.lit(0)), F.coalesce(F.array_max(placed)["end"], F.lit(-1))
+        return F.array_join(F.concat(F.slice(lines, 1, start), F.slice(lines, end + 2, F.size(lines))), "\n")
+
+    def cut(whole: Column) -> Column:
+        found = scanned(whole)
+        for pattern in reversed(MAIL_PATTERNS):
+            found = F.when(whole.rlike(pattern), F.concat(F.regexp_extract(whole, pattern, 1), F.regexp_extract(whole, pattern, 3))).otherwise(found)
+        return stripped(F.regexp_replace(found, "_{20,}", ""))
+
+    return let(stripped(F.coalesce(text, F.lit(""))), cut)
 
 
 def clean(events: Column) -> Column:
     """Mail boilerplate off, long texts truncated, bots removed; (author, text) events."""
     tidy = F.transform(events, lambda e: F.struct(e["author"].alias("author"), truncate(strip_mail(e["text"])).alias("text")))
     return without_bots(tidy)
+
+
+def run_pipeline(threads: DataFrame, events: str = "events") -> tuple[DataFrame, DataFrame]:
+    """(kept threads, report) of the whole chain over ``events`` of (author, text).
+
+    Columns added: text_size, user_count, event_count, modified_by_bot, modified_usernames. The report has the rows and the
+    characters after each step; all steps are taken in one pass over flags.
+    """
+    e = F.col(events)
+    tidy = threads.withColumn("__n", F.size(e)).withColumn(events, F.transform(e, lambda x: F.struct(x["author"].alias("author"), strip_mail(x["text"]).alias("text"))))
+    tidy = tidy.withColumn("__stripped", size_of(e)).withColumn(events, F.transform(e, lambda x: F.struct(x["author"].alias("author"), truncate(x["text"]).alias("text")))).withColumn("__cut", size_of(e))
+    tidy = tidy.withColumn("__before", F.size(e)).withColumn(events, without_bots(e)).withColumn("modified_by_bot", F.size(e) < F.col("__before"))
+    sized = tidy.withColumn("text_size", size_of(e)).withColumn("user_count", user_count(e)).withColumn("event_count", F.size(e))
+    human = F.col("event_count") > 0
+    kept = human & keeps(F.col("user_count"), F.col("text_size"), F.col("event_count"))
+    steps = [("loaded", F.lit(True), "__stripped"), ("truncate", F.lit(True), "__cut"), ("bots", human, "text_size"), ("users and size", kept, "text_size")]
+    sums = [F.coalesce(F.sum(F.when(ok, v)), F.lit(0)).alias(f"{n}{i}") for i, (_, ok, size) in enumerate(steps) for n, v in (("c", F.lit(1)), ("b", F.col(size)))]
+    rows = F.array(*[F.struct(F.lit(i).alias("step"), F.lit(name).alias("name"), F.col(f"c{i}").alias("rows"), F.col(f"b{i}").alias("size")) for i, (name, _, _) in enumerate(steps)])
+    report = sized.agg(*sums).select(F.explode(rows).alias("s")).select("s.*")
+    named = sized.where(kept).withColumn("__m", masked(e)).withColumn("modified_usernames", F.col("__m") != e).withColumn(events, F.col("__m"))
+    return named.drop("__n", "__stripped", "__cut", "__before", "__m"), report

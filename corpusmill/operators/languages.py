@@ -28,6 +28,11 @@ def exploded(languages: DataFrame) -> DataFrame:
     return languages.select("name", F.explode("extensions").alias("extension")).where("extension is not null")
 
 
+def appended(languages: DataFrame, more: DataFrame) -> DataFrame:
+    """(name, extensions) of both tables; names without a list stay out of ``exploded``."""
+    return languages.select("name", "extensions").unionByName(more.select("name", "extensions"))
+
+
 def clashes(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("extension").agg(F.sort_array(F.collect_set("name")).alias("names"), F.countDistinct("name").alias("n")).where("n > 1")
 

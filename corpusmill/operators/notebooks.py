@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import clean_markdown
+from corpusmill.sources.shared import materialize
 
 NO_OUTPUT = "_____no_output_____"
 
@@ -76,6 +77,23 @@ def structured(markdown: Column, code: Column, output: Column) -> Column:
 
 
 def chain(rows: DataFrame, key: str, order: str, text: str) -> DataFrame:
-    """(key, content, chain_length): consecutive rows (by ``order``) of one key joined behind a start mark."""
-    joined = rows.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(order, text))).alias("parts"))
-    return joined.select(key, F.concat(F.lit("<jupyter_start>"), F.array_join(F.transform("parts", lambda p: p[text]), "")).alias("content"), F.size("parts").alias("chain_length"))
+    """(key, first, content, chain_length): consecutive rows of one key, in the order of ``order`` over the whole table, joined
+    behind a start mark. A key that comes again after another starts a new chain.
+
+    Breaks are found without ordering the whole table in one task: rows are dealt by ranges of ``order``, chains are
+    found within a range, and the range's last key decides whether the next range's first chain goes on.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.select(F.col(key).alias("k"), F.col(order).alias("o"), F.col(text).alias("t")).repartitionByRange(parts, "o")
+    dealt = materialize(dealt.withColumn("p", F.spark_partition_id()), "ranges")
+    by = Window.partitionBy("p").orderBy("o")
+    marked = dealt.withColumn("breaks", (~F.col("k").eqNullSafe(F.lag("k").over(by)) | F.lag("o").over(by).isNull()).cast("int"))
+    # one row a range: whether its first row goes on with the last key of the range before, and its chains
+    ends = marked.groupBy("p").agg(F.min_by("k", "o").alias("first"), F.max_by("k", "o").alias("last"), F.sum("breaks").alias("n"))
+    ordered = Window.orderBy("p")
+    goes_on = F.coalesce(F.col("first").eqNullSafe(F.lag("last").over(ordered)) & F.lag("p").over(ordered).isNotNull(), F.lit(False))
+    own = F.col("n") - goes_on.cast("int")
+    bases = ends.select("p", own.alias("own"), goes_on.alias("goes_on")).select("p", (F.sum("own").over(ordered) - F.col("own")).alias("base"), F.col("goes_on").cast("int").alias("shift"))
+    numbered = marked.join(F.broadcast(bases), "p").withColumn("run", F.col("base") - F.col("shift") + F.sum("breaks").over(by))
+    joined = numbered.groupBy("run", "k").agg(F.sort_array(F.collect_list(F.struct("o", "t"))).alias("parts"))
+    return joined.select(F.col("k").alias(key), F.col("parts")[0]["o"].alias("first"), F.concat(F.lit("<jupyter_start>"), F.array_join(F.transform("parts", lambda p: p["t"]), "")).alias("content"), F.size("parts").alias("chain_length"))

@@ -46,20 +46,58 @@ def _patterns() -> dict:
     return {"EMAIL": email, "IP_ADDRESS": ip, "KEY": key}
 
 
-#: Key formats that their issuers publish, and quoted high-entropy assignments.
+#: Key formats that their issuers publish, assignments, and quoted strings that only their entropy marks; group v is the value.
 SECRET_FORMATS = {
-    "aws": r"\b(?:AKIA|ASIA|AGPA|AIDA|AROA)[0-9A-Z]{16}\b",
-    "github": r"\bgh[pousr]_[A-Za-z0-9]{36}\b",
-    "slack": r"\bxox[abpors]-[0-9A-Za-z-]{10,}\b",
-    "stripe": r"\b[rs]k_live_[0-9A-Za-z]{24}\b",
-    "google": r"\bAIza[0-9A-Za-z_-]{35}\b",
-    "npm": r"\bnpm_[A-Za-z0-9]{36}\b",
-    "twilio": r"\b(?:AC|SK)[0-9a-f]{32}\b",
-    "sendgrid": r"\bSG\.[A-Za-z0-9_-]{22}\.[A-Za-z0-9_-]{43}\b",
-    "jwt": r"\beyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\b",
-    "private_key": r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----",
+    "artifactory": r"(?:^|[\s=:\"'])(?P<v>AKC[a-zA-Z0-9]{10,}|AP[0-9A-F][a-zA-Z0-9]{8,})",
+    "aws": r"\b(?P<v>(?:AKIA|ASIA|AGPA|AIDA|AROA|A3T[A-Z0-9])[0-9A-Z]{16})\b",
+    "azure": r"AccountKey=(?P<v>[a-zA-Z0-9+/=]{88})",
+    "cloudant": r"(?i:cloudant[^\n]{0,40}?[\"':=\s])(?P<v>[0-9a-f]{64}|[a-z]{24})\b",
+    "discord": r"\b(?P<v>[MNO][a-zA-Z\d_-]{23,25}\.[a-zA-Z\d_-]{6}\.[a-zA-Z\d_-]{27})",
+    "github": r"\b(?P<v>gh[pousr]_[A-Za-z0-9]{36})\b",
+    "google": r"\b(?P<v>AIza[0-9A-Za-z_-]{35})\b",
+    "ibm_iam": r"(?i:ibm[^\n]{0,20}?(?:api[_-]?key|iam|token)[^\n]{0,10}?[\"':=\s])(?P<v>[a-zA-Z0-9_-]{44})(?![a-zA-Z0-9_-])",
+    "ibm_cos": r"(?i:secret[_-]?access[_-]?key[\"']?\s*[:=]\s*[\"']?)(?P<v>[a-f0-9]{48})(?![a-f0-9])",
+    "jwt": r"\b(?P<v>eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)\b",
+    "mailchimp": r"\b(?P<v>[0-9a-z]{32}-us[0-9]{1,2})\b",
+    "npm": r"\b(?P<v>npm_[A-Za-z0-9]{36})\b|//[^\n]+/:_authToken=\s*(?P<w>npm_.+|[A-Fa-f0-9-]{36})",
+    "private_key": r"(?P<v>-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----)",
+    "sendgrid": r"\b(?P<v>SG\.[A-Za-z0-9_-]{22}\.[A-Za-z0-9_-]{43})\b",
+    "slack": r"\b(?P<v>xox[abpors]-[0-9A-Za-z-]{10,})\b|(?P<w>https://hooks\.slack\.com/services/[A-Z0-9]+/[A-Z0-9]+/[A-Za-z0-9]+)",
+    "softlayer": r"(?i:(?:softlayer|sl)[_-]?(?:api[_-]?)?(?:key|token|pass\w*)[\"']?\s*[:=]\s*[\"']?)(?P<v>[a-z0-9]{64})(?![a-z0-9])",
+    "stripe": r"\b(?P<v>[rs]k_live_[0-9A-Za-z]{24})\b",
+    "twilio": r"\b(?P<v>(?:AC|SK)[0-9a-f]{32})\b",
     "assigned": r"(?i:(?:token|secret|password|passwd|api_?key)\s*[=:]\s*)[\"'](?P<v>[A-Za-z0-9+/=_-]{16,})[\"']",
+    "base64": r"([\"'])(?P<v>[A-Za-z0-9+/_-]{20,}={0,2})\1",
+    "hex": r"([\"'])(?P<v>[0-9a-fA-F]{20,})\1",
 }
+#: Bits a character that a value must exceed, where its shape alone says little.
+ENTROPIES = {"assigned": 3.0, "base64": 4.5, "hex": 3.0}
+#: What a text needs for a pattern to match at all; texts without any of it are not sent to Python.
+NEEDED = {
+    "EMAIL": "@",
+    "IP_ADDRESS": r"[0-9]\.[0-9]|[0-9A-Fa-f]:[0-9A-Fa-f]*:|::",
+    "KEY": r"(?i)AKC|AP[0-9A-F]|AKIA|ASIA|AGPA|AIDA|AROA|A3T|AccountKey|cloudant|[MNO][a-z0-9_-]{23}|gh[pousr]_|AIza|ibm|secret|eyJ|-us[0-9]|npm_|authToken|PRIVATE KEY|SG\.|xox|hooks\.slack|softlayer|sl[_-]?(?:api|key|token|pass)|_live_|AC[0-9a-f]{32}|SK[0-9a-f]{32}|token|passw|api_?key|[\"'][A-Za-z0-9+/_-]{20}",
+}
+
+
+def is_uuid(value: str) -> bool:
+    return bool(re.fullmatch(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", value))
+
+
+def is_sequence(value: str) -> bool:
+    """Whether a value is part of an alphabet in order, once or twice over."""
+    runs = ("abcdefghijklmnopqrstuvwxyz0123456789", "0123456789abcdefghijklmnopqrstuvwxyz", "0123456789abcdef", "abcdefghijklmnopqrstuvwxyz0123456789+/")
+    return any(value.lower() in run * 2 for run in runs)
+
+
+def is_template(value: str) -> bool:
+    return (value[0], value[-1]) in {("{", "}"), ("<", ">"), ("[", "]")} or value.startswith("${")
+
+
+def names_an_id(text: str, start: int) -> bool:
+    """Whether the value is assigned to something that is named an id."""
+    before = text[text.rfind("\n", 0, start) + 1 : start]
+    return bool(re.search(r"(?:^|[^a-zA-Z])(?:id|my_id|user_?id|uid|ids)[\"']?\s*[:=]\s*[\"']?$", before, re.I))
 
 
 def entropy(value: str) -> float:
@@ -69,8 +107,7 @@ def entropy(value: str) -> float:
 class BigramModel:
     """Mean log likelihood of letter pairs; fitted on any words, compared to a configurable threshold."""
 
-    def __init__(self, words: list[str], threshold: float = -3.6):
-        letters = "abcdefghijklmnopqrstuvwxyz"
+    def __init__(self, words: list[str], threshold: float = -3.6, letters: str = "abcdefghijklmnopqrstuvwxyz"):
         counts = {(a, b): 1.0 for a in letters for b in letters}
         for word in words:
             for pair in zip(word.lower(), word.lower()[1:], strict=False):
@@ -93,6 +130,12 @@ def is_version(value: str, context: str) -> bool:
     return value.count(".") == 3 and len(value) == 7 and not re.search("dns|server", context, re.I)
 
 
+def is_version_column(value: Column, context: Column) -> Column:
+    """``is_version`` in the JVM."""
+    quad = (F.char_length(value) == 7) & (F.size(F.split(value, r"\.", -1)) == 4)
+    return quad & ~F.lower(context).rlike("dns|server")
+
+
 def is_date(value: str) -> bool:
     return any(p.fullmatch(value) for p in DATES)
 
@@ -111,9 +154,20 @@ def is_hash(text: str, start: int, value: str) -> bool:
     return len(value) in (32, 40, 64) and any(w in before for w in ("sha", "md5", "hash", "byte"))
 
 
-def has_many_hashes(text: str, share: float = 0.02) -> bool:
-    lowered = text.lower()
-    return lowered.count("sha") + lowered.count("hash") > int(share * text.count("\n"))
+def has_many_hashes(text: Column, share: float = 0.02) -> Column:
+    """Whether a text names "sha" or "hash" more often than for a share of its line breaks."""
+    lowered = F.lower(text)
+    least = F.floor(share * tx.occurrences(text, "\n"))
+    return (tx.occurrences(lowered, "sha") > least) | (tx.occurrences(lowered, "hash") > least)
+
+
+def follows_hash_word(text: Column, value: Column) -> Column:
+    """Whether a value of a digest's length first occurs after a word for digests on its line."""
+    line = F.lower(F.substring_index(F.substring(text, F.lit(1), F.instr(text, value) - 1), "\n", -1))
+    found = F.lit(False)
+    for word in ("sha", "md5", "hash", "byte"):
+        found = found | line.contains(word)
+    return F.char_length(value).isin(32, 40, 64) & found
 
 
 def detect(text: str, model: BigramModel | None = None, key_detector: str = "other", strict: bool = False) -> list[tuple[str, str, int, int]]:
@@ -130,17 +184,21 @@ def detect(text: str, model: BigramModel | None = None, key_detector: str = "oth
                 continue
             found.append((tag, value, start, end))
     if key_detector != "regex":
-        for name, pattern in SECRET_FORMATS.items():
-            for m in re.finditer(pattern, text):
-                part = "v" if name == "assigned" else 0
+        for name, pattern in _SECRETS.items():
+            for m in pattern.finditer(text):
+                part = "v" if m["v"] is not None else "w"
                 value, (start, end) = m[part], m.span(part)
-                if name == "assigned" and entropy(value) < 3.0 or is_hash(text, start, value) or any(s < end and start < e for _, _, s, e in found):
+                if entropy(value) < ENTROPIES.get(name, 0.0) or is_hash(text, start, value) or is_uuid(value) or is_sequence(value) or is_template(value) or names_an_id(text, start):
+                    continue
+                if name in ("base64", "hex") and model and not model.is_gibberish(value):
                     continue
-                found.append(("KEY", value, start, end))
+                if not any(s < end and start < e for _, _, s, e in found):
+                    found.append(("KEY", value, start, end))
     return sorted(found, key=lambda x: (x[2], x[0]))
 
 
 _CACHE: dict = {}
+_SECRETS = {name: re.compile(pattern, re.M) for name, pattern in SECRET_FORMATS.items()}
 
 
 def _patterns_cached() -> dict:
@@ -150,13 +208,20 @@ def _patterns_cached() -> dict:
 
 
 def scan(docs: DataFrame, key_detector: str = "other", model: BigramModel | None = None, text_col: str = "text") -> DataFrame:
-    """``docs`` with secrets, has_secrets and number_secrets; a null text has none."""
+    """``docs`` with secrets, has_secrets and number_secrets; a null text has none.
+
+    Plain searches in the JVM tell the texts that can hold something; only these go to Python, once each.
+    """
 
     @F.pandas_udf(SPANS)
     def spans(texts):
-        return texts.map(lambda t: [{"tag": a, "value": b, "start": c, "end": d} for a, b, c, d in detect(t or "", model, key_detector)])
+        return texts.map(lambda t: [{"tag": a, "value": b, "start": c, "end": d} for a, b, c, d in detect(t, model, key_detector)] if t else [])
 
-    return docs.withColumn("secrets", spans(F.col(text_col))).withColumn("number_secrets", F.size("secrets")).withColumn("has_secrets", F.col("number_secrets") > 0)
+    text = F.col(text_col)
+    may = text.contains(NEEDED["EMAIL"]) | text.rlike(NEEDED["IP_ADDRESS"]) | (F.lit(True) if key_detector == "regex" else text.rlike(NEEDED["KEY"]))
+    # a plan that copies the call below a filter would run it twice
+    found = spans.asNondeterministic()(F.when(may, text))
+    return docs.withColumn("secrets", found).withColumn("number_secrets", F.size("secrets")).withColumn("has_secrets", F.col("number_secrets") > 0)
 
 
 def merge_spans(spans: Column) -> Column:
@@ -181,24 +246,39 @@ def fold_redaction(text: Column, spans: Column, replacement) -> Column:
 
 
 def redact(docs: DataFrame, pools: dict[str, list[str]], id_col: str = "doc_id", text_col: str = "text", spans_col: str = "secrets") -> DataFrame:
-    """``docs`` with new_content and modified. A value has one replacement in a document, chosen from its pool by a
-    keyed hash; private and popular addresses stay; texts without a span to replace, and null texts, stay as they are.
+    """``docs`` with new_content, references and modified. A value has one replacement in a document, chosen from its pool by a
+    keyed hash; private and popular addresses stay, and so does what is no address of either version; texts without a span
+    to replace, and null texts, stay as they are.
 
-    ``pools`` has EMAIL, KEY, IPV4 and IPV6.
+    ``references`` is the new text with replacements marked as PI:TAG:value END_PI (without the space); it is the text where there
+    are no spans, empty where none is replaced. ``pools`` has EMAIL, KEY, IPV4 and IPV6.
     """
-    skipped = lambda s: (s["tag"] == "IP_ADDRESS") & (tx.is_private_ipv4(s["value"]) | s["value"].isin(*POPULAR_DNS))
-    kept = merge_spans(F.filter(spans_col, lambda s: ~skipped(s)))
+    skipped = lambda s: (s["tag"] == "IP_ADDRESS") & (tx.is_private_ip(s["value"]) | s["value"].isin(*POPULAR_DNS))
 
     def chosen(s: Column, pool: list[str]) -> Column:
         index = keyed_index("pii", F.concat_ws(":", F.col(id_col).cast("string"), s["value"]), len(pool))
         return F.get(F.array(*map(F.lit, pool)), index)
 
-    def replacement(s: Column) -> Column:
-        six = s["value"].contains(":")
-        return F.when(s["tag"] == "EMAIL", chosen(s, pools["EMAIL"])).when(s["tag"] == "KEY", chosen(s, pools["KEY"])).when(six, chosen(s, pools["IPV6"])).otherwise(chosen(s, pools["IPV4"]))
+    def replaced(s: Column) -> Column:
+        by_version = F.when(tx.is_ipv4(s["value"]), chosen(s, pools["IPV4"])).when(tx.is_ipv6(s["value"]), chosen(s, pools["IPV6"])).otherwise(s["value"])
+        value = F.when(s["tag"] == "EMAIL", chosen(s, pools["EMAIL"])).when(s["tag"] == "KEY", chosen(s, pools["KEY"])).otherwise(by_version)
+        return F.struct(s["tag"].alias("tag"), s["start"].alias("start"), s["end"].alias("end"), value.alias("new"))
 
-    some = F.coalesce(F.size(kept), F.lit(0)) > 0
-    return docs.withColumn("new_content", F.when(some, fold_redaction(F.col(text_col), kept, replacement)).otherwise(F.col(text_col))).withColumn("modified", some)
+    text = F.col(text_col)
+    marked = lambda s: F.concat(F.lit("PI:"), s["tag"], F.lit(":"), s["new"], F.lit("END_PI"))
+    some = lambda k: F.coalesce(F.size(k), F.lit(0)) > 0
+
+    def folded(k: Column) -> Column:
+        return F.struct(
+            F.when(some(k), fold_redaction(text, k, lambda s: s["new"])).otherwise(text).alias("new_content"),
+            F.when(some(k), fold_redaction(text, k, marked)).when(some(F.col(spans_col)), "").otherwise(text).alias("references"),
+            some(k).alias("modified"),
+        )
+
+    kept = F.transform(merge_spans(F.filter(spans_col, lambda s: ~skipped(s))), replaced)
+    found = tx.let(kept, folded)
+    (name,) = [c for c in (f"__r{i}" for i in range(len(docs.columns) + 1)) if c not in docs.columns][:1]
+    return docs.withColumn(name, found).select("*", *[F.col(name)[c].alias(c) for c in ("new_content", "references", "modified")]).drop(name)
 
 
 #: Replacements in the addresses reserved for documentation.
@@ -214,15 +294,28 @@ def counters(scanned: DataFrame) -> DataFrame:
     return scanned.agg(F.count_if("has_secrets").alias("rows_with_secrets"), F.coalesce(F.sum("number_secrets"), F.lit(0)).alias("secrets"))
 
 
+def gibberish_score(value: Column, model: BigramModel) -> Column:
+    """The model's mean log likelihood of a value's letter pairs, in the JVM; null without such a pair."""
+    import json
+
+    logs = F.from_json(F.lit(json.dumps({a + b: x for (a, b), x in model.logs.items()})), "map<string,double>")
+    lowered = F.lower(value)
+    pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(value) - 1, F.lit(1))), lambda i: F.substring(lowered, i, F.lit(2)))
+    known = F.filter(F.transform(pairs, lambda p: F.try_element_at(logs, p)), lambda x: x.isNotNull())
+    return F.try_divide(F.aggregate(known, F.lit(0.0), lambda a, x: a + x), F.size(known))
+
+
 def ner_rules(entities: Column, model: BigramModel | None = None) -> Column:
     """Model entities that are redacted: no AMBIGUOUS or USERNAME, more than 3 characters, public addresses only, keys of
-    more than 8 characters, names of two words or more."""
+    more than 8 characters that ``model``, if given, calls gibberish, names of two words or more."""
     value = lambda e: e["value"]
+    address = lambda e: (tx.is_ipv4(value(e)) | tx.is_ipv6(value(e))) & ~tx.is_private_ip(value(e)) & ~value(e).isin(*POPULAR_DNS)
+    odd = lambda e: F.coalesce(gibberish_score(value(e), model) < model.threshold, F.lit(True)) if model else F.lit(True)
     keep = lambda e: (
         ~e["tag"].isin("AMBIGUOUS", "USERNAME", "EMAIL_EXAMPLE", "NAME_EXAMPLE")
         & (F.char_length(value(e)) > 3)
-        & ((e["tag"] != "IP_ADDRESS") | (tx.is_ipv4(value(e)) & ~tx.is_private_ipv4(value(e)) & ~value(e).isin(*POPULAR_DNS)))
-        & ((e["tag"] != "KEY") | (F.char_length(value(e)) > 8))
+        & ((e["tag"] != "IP_ADDRESS") | address(e))
+        & ((e["tag"] != "KEY") | ((F.char_length(value(e)) > 8) & odd(e)))
         & ((e["tag"] != "NAME") | (F.size(F.split(F.trim(value(e)), r"\s+")) >= 2))
     )
     return F.filter(entities, keep)

@@ -2,21 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
 from corpusmill.operators import pii, spans
 from corpusmill.plans.registry import query, table
 
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\.[A-Za-z]{2,}"
-
-
-@query("email_hits", f"SELECT doc_id, len(regexp_extract_all(text, '{EMAIL}')) AS n FROM documents WHERE regexp_matches(text, '{EMAIL}')")
-def email_hits(spark, sf):
-    found = F.size(F.regexp_extract_all("text", F.lit(EMAIL), F.lit(0)))
-    return table(spark, sf, "documents").select("doc_id", found.cast("long").alias("n")).where("n > 0")
-
-
+#: Shapes that DuckDB can search for; on these texts they find what the detector's wider patterns find.
+EMAIL = r"""[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}(?:[\s,!?;:"()<>]|\.\s|\.$|$)"""
 IP_ANY = r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}"
 VALID_SQL = "list_bool_and(list_transform(string_split(ip, '.'), lambda p: p::INT <= 255 AND (p = '0' OR NOT starts_with(p, '0'))))"
 NUMBER_SQL = "(string_split(ip, '.')[1]::BIGINT * 16777216 + string_split(ip, '.')[2]::BIGINT * 65536 + string_split(ip, '.')[3]::BIGINT * 256 + string_split(ip, '.')[4]::BIGINT)"
@@ -25,29 +19,49 @@ PRIVATE_SQL = " OR ".join(
 )
 
 
-@query("ipv4_hits", f"WITH f AS (SELECT doc_id, unnest(regexp_extract_all(text, '{IP_ANY}')) AS ip FROM documents) SELECT doc_id, ip, {VALID_SQL} AS valid, {VALID_SQL} AND ({PRIVATE_SQL}) AS private FROM f")
+@query("email_hits", f"SELECT doc_id, len(regexp_extract_all(text, '{EMAIL}')) AS n FROM documents WHERE regexp_matches(text, '{EMAIL}')")
+def email_hits(spark, sf):
+    found = F.size(F.filter("secrets", lambda s: s["tag"] == "EMAIL"))
+    return _scanned(spark, sf).select("doc_id", found.cast("long").alias("n")).where("n > 0")
+
+
+#: Quads with their surroundings of 100 characters; one-digit quads are versions unless dns or server is near.
+QUADS_SQL = f"""
+x AS (SELECT doc_id, text, unnest(regexp_extract_all(text, '{IP_ANY}')) AS ip FROM documents),
+y AS (SELECT DISTINCT doc_id, ip, instr(text, ip) AS spot, lower(substr(text, greatest(instr(text, ip) - 100, 1), least(instr(text, ip) - 1, 100) + length(ip) + 100)) AS near FROM x),
+q AS (SELECT *, length(ip) = 7 AND NOT (contains(near, 'dns') OR contains(near, 'server')) AS version FROM y)
+"""
+
+
+@query("ipv4_hits", f"WITH {QUADS_SQL} SELECT doc_id, ip, {VALID_SQL} AND ({PRIVATE_SQL}) AS private FROM q WHERE {VALID_SQL} AND NOT version")
 def ipv4_hits(spark, sf):
-    ips = table(spark, sf, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(IP_ANY), F.lit(0))).alias("ip"))
-    return ips.select("doc_id", "ip", tx.is_ipv4(F.col("ip")).alias("valid"), tx.is_private_ipv4(F.col("ip")).alias("private"))
+    ips = _scanned(spark, sf).select("doc_id", F.explode(F.filter("secrets", lambda s: (s["tag"] == "IP_ADDRESS") & ~s["value"].contains(":"))).alias("s")).select("doc_id", F.col("s.value").alias("ip")).distinct()
+    return ips.select("doc_id", "ip", tx.is_private_ip(F.col("ip")).alias("private"))
 
 
-@query("ip_version_filter", f"WITH f AS (SELECT doc_id, unnest(regexp_extract_all(text, '{IP_ANY}')) AS ip, lower(text) AS t FROM documents) SELECT doc_id, ip, length(ip) = 7 AND NOT (contains(t, 'dns') OR contains(t, 'server')) AS version FROM f")
+@query("ip_version_filter", f"WITH {QUADS_SQL} SELECT doc_id, ip, version FROM q")
 def ip_version_filter(spark, sf):
-    ips = table(spark, sf, "documents").select("doc_id", F.lower("text").alias("t"), F.explode(F.regexp_extract_all("text", F.lit(IP_ANY), F.lit(0))).alias("ip"))
-    return ips.select("doc_id", "ip", ((F.char_length("ip") == 7) & ~(F.col("t").contains("dns") | F.col("t").contains("server"))).alias("version"))
+    ips = table(spark, sf, "documents").select("doc_id", "text", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(IP_ANY), F.lit(0)))).alias("ip"))
+    start = F.instr("text", F.col("ip")) - 1
+    near = tx.context(F.col("text"), start, start + F.char_length("ip"), 100)
+    return ips.select("doc_id", "ip", pii.is_version_column(F.col("ip"), near).alias("version"))
 
 
-@query("many_hashes", "SELECT doc_id FROM documents WHERE (length(lower(text)) - length(replace(lower(text), 'sha', ''))) // 3 + (length(lower(text)) - length(replace(lower(text), 'hash', ''))) // 4 > floor(0.02 * (length(text) - length(replace(text, chr(10), ''))))")
+@query("many_hashes", "WITH c AS (SELECT doc_id, lower(text) AS l, floor(0.02 * (length(text) - length(replace(text, chr(10), '')))) AS least FROM documents) SELECT doc_id FROM c WHERE (length(l) - length(replace(l, 'sha', ''))) // 3 > least OR (length(l) - length(replace(l, 'hash', ''))) // 4 > least")
 def many_hashes(spark, sf):
-    lowered = F.lower("text")
-    count = tx.occurrences(lowered, "sha") + tx.occurrences(lowered, "hash")
-    return table(spark, sf, "documents").where(count > F.floor(0.02 * tx.occurrences(F.col("text"), "\n"))).select("doc_id")
+    return table(spark, sf, "documents").where(pii.has_many_hashes(F.col("text"))).select("doc_id")
 
 
-@query("secret_context_hash", r"""WITH f AS (SELECT doc_id, string_split(text, '"') AS p FROM documents WHERE contains(text, '"')) SELECT doc_id, len(list_filter(p, lambda x: regexp_full_match(x, '[0-9a-f]{40}'))) AS n FROM f WHERE len(list_filter(p, lambda x: regexp_full_match(x, '[0-9a-f]{40}'))) > 0""")
+@query(
+    "secret_context_hash",
+    r"""WITH f AS (SELECT doc_id, text, unnest(list_distinct(list_filter(string_split(text, '"'), lambda x: regexp_full_match(x, '[0-9a-f]{40}')))) AS value FROM documents WHERE contains(text, '"')),
+        l AS (SELECT doc_id, value, lower(string_split(substr(text, 1, instr(text, value) - 1), chr(10))[-1]) AS line FROM f)
+        SELECT doc_id, value, contains(line, 'sha') OR contains(line, 'md5') OR contains(line, 'hash') OR contains(line, 'byte') AS hash FROM l""",
+)
 def secret_context_hash(spark, sf):
-    found = F.size(F.filter(F.split("text", '"', -1), lambda x: x.rlike("^[0-9a-f]{40}$")))
-    return table(spark, sf, "documents").select("doc_id", found.cast("long").alias("n")).where("n > 0")
+    values = F.array_distinct(F.filter(F.split("text", '"', -1), lambda x: x.rlike("^[0-9a-f]{40}$")))
+    found = table(spark, sf, "documents").select("doc_id", "text", F.explode(values).alias("value"))
+    return found.select("doc_id", "value", pii.follows_hash_word(F.col("text"), F.col("value")).alias("hash"))
 
 
 def _scanned(spark, sf):
@@ -74,34 +88,34 @@ def pii_tag_counts(spark, sf):
     return _scanned(spark, sf).select(F.explode("secrets").alias("s")).groupBy("s.tag").agg(F.count("*").alias("n"))
 
 
-#: References: the first 'the ' of a text; predictions: the same shifted by doc_id mod 3 characters.
-REF_SQL = "r AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'NAME' ELSE 'KEY' END AS tag, (instr(text, 'the ') - 1)::INT AS s FROM documents WHERE contains(text, 'the ')), p AS (SELECT doc_id, tag, s + (doc_id % 3)::INT AS s FROM r WHERE doc_id % 5 <> 0)"
+#: References: all places of 'the ' in a text; predictions: the same shifted by doc_id mod 3 characters, and none where that is 2.
+REF_SQL = """x AS (SELECT doc_id, string_split(text, 'the ') AS w FROM documents WHERE contains(text, 'the ')),
+u AS (SELECT doc_id, unnest(w[:-2]) AS part, generate_subscripts(w[:-2], 1) AS i FROM x),
+r AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'NAME' ELSE 'KEY' END AS tag, (sum(length(part) + 4) OVER (PARTITION BY doc_id ORDER BY i) - 4)::INT AS s FROM u),
+p AS (SELECT doc_id, tag, s + (doc_id % 3)::INT AS s FROM r WHERE doc_id % 3 <> 2)"""
 
 
 @query(
     "eval_intervals",
-    f"""WITH {REF_SQL}, m AS (SELECT p.tag, greatest(least(p.s + 10, r.s + 10) - greatest(p.s, r.s), 0) / 10.0 > 0.8 AS hit FROM p JOIN r USING (doc_id, tag)),
+    f"""WITH {REF_SQL}, m AS (SELECT p.tag, p.doc_id, p.s, bool_or(greatest(least(p.s + 4, r.s + 4) - greatest(p.s, r.s), 0) / 4.0 > 0.8) AS hit FROM p JOIN r USING (doc_id, tag) WHERE r.s BETWEEN p.s - 4 AND p.s + 4 GROUP BY ALL),
         c AS (SELECT tag, count(*) FILTER (hit) AS tp, count(*) AS n_pred FROM m GROUP BY tag), n AS (SELECT tag, count(*) AS n_ref FROM r GROUP BY tag)
         SELECT tag, tp, n_pred - tp AS fp, n_ref - tp AS fn, tp / (tp + n_ref - tp) AS recall, tp / n_pred AS precision FROM c JOIN n USING (tag)""",
 )
 def eval_intervals(spark, sf):
-    docs = table(spark, sf, "documents").where(F.col("text").contains("the "))
-    start = (F.instr("text", "the ") - 1).alias("start")
-    tag = F.when(F.col("doc_id") % 2 == 0, "NAME").otherwise("KEY").alias("tag")
-    refs = docs.select("doc_id", tag, start).withColumn("end", F.col("start") + 10)
+    docs = table(spark, sf, "documents").select("doc_id", F.explode(tx.literal_offsets(F.col("text"), F.lit("the "))).alias("start"))
+    refs = docs.select("doc_id", F.when(F.col("doc_id") % 2 == 0, "NAME").otherwise("KEY").alias("tag"), "start").withColumn("end", F.col("start") + 4)
     shifted = (F.col("start") + F.col("doc_id") % 3).cast("int")
-    preds = refs.where("doc_id % 5 <> 0").withColumn("start", shifted).withColumn("end", F.col("start") + 10)
+    preds = refs.where("doc_id % 3 <> 2").withColumn("start", shifted).withColumn("end", F.col("start") + 4)
     return spans.rates(spans.match_counts(refs, preds))
 
 
-TOKENS_SQL = "w AS (SELECT doc_id, string_split(substr(text, 1, 200), ' ') AS w FROM documents), t AS (SELECT doc_id, (i - 1)::INT AS pos, w[i] AS word, coalesce(list_sum(list_transform(w[1:i - 1], lambda x: length(x) + 1)), 0)::INT AS s FROM w, unnest(range(1, len(w) + 1)) u(i))"
+TOKENS_SQL = "w AS (SELECT doc_id, string_split(text, ' ') AS w FROM documents), v AS (SELECT doc_id, unnest(w) AS word, (generate_subscripts(w, 1) - 1)::INT AS pos FROM w), t AS (SELECT doc_id, pos, word, (sum(length(word) + 1) OVER (PARTITION BY doc_id ORDER BY pos) - length(word) - 1)::INT AS s FROM v)"
 
 
 def _tokens(spark, sf):
-    words = F.split(F.substring("text", 1, 200), " ", -1)
-    placed = table(spark, sf, "documents").select("doc_id", words.alias("w")).select("doc_id", "w", F.posexplode("w").alias("pos", "word"))
-    before = F.aggregate(F.slice("w", 1, F.col("pos")), F.lit(0), lambda a, x: a + F.char_length(x) + 1)
-    return placed.select("doc_id", "pos", "word", before.alias("start")).withColumn("end", F.col("start") + F.char_length("word"))
+    placed = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", " ", -1)).alias("pos", "word"))
+    ends = F.sum(F.char_length("word") + 1).over(Window.partitionBy("doc_id").orderBy("pos")).cast("int")
+    return placed.withColumn("end", ends - 1).withColumn("start", F.col("end") - F.char_length("word"))
 
 
 @query(

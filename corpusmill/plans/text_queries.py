@@ -121,21 +121,18 @@ def language_format(spark, sf):
     "content_with_meta",
     f"""WITH h AS (SELECT doc_id, text, (CASE WHEN {uniform_sql('repo', 'doc_id')} < 0.2 THEN '<reponame>' || source ELSE '' END)
           || (CASE WHEN {uniform_sql('file', 'doc_id')} < 0.2 THEN '<filename>' || lang || '/' || doc_id ELSE '' END)
-          || (CASE WHEN {uniform_sql('stars', 'doc_id')} < 0.2 THEN '<gh_stars>' || (CASE WHEN n_chars <= 1000 THEN '100-1000' ELSE '1000+' END) ELSE '' END) AS header FROM documents WHERE n_chars > 100)
+          || (CASE WHEN {uniform_sql('stars', 'doc_id')} < 0.2 THEN '<gh_stars>' || (CASE WHEN n_chars = 0 THEN '0' WHEN n_chars <= 10 THEN '1-10' WHEN n_chars <= 100 THEN '10-100' WHEN n_chars <= 1000 THEN '100-1000' ELSE '1000+' END) ELSE '' END) AS header FROM documents)
         SELECT doc_id, header || (CASE WHEN header <> '' THEN chr(10) ELSE '' END) || text AS content FROM h""",
 )
 def content_with_meta(spark, sf):
-    docs = table(spark, sf, "documents").where("n_chars > 100")
+    docs = table(spark, sf, "documents")
     path = F.concat("lang", F.lit("/"), F.col("doc_id").cast("string"))
     return docs.select("doc_id", commits.content_with_meta(F.col("doc_id"), F.col("text"), F.col("source"), path, tx.stars_bucket(F.col("n_chars"))).alias("content"))
 
 
 @query("row_index", "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS idx FROM documents")
 def row_index(spark, sf):
-    """Dense positions by range: ids are ordered in ranges, counted, and numbered within them."""
-    ids = table(spark, sf, "documents").select("doc_id")
-    rdd = ids.sort("doc_id").rdd.map(lambda r: r[0]).zipWithIndex()
-    return spark.createDataFrame(rdd, "doc_id long, idx long")
+    return statistics.row_index(table(spark, sf, "documents").select("doc_id"), ["doc_id"])
 
 
 @query("coalesce_nulls", "SELECT d.doc_id, coalesce(l.quality, 0) AS quality FROM documents d LEFT JOIN labels l USING (doc_id)")
@@ -298,3 +295,41 @@ def counter_sum(spark, sf):
 @query("unique_keys", "SELECT count(*) AS n, count(DISTINCT text) AS n_distinct, count(*) = count(DISTINCT text) AS ok FROM documents")
 def unique_keys(spark, sf):
     return table(spark, sf, "documents").agg(F.count("*").alias("n"), F.countDistinct("text").alias("n_distinct")).withColumn("ok", F.col("n") == F.col("n_distinct"))
+
+
+@query("size_if_missing", "SELECT d.doc_id, coalesce(CASE WHEN l.quality = 1 THEN d.n_chars END, length(d.text))::BIGINT AS size FROM documents d LEFT JOIN labels l USING (doc_id)")
+def size_if_missing(spark, sf):
+    docs = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left").withColumn("size", F.when(F.col("quality") == 1, F.col("n_chars")))
+    return docs.select("doc_id", tx.filled_size(F.col("size"), F.col("text")).alias("size"))
+
+
+@query("flat_licenses", "SELECT doc_id, lang || ',' || source AS licenses FROM documents")
+def flat_licenses(spark, sf):
+    """Nested lists as some Parquet writers leave them, and back."""
+    nested = F.struct(F.transform(F.array("lang", "source"), lambda x: F.struct(x.alias("item"))).alias("list"))
+    return table(spark, sf, "documents").select("doc_id", F.array_join(tx.flat_licenses(nested), ",").alias("licenses"))
+
+
+@query("first_license", "SELECT doc_id, CASE WHEN contains(text, 'License') THEN 'found' END AS license, CASE WHEN contains(text, '\"') THEN 0 ELSE 2 END AS n FROM documents")
+def first_license(spark, sf):
+    """The first of a list, and JSON lists of which some are broken."""
+    listed = F.when(F.col("text").contains("License"), F.array(F.lit("found"), F.lit("other"))).otherwise(F.array().cast("array<string>"))
+    broken = F.when(F.col("text").contains('"'), F.lit("[broken")).otherwise(F.to_json(F.array("lang", "source")))
+    return table(spark, sf, "documents").select("doc_id", tx.first_item(listed).alias("license"), F.size(tx.json_list(broken)).alias("n"))
+
+
+@query("short_contents", "SELECT doc_id FROM documents WHERE length(text) < 2000")
+def short_contents(spark, sf):
+    return table(spark, sf, "documents").where(commits.short_enough(F.col("text"), 2000)).select("doc_id")
+
+
+@query("excluded_ids", "SELECT doc_id, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1) AND n_chars < 20000")
+def excluded_ids(spark, sf):
+    """Rows that are on no list and below a size."""
+    listed = table(spark, sf, "labels").where("toxic = 1").select("doc_id")
+    return filters.without_listed(table(spark, sf, "documents"), listed, ["doc_id"]).where("n_chars < 20000").select("doc_id", "n_chars")
+
+
+@query("unrecognized_sources", "SELECT regexp_extract(url, '\\.([a-z]+)$', 1) AS value, count(*) AS n FROM pages WHERE regexp_matches(url, '\\.([a-z]+)$') GROUP BY 1")
+def unrecognized_sources(spark, sf):
+    return statistics.unrecognized(table(spark, sf, "pages"), r"\.([a-z]+)$", "url")

@@ -49,10 +49,16 @@ def issue_mask_users(spark, sf):
 
 @query("issue_pipeline")
 def issue_pipeline(spark, sf):
-    cleaned = _events(spark, sf).withColumn("events", issues.clean(F.col("events"))).where(F.size("events") > 0)
-    e = F.col("events")
-    kept = cleaned.where(issues.keeps(issues.user_count(e), issues.size_of(e), F.size(e)))
-    return kept.select("conv_id", F.to_json(issues.masked(e)).alias("events"))
+    kept, _ = issues.run_pipeline(_events(spark, sf))
+    return kept.select("conv_id", F.to_json("events").alias("events"), "text_size", "user_count", "event_count")
+
+
+@query("issue_report", """SELECT * FROM (WITH s AS (SELECT conv_id, sum(length(text)) AS size, count(DISTINCT role) AS users, count(*) AS n FROM conversations GROUP BY conv_id), k AS (SELECT * FROM s WHERE size >= 200 AND (users >= 2 OR (size <= 7000 AND n <= 10)))
+    SELECT 0 AS step, 'loaded' AS name, (SELECT count(*) FROM s)::BIGINT AS rows, (SELECT sum(size) FROM s)::BIGINT AS size UNION ALL SELECT 1, 'truncate', (SELECT count(*) FROM s), (SELECT sum(size) FROM s)
+    UNION ALL SELECT 2, 'bots', (SELECT count(*) FROM s), (SELECT sum(size) FROM s) UNION ALL SELECT 3, 'users and size', (SELECT count(*) FROM k), (SELECT sum(size) FROM k))""")
+def issue_report(spark, sf):
+    """Rows and characters after each step; these conversations hold no mail, long text or bot."""
+    return issues.run_pipeline(_events(spark, sf))[1]
 
 
 def _commits(spark, sf):
@@ -114,9 +120,12 @@ def pair_turns(spark, sf):
     return notebooks.triplets(rows.withColumn("out", F.col("text")), "conv_id", "turn", "role", "text", "out")
 
 
-@query("concat_islands", "SELECT conv_id, '<jupyter_start>' || string_agg(text, '' ORDER BY turn) AS content, count(*)::INT AS chain_length FROM conversations GROUP BY conv_id")
+@query("concat_islands", """WITH o AS (SELECT *, row_number() OVER (ORDER BY conv_id, turn) AS spot FROM conversations), c AS (SELECT *, (coalesce(lag(role) OVER (ORDER BY spot) <> role, true))::INT AS breaks FROM o),
+    r AS (SELECT *, sum(breaks) OVER (ORDER BY spot) AS run FROM c) SELECT role, min(conv_id * 1000 + turn)::BIGINT AS first, '<jupyter_start>' || string_agg(text, '' ORDER BY spot) AS content, count(*)::INT AS chain_length FROM r GROUP BY run, role""")
 def concat_islands(spark, sf):
-    return notebooks.chain(table(spark, sf, "conversations"), "conv_id", "turn", "text")
+    """Turns in order of conversation and turn; a role that comes again after another starts a new chain."""
+    turns = table(spark, sf, "conversations").withColumn("at", F.col("conv_id") * 1000 + F.col("turn"))
+    return notebooks.chain(turns, "role", "at", "text")
 
 
 @query("structured_text", """SELECT conv_id, turn, '<jupyter_text>' || regexp_replace(text, '^\\s+|\\s+$', '', 'g') || '<jupyter_code>' || role || '<jupyter_output>' || regexp_replace(CASE WHEN length(text) > 1000 THEN substr(text, 1, 1000) || '[...]' ELSE text END, '^\\s+|\\s+$', '', 'g') AS content FROM conversations""")
@@ -125,16 +134,18 @@ def structured_text(spark, sf):
 
 
 PAIRS = [("C", [".c", ".h", ".cats"]), ("C++", [".cpp", ".h", ".hh"]), ("Objective-C", [".h", ".mm"]), ("PLSQL", [".sql", ".pls"]), ("SQL", [".sql"]), ("HyPhy", [".bf"]), ("Perl", [".pl", ".t", ".v"]), ("Raku", [".t", ".pl"])]
-PAIRS_SQL = "pairs(name, extension) AS (VALUES " + ", ".join(f"('{n}', '{e}')" for n, es in PAIRS for e in es) + ")"
+#: A few known languages, and the languages of documents with their sources as extensions.
+PAIRS_SQL = "known(name, extension) AS (VALUES " + ", ".join(f"('{n}', '{e}')" for n, es in PAIRS for e in es) + "), pairs AS (SELECT * FROM known UNION ALL SELECT DISTINCT lang, '.' || source FROM documents)"
 
 
-def _pairs(spark):
-    return languages.exploded(spark.createDataFrame(PAIRS, "name string, extensions array<string>"))
+def _pairs(spark, sf):
+    listed = table(spark, sf, "documents").groupBy(F.col("lang").alias("name")).agg(F.collect_set(F.concat(F.lit("."), "source")).alias("extensions"))
+    return languages.exploded(languages.appended(spark.createDataFrame(PAIRS, "name string, extensions array<string>"), listed))
 
 
 @query("lang_ext_clashes", f"WITH {PAIRS_SQL} SELECT extension, array_to_string(list_sort(list(DISTINCT name)), ',') AS names, count(DISTINCT name) AS n FROM pairs GROUP BY extension HAVING count(DISTINCT name) > 1")
 def lang_ext_clashes(spark, sf):
-    return languages.clashes(_pairs(spark)).withColumn("names", F.array_join("names", ","))
+    return languages.clashes(_pairs(spark, sf)).withColumn("names", F.array_join("names", ","))
 
 
 def _sql_list(values) -> str:
@@ -151,24 +162,53 @@ OWNERS_SQL = "owners(extension, owner) AS (VALUES " + ", ".join(f"({_sql_list(x)
         SELECT DISTINCT name, extension FROM k LEFT JOIN owners USING (extension) WHERE owner IS NULL OR owner = name""",
 )
 def lang_ext_resolve(spark, sf):
-    return languages.resolve(_pairs(spark))
+    return languages.resolve(_pairs(spark, sf))
 
 
 @query("lang_regroup", f"WITH {PAIRS_SQL} SELECT name, array_to_string(list_sort(list(DISTINCT extension)), ',') AS extensions FROM pairs GROUP BY name")
 def lang_regroup(spark, sf):
-    return languages.regrouped(_pairs(spark)).withColumn("extensions", F.array_join("extensions", ","))
+    return languages.regrouped(_pairs(spark, sf)).withColumn("extensions", F.array_join("extensions", ","))
 
 
-@query("lang_difference", f"WITH {PAIRS_SQL} SELECT DISTINCT name, 'first' AS side FROM pairs WHERE name NOT IN ('C', 'SQL') UNION ALL SELECT 'Zig', 'second'")
+@query("lang_difference", f"WITH {PAIRS_SQL} SELECT DISTINCT name, 'first' AS side FROM pairs WHERE name NOT IN ('C', 'SQL', 'fr') UNION ALL SELECT 'Zig', 'second'")
 def lang_difference(spark, sf):
-    baseline = spark.createDataFrame([("C",), ("SQL",), ("Zig",)], "name string")
-    return languages.difference(_pairs(spark), baseline)
+    baseline = spark.createDataFrame([("C",), ("SQL",), ("Zig",), ("fr",)], "name string")
+    return languages.difference(_pairs(spark, sf), baseline)
 
 
-@query("owner_opt_out", "WITH r AS (SELECT l_orderkey, l_linenumber, list_filter(['u' || (l_partkey % 7) || '/a', 'v' || (l_suppkey % 5) || '/b'], lambda x: string_split(x, '/')[1] NOT IN ('u1', 'u3', 'v2')) AS left_over FROM lineitem WHERE l_linenumber < 3) SELECT l_orderkey, l_linenumber, array_to_string(left_over, ',') AS repos FROM r WHERE len(left_over) > 0")
+@query("owner_opt_out", "WITH r AS (SELECT l_orderkey, l_linenumber, list_filter(['u' || (l_partkey % 7) || '/a', 'v' || (l_suppkey % 5) || '/b'], lambda x: string_split(x, '/')[1] NOT IN ('u1', 'u3', 'v2')) AS left_over FROM lineitem) SELECT l_orderkey, l_linenumber, array_to_string(left_over, ',') AS repos FROM r WHERE len(left_over) > 0")
 def owner_opt_out(spark, sf):
     from corpusmill.operators.filters import without_owners
 
-    rows = table(spark, sf, "lineitem").where("l_linenumber < 3")
+    rows = table(spark, sf, "lineitem")
     repos = F.concat(F.lit("u"), F.col("l_partkey") % 7, F.lit("/a,v"), F.col("l_suppkey") % 5, F.lit("/b"))
     return rows.select("l_orderkey", "l_linenumber", without_owners(repos, ["u1", "u3", "v2"]).alias("repos")).where("repos is not null")
+
+
+@query(
+    "notebook_cells",
+    """SELECT conv_id, turn, CASE WHEN role = 'assistant' THEN 'code' ELSE 'markdown' END AS type, text AS src, CASE WHEN role = 'assistant' AND turn % 2 = 1 THEN text ELSE '_____no_output_____' END AS out
+       FROM conversations WHERE text <> ''""",
+)
+def notebook_cells(spark, sf):
+    """Conversations written as notebooks and parsed again; sources are lists of lines or strings."""
+    code = F.col("role") == "assistant"
+    lines = F.transform(F.split("text", "(?<=\n)", -1), lambda x: x)
+    quoted = F.regexp_replace(F.to_json(F.struct(F.col("text").alias("t"))), r'^\{"t":|\}$', "")
+    source = F.when(F.col("turn") % 3 == 0, F.to_json(lines)).otherwise(quoted)
+    outputs = F.when(code & (F.col("turn") % 2 == 1), F.concat(F.lit('[{"text":'), F.to_json(lines), F.lit("}]"))).otherwise("[]")
+    cell = F.concat(F.lit('{"cell_type":"'), F.when(code, "code").otherwise("markdown"), F.lit('","source":'), source, F.lit(',"outputs":'), outputs, F.lit("}"))
+    turns = table(spark, sf, "conversations").where("text <> ''").select("conv_id", "turn", cell.alias("cell"))
+    books = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "cell"))).alias("c"))
+    content = F.concat(F.lit('{"metadata":{"kernelspec":{"name":"python3"}},"cells":['), F.array_join(F.transform("c", lambda x: x["cell"]), ","), F.lit("]}"))
+    parsed = books.select("conv_id", F.col("c.turn").alias("turns"), content.alias("content")).where(notebooks.is_python(F.col("content")))
+    cells = parsed.select("conv_id", F.explode(F.arrays_zip("turns", notebooks.parse_cells(F.col("content")).alias("cells"))).alias("x"))
+    return cells.select("conv_id", F.col("x.turns").alias("turn"), "x.cells.type", "x.cells.src", "x.cells.out")
+
+
+@query("script_extensions", "SELECT conv_id, CASE WHEN conv_id % 3 = 0 THEN '.jl' WHEN conv_id % 3 = 1 THEN '.py' END AS extension FROM (SELECT DISTINCT conv_id FROM conversations)")
+def script_extensions(spark, sf):
+    """Languages by the metadata's extension, by a Python kernel, or unknown."""
+    ids = table(spark, sf, "conversations").select("conv_id").distinct()
+    meta = F.when(F.col("conv_id") % 3 == 0, '{"metadata":{"language_info":{"file_extension":".jl"}}}').when(F.col("conv_id") % 3 == 1, '{"metadata":{"kernelspec":{"name":"python3"}}}').otherwise('{"metadata":{}}')
+    return ids.select("conv_id", notebooks.script_extension(meta).alias("extension"))
