@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.functions.text import let
 from corpusmill.operators.spans import overlaps
 
 #: Characters that are no part of an entity's start: a fixed value.
@@ -103,8 +104,9 @@ def trigger_distance(text: Column, start: Column, words: tuple[str, ...]) -> Col
     """Characters between a trigger word and the entity, on its line, within 100 characters and without separators; 100 without one."""
     before = F.substring(text, F.greatest(start - 100, F.lit(0)) + 1, F.least(start, F.lit(100)))
     prefix = F.lower(F.regexp_replace(F.substring_index(before, "\n", -1), r"(?U)[\s'\":=(){}\[\]_/]", ""))
-    spots = [F.when(F.instr(prefix, w) > 0, F.char_length(prefix) - (F.instr(prefix, w) - 1 + len(w))).otherwise(100) for w in words]
-    return F.least(*spots)
+    listed = F.array(*map(F.lit, words))
+    after = lambda p, w: F.when(F.instr(p, w) > 0, F.char_length(p) - (F.instr(p, w) - 1 + F.char_length(w))).otherwise(100)
+    return let(prefix, lambda p: F.array_min(F.transform(listed, lambda w: after(p, w))))
 
 
 def _by_tag(tag: Column, values: dict[str, float]) -> Column:

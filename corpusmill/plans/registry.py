@@ -12,7 +12,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 FLAGSHIP = "dedup_keep_min"
 
 #: Modules of this package that register queries when imported.
-MODULES = ("text_queries", "duplicate_queries", "span_queries", "thread_queries")
+MODULES = ("text_queries", "duplicate_queries", "span_queries", "thread_queries", "entity_queries")
 
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}

@@ -31,10 +31,12 @@ def read_columns(spark: SparkSession, path: str, columns: list[str], fmt: str =
 
 
 def read_prompts(spark: SparkSession, glob: str, until: str = "BEGIN SOLUTION") -> DataFrame:
-    """(path, text) of whole prompt files, cut at the mark; a file without it is an error when its text is read."""
-    whole = spark.read.option("wholetext", "true").text(glob).select(F.input_file_name().alias("path"), "value")
-    missing = F.raise_error(F.concat(F.lit("no mark in "), F.col("path"))).cast("string")
-    return whole.select("path", F.when(F.col("value").contains(until), F.substring_index("value", until, 1)).otherwise(missing).alias("text"))
+    """(path, text) of whole prompt files, cut at the mark; a file without it is an error."""
+    whole = spark.read.text(glob, wholetext=True).select(F.input_file_name().alias("path"), "value")
+    lacking = whole.where(~F.col("value").contains(until)).first()
+    if lacking:
+        raise ValueError(f"no {until} in {lacking.path}")
+    return whole.select("path", F.substring_index("value", until, 1).alias("text"))
 
 
 def docstrings(prompts: DataFrame, column: str = "prompt") -> DataFrame:
@@ -44,7 +46,7 @@ def docstrings(prompts: DataFrame, column: str = "prompt") -> DataFrame:
 
 def read_languages(spark: SparkSession, path: str) -> DataFrame:
     """The names of one JSON list."""
-    whole = spark.read.option("wholetext", "true").text(path)
+    whole = spark.read.text(path, wholetext=True)
     return whole.select(F.explode(F.from_json("value", "array<string>")).alias("name"))
 
 

@@ -34,7 +34,7 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataF
 
 def read_language_map(spark: SparkSession, path: str) -> DataFrame:
     """(name, extensions) from one JSON object."""
-    whole = spark.read.option("wholetext", "true").text(path)
+    whole = spark.read.text(path, wholetext=True)
     parsed = whole.select(F.explode(F.from_json("value", "map<string,array<string>>")).alias("name", "extensions"))
     return parsed
 

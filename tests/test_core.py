@@ -1,3 +1,7 @@
+import ipaddress
+import random
+import re
+
 import duckdb
 import numpy as np
 import pytest
@@ -6,10 +10,10 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
-from corpusmill.operators import commits, dedup, filters, issues, languages, markup, minhash, notebooks, pii, spans
+from corpusmill.operators import commits, decontamination, dedup, entities, filters, graph, issues, languages, markup, minhash, notebooks, pii, spans, statistics
 from corpusmill.operators.graph import connected_components
 from corpusmill.plans import registry
-from corpusmill.sources import io
+from corpusmill.sources import benchmarks, io
 
 SF = "/root/testdata/sf0.001"
 
@@ -153,7 +157,227 @@ def test_language_owners(spark):
     assert sorted(map(tuple, languages.resolve(pairs).collect())) == [("C", ".h"), ("SQL", ".sql")]
 
 
-QUERIES = ["line_stats", "filter_chain_report", "filter_per_extension", "decontam_substring", "decontam_jaccard", "bio_label", "pair_turns", "commit_filter", "lang_ext_resolve", "eval_intervals"]
+def test_mail_is_stripped(spark):
+    cases = {
+        "> quoted\nmy answer": "my answer",
+        "hello\nOn 1/2/2020 10:30 AM Bob wrote\n> old\nnew": "hello\nnew",
+        "one\nsee notifications@github.com\nPlease Reply to this email directly now\ntwo": "one\ntwo",
+        "a\n> quoted:\nkeep me": "keep me",
+        "x\nReply to this email directly:\ndropped\ny": "y",
+        "  plain text  ": "plain text",
+        "text From: a\nReply to this email directly, or view it on GitHub<u>\nrest": "text",
+        "work\n\nSigned-off-by: A <a@b.c>\nmore": "work\n\nmore",
+        "a\n____________________________\nb": "a\n\nb",
+        "one\ntwo 3/4/2021 09:15 PM she wrote": "one\none\ntwo 3/4/2021 09:15 PM she wrote",
+    }
+    df = spark.createDataFrame(list(cases.items()), "t string, want string")
+    for r in df.select("t", "want", issues.strip_mail(F.col("t")).alias("got")).collect():
+        assert r.got == r.want, r.t
+    assert one(spark, issues.strip_mail(F.lit(None).cast("string"))) == ""
+
+
+def test_issue_chain_reports_every_step(spark):
+    events = lambda rows: [{"author": a, "text": t} for a, t in rows]
+    rows = [(1, events([("ann", "x" * 150), ("bob", "hi ann" + "y" * 60)])), (2, events([("ci-bot", "z" * 900)])), (3, events([("cat", "short")]))]
+    kept, report = issues.run_pipeline(spark.createDataFrame(rows, "id int, events array<struct<author:string,text:string>>"))
+    (r,) = kept.collect()
+    assert (r.id, r.text_size, r.user_count, r.event_count, r.modified_usernames, r.modified_by_bot) == (1, 216, 2, 2, True, False)
+    assert r.events[1].text.startswith("hi username_0")
+    assert [(x.name, x.rows, x["size"]) for x in report.orderBy("step").collect()] == [("loaded", 3, 1121), ("truncate", 3, 1121), ("bots", 2, 221), ("users and size", 1, 216)]
+
+
+def test_private_addresses_of_version_six(spark):
+    draw = random.Random(3)
+    known = ["::1", "::", "fd00::1", "fe80::1%", "2001:db8::5", "2001:4860:4860::8888", "2002::1", "2001:20::1", "2001:30::", "2001:3::9", "64:ff9b:1::2", "::ffff:1:2", "1:2:3:4:5:6:7:8", "1::2::3", ":::", "12345::", "g::1", "1:2", ""]
+    known += [":".join(f"{draw.choice([0, 1, draw.randrange(1 << 16)]):x}" for _ in range(8)) for _ in range(300)]
+    known += [str(ipaddress.IPv6Address(draw.choice([0xFC << 120, 0x2001 << 112, 0xFE80 << 112, 0x20010DB8 << 96, 0]) | draw.getrandbits(100))) for _ in range(300)]
+
+    def want(text):
+        try:
+            return True, ipaddress.IPv6Address(text).is_private
+        except ValueError:
+            return False, False
+
+    df = spark.createDataFrame([(k,) for k in known], "v string").select("v", tx.is_ipv6(F.col("v")).alias("a"), tx.is_private_ip(F.col("v")).alias("b"))
+    for r in df.collect():
+        valid, private = want(r.v)
+        if "%" not in r.v and "." not in r.v:
+            assert (r.a, r.b) == (valid, private), r.v
+
+
+def test_redaction_keeps_private_addresses_and_gives_references(spark):
+    text = "to a@b.org and a@b.org from fd00::1 2606:4700::1111 8.8.8.8 10.0.0.1 9.9.9.1"
+    spans_of = [("EMAIL", "a@b.org", 3, 10), ("EMAIL", "a@b.org", 15, 22), ("IP_ADDRESS", "fd00::1", 28, 35), ("IP_ADDRESS", "2606:4700::1111", 36, 51), ("IP_ADDRESS", "8.8.8.8", 52, 59), ("IP_ADDRESS", "10.0.0.1", 60, 68), ("IP_ADDRESS", "9.9.9.1", 69, 76)]
+    struct = "doc_id int, text string, secrets array<struct<tag:string,value:string,start:int,end:int>>"
+    rows = spark.createDataFrame([(1, text, spans_of), (2, "plain", []), (3, "see 10.0.0.1", [("IP_ADDRESS", "10.0.0.1", 4, 12)]), (4, None, None)], struct)
+    out = {r.doc_id: r for r in pii.redact(rows, pii.POOLS).collect()}
+    new = out[1].new_content
+    six = re.search(r"2001:db8::\d", new)[0]
+    mail = re.search(r"user\d@example.com", new)[0]
+    four = re.search(r"198.51.100.\d", new)[0]
+    assert new == f"to {mail} and {mail} from fd00::1 {six} 8.8.8.8 10.0.0.1 {four}"
+    assert out[1].references == f"to PI:EMAIL:{mail}END_PI and PI:EMAIL:{mail}END_PI from fd00::1 PI:IP_ADDRESS:{six}END_PI 8.8.8.8 10.0.0.1 PI:IP_ADDRESS:{four}END_PI"
+    assert (out[2].new_content, out[2].references, out[2].modified) == ("plain", "plain", False)
+    assert (out[3].new_content, out[3].references, out[3].modified) == ("see 10.0.0.1", "", False)
+    assert out[4].new_content is None and not out[4].modified
+    plan = pii.redact(pii.scan(rows.drop("secrets")), pii.POOLS).where("modified")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_formats_of_secrets():
+    found = lambda text: [(v, text[a:b] == v) for t, v, a, b in pii.detect(text) if t == "KEY"]
+    hexed, mixed = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b", "Zx8qLw3RtY6uPn2VbK5sDf7GhJ4mAc9E"
+    values = ["AKIA" + "Q7T2" * 4, "ghp_" + "a1B2" * 9, "xoxb-123456789012-abcdef", "sk_live_" + "a1B2" * 6, "SG." + "a" * 22 + "." + "b" * 43, "a1b2c3d4" * 4 + "-us12", "AC" + "9f8e7d6c" * 4, "npm_" + "a1B2" * 9, "AKCp8jQcoDRqX7"]
+    for value in values:
+        assert found(f"key {value} end") == [(value, True)], value
+    assert found(f'token = "{mixed}"') == [(mixed, True)] and found(f'x = "{hexed}"') == [(hexed, True)]
+    assert found(f'sha1 "{hexed}"') == found('x = "123e4567-e89b-12d3-a456-426614174000"') == found('token = "abcdefghijklmnopqrst"') == found(f'user_id = "{hexed}"') == []
+
+
+def test_rules_for_model_entities(spark):
+    model = pii.BigramModel(["password", "token", "secret", "keyword", "banana", "another", "ordinary", "words"] * 20, threshold=-3.0)
+    rows = [("KEY", "qzxjkvwqpzx", True), ("KEY", "anotherword", False), ("KEY", "qzxj", False), ("NAME", "Ann Lee", True), ("NAME", "Annabel", False), ("USERNAME", "ann_lee", False), ("IP_ADDRESS", "2606:4700::1111", True), ("IP_ADDRESS", "fd00::1", False), ("IP_ADDRESS", "93.184.216.34", True), ("IP_ADDRESS", "1.1.1.1", False), ("EMAIL", "a@b", False)]
+    e = F.array(*[F.struct(F.lit(t).alias("tag"), F.lit(v).alias("value"), F.lit(0).alias("start"), F.lit(1).alias("end")) for t, v, _ in rows])
+    kept = one(spark, pii.ner_rules(e, model))
+    assert [(x.tag, x.value) for x in kept] == [(t, v) for t, v, ok in rows if ok]
+    for value in ("qzxjkv", "another", "a", "..", "Ab1cd"):
+        score = one(spark, pii.gibberish_score(F.lit(value), model))
+        assert score is None and model.score(value) == float("-inf") or abs(score - model.score(value)) < 1e-9
+
+
+def test_components_of_a_long_path_take_few_rounds(spark, monkeypatch):
+    rounds = []
+    kept = graph.materialize
+    monkeypatch.setattr(graph, "materialize", lambda df, label: (rounds.append(label), kept(df, label))[1])
+    path = spark.range(2000).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    found = connected_components(path)
+    assert found.where("component <> 0").count() == 0 and found.count() == 2001
+    assert rounds.count("pointers") < 20
+
+
+def test_signatures_equal_brute_force():
+    draw = np.random.Generator(np.random.PCG64(1))
+    for variant, kind in (("v1", np.uint64), ("v2", np.uint32)):
+        perms = minhash.permutations(16, variant)
+        sets = [draw.integers(0, 1 << 32, n, dtype=np.uint64).astype(kind) for n in (0, 1, 5, 40_000, 3, 0, 20_000, 7)]
+        for hashes, found in zip(sets, minhash.signatures(sets, perms, variant), strict=True):
+            for a, b, x in zip(*perms.tolist(), found.tolist(), strict=True):
+                if variant == "v1":
+                    want = min(((h * a + b) % (1 << 64) % minhash.MERSENNE_61 & minhash.MASK_32 for h in hashes.tolist()), default=minhash.MASK_32)
+                else:
+                    want = min(((h * a + b) % (1 << 32) % minhash.PRIME_32 for h in hashes.tolist()), default=minhash.MASK_32)
+                assert x == want
+
+
+def test_second_variant_equals_brute_force(spark):
+    """Signatures, bands, stars and union-find in plain Python against the query, over whole texts."""
+    docs = {r.doc_id: r.text for r in registry.table(spark, SF, "documents").collect()}
+    perms, (bands, rows) = minhash.permutations(250, "v2"), minhash.band_choice(0.7, 250)
+    buckets, parent = {}, {i: i for i in docs}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in sorted(docs):
+        sig = minhash.signature(minhash.shingle_hashes(docs[i], 5, 5, "v2"), perms, "v2")
+        for band in range(bands):
+            a, b = sorted((root(i), root(buckets.setdefault((band, sig[band * rows : (band + 1) * rows].tobytes()), i))))
+            parent[b] = a
+    assert sorted(r.doc_id for r in registry.queries()["dedup_v2"](spark, SF).collect()) == [i for i in sorted(docs) if root(i) == i]
+
+
+def test_matches_tell_rows_of_one_id_apart(spark):
+    docs = spark.createDataFrame([(1, "a clean text of its own"), (1, "here the needle of five words stands"), (2, "nothing")], "doc_id int, text string")
+    needles = spark.createDataFrame([("b", 1, "the needle of five words")], "benchmark string, ord int, needle string")
+    assert [(r.doc_id, r.ord) for r in decontamination.substring_matches(docs, needles).collect()] == [(1, 1)]
+    items = spark.createDataFrame([(7, "here the needle of five words stand"), (8, None), (9, "")], "item_id int, text string")
+    assert [(r.doc_id, r.item_id) for r in decontamination.jaccard_pairs(docs, items).collect()] == [(1, 7)]
+    assert decontamination.lsh_pairs(docs, items, 0.3).where("item_id = 7 and doc_id = 1").count() == 1
+
+
+def test_chains_of_consecutive_rows(spark):
+    keys = [draw for draw in "aabbbaccccdaab" * 7]
+    rows = spark.createDataFrame([(k, i, str(i % 10)) for i, k in enumerate(keys)], "k string, pos int, t string").repartition(5)
+    want, start = [], 0
+    for i in range(1, len(keys) + 1):
+        if i == len(keys) or keys[i] != keys[i - 1]:
+            want.append((keys[start], start, "<jupyter_start>" + "".join(str(j % 10) for j in range(start, i)), i - start))
+            start = i
+    assert sorted(map(tuple, notebooks.chain(rows, "k", "pos", "t").collect()), key=lambda r: r[1]) == want
+    assert notebooks.chain(rows.where("false"), "k", "pos", "t").count() == 0
+
+
+def test_statistics_over_ranges(spark):
+    values = [5.0, 1.0, 1.0, 9.0, 7.0, None, 3.0, 3.0]
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "v double, i int")
+    found = {r.p: r.value for r in statistics.percentiles(df, "v", [0, 25, 50, 99, 100]).collect()}
+    clean = [v for v in values if v is not None]
+    assert all(abs(found[p] - np.percentile(clean, p)) < 1e-9 for p in found) and len(found) == 5
+    assert sorted(r.idx for r in statistics.row_index(df, ["i"]).collect()) == list(range(8))
+    assert statistics.percentiles(df.where("false"), "v", [50]).count() == 0
+    logs = spark.createDataFrame([("found ext foo",), ("found ext foo",), ("found ext bar",)], "value string")
+    assert sorted(map(tuple, statistics.unrecognized(logs, r"ext (\w+)").collect())) == [("bar", 1), ("foo", 2)]
+    stats = statistics.log_statistics(logs, {"ext": r"ext (\w+)"})
+    assert statistics.log_cardinality(stats, {"ext": 2}).count() == 0 and statistics.log_cardinality(stats, {"ext": 1, "none": 1}).count() == 2
+
+
+def test_remapped_scores():
+    # old tokens end at 3, 5, 9; new tokens at 5, 7, 9, 12
+    assert entities.remap([5, 7, 9, 12], [3, 5, 9], [[1.0, 0.0], [0.0, 1.0], [0.5, 0.5]]) == [[0.5, 0.5], [0.5, 0.5], [0.5, 0.5], None]
+    assert entities.remap([3, 5], [5], [[0.25]]) == [[0.25], [0.25]]
+    assert entities.remap([2], [], []) == [None]
+
+
+def test_entity_edges(spark):
+    cases = [("EMAIL", '"<a@b.c>;', 2, 7), ("KEY", "'abc=='", 1, 7), ("NAME", "Ann é.. ", 0, 5), ("NAME", "...", 0, 0)]
+    df = spark.createDataFrame([(t, v, 0, len(v), a, b) for t, v, a, b in cases], "tag string, value string, start int, end int, a int, b int")
+    for r in df.select("value", "a", "b", entities.trimmed(F.struct("tag", "value", "start", "end")).alias("e")).collect():
+        assert (r.e.start, r.e.end) == (r.a, r.b) and r.e.value == r.value[r.a : r.b], r.value
+
+
+def test_benchmark_sources(spark, tmp_path):
+    (tmp_path / "tasks.jsonl").write_text("".join(f'{{"task_id": {i}, "text": " t{i} "}}\n' for i in range(1, 31)))
+    found = benchmarks.read_tasks(spark, str(tmp_path / "tasks.jsonl"), "text", ids=(11, 20), expected=10)
+    assert sorted(map(tuple, found.collect())) == [(i, f"t{i}") for i in range(11, 21)]
+    with pytest.raises(ValueError):
+        benchmarks.read_tasks(spark, str(tmp_path / "tasks.jsonl"), "text")
+    (tmp_path / "prompt.txt").write_text("do this\nBEGIN SOLUTION\nthat")
+    assert [r.text for r in benchmarks.read_prompts(spark, str(tmp_path / "prompt.txt")).collect()] == ["do this\n"]
+    (tmp_path / "languages.json").write_text('["C", "Zig"]')
+    assert sorted(r.name for r in benchmarks.read_languages(spark, str(tmp_path / "languages.json")).collect()) == ["C", "Zig"]
+    spark.createDataFrame([([" a ", ""], "b")], "solutions array<string>, prompt string").write.parquet(f"{tmp_path}/hub")
+    assert sorted(r.text for r in benchmarks.read_columns(spark, f"{tmp_path}/hub", ["solutions", "prompt"]).collect()) == ["a", "b"]
+    docs = spark.createDataFrame([(1, "the needle of five words here", "en"), (2, "clean", "fr")], "doc_id long, text string, lang string")
+    needles = spark.createDataFrame([("b", 1, "the needle of five words")], "benchmark string, ord long, needle string")
+    assert [x.count() for x in benchmarks.read_evidence(spark, f"{tmp_path}/none")] == [0, 0]
+    matches = decontamination.substring_matches(docs, needles)
+    benchmarks.save_evidence(f"{tmp_path}/e", needles, matches, docs)
+    benchmarks.save_both(*decontamination.split_by_matches(docs, matches), f"{tmp_path}/both")
+    assert spark.read.parquet(f"{tmp_path}/both/removed").count() == spark.read.parquet(f"{tmp_path}/both/kept").count() == 1
+    searched, known = benchmarks.read_evidence(spark, f"{tmp_path}/e")
+    again = decontamination.incremental_matches(docs, needles, searched, known)
+    assert [tuple(r) for r in again.collect()] == [(1, "the needle of five words")]
+    assert [tuple(r) for r in spark.read.json(f"{tmp_path}/e/meta").select("lang", "filter_reason", "n").collect()] == [("en", "b_match", 1)]
+
+
+def test_shared_folder_is_asked_for_on_a_cluster():
+    from types import SimpleNamespace
+
+    from corpusmill.sources.shared import shared_dir
+
+    conf = SimpleNamespace(get=lambda *a: None)
+    cluster = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(getConf=lambda: conf, master="spark://host:7077"))
+    with pytest.raises(RuntimeError):
+        shared_dir(cluster)
+
+
+def test_html_diff(spark):
+    assert "diff_add" in one(spark, commits.html_diff("a", "b"), a="x\ny", b="x\nz")
+
+
+QUERIES = ["row_index", "size_percentiles", "average_precision", "issue_report", "concat_islands", "notebook_cells", "email_hits", "ipv4_hits", "many_hashes", "secret_context_hash", "entity_trim", "pseudo_labels", "training_entities", "entity_scores", "dedup_keep_min", "dedup_keep_best", "decontam_lsh", "line_stats", "filter_chain_report", "filter_per_extension", "decontam_substring", "decontam_jaccard", "bio_label", "pair_turns", "commit_filter", "lang_ext_resolve", "eval_intervals"]
 
 
 @pytest.mark.parametrize("name", QUERIES)
