@@ -1,30 +1,34 @@
 """N-gram Jaccard join: MinHash LSH forest for candidates, exact verification of all pairs in a candidate cluster.
 
 Each distinct word sequence has one signature path in every tree of the forest. Texts whose paths share a
-prefix in a tree meet in a node; the prefix has the depth at which the forest reaches the target recall at
-the threshold. In a small node, pairs whose whole signatures agree too little are let go; the texts of a
-larger node stay together. What is left forms clusters. Within a cluster every pair of texts is compared
-exactly, in blocks of bounded size, so links and classes hold no estimate.
+prefix in a tree meet in a node; prefixes are shortened to the depth at which the forest reaches the target
+recall at the threshold. Pairs of a small node are looked at one by one. A crowded node, whose texts may share no more
+than a passage, is resolved exactly: sets this similar share one of their rarest shingles, so its texts are
+brought together by those. What is joined forms clusters; within a cluster every pair of texts is
+compared exactly, in blocks of bounded size, so links and classes hold no estimate.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import WORD, connected_components, in_bitmap, key_bitmap, materialize, text_blocks
+from corpusmill.llm.common import WORD, connected_components, in_bitmap, key_bitmap, materialize, new_names, released, text_blocks
 
 SHINGLE, THRESHOLD = 5, 0.8
 TREES, DEPTH, RECALL = 24, 8, 0.999
-#: Texts of a forest node up to which its pairs are looked at one by one; a larger node is one cluster.
+#: Texts of a forest node up to which its pairs are looked at one by one; the texts of a larger node are joined exactly.
 SMALL = 4
-#: Distinct texts of a cluster's block; two blocks are compared by one task.
-BLOCK = 512
+#: Cells of the sketch that orders shingles by frequency, and how many of the heaviest are told apart. Any order gives the same result.
+CELLS, HEAVY = 1 << 20, 1 << 16
+#: Distinct texts of a cluster's block, least and most; two blocks are compared by one task.
+BLOCK, MOST_BLOCK = 512, 2048
 
 
 def prefix_depth(threshold: float, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> int:
@@ -89,6 +93,11 @@ def signatures(hashes: np.ndarray, begin: np.ndarray, counts: np.ndarray, width:
     return found
 
 
+def _row(id_col: str, text_col: str) -> Column:
+    """Names a row by its id and text."""
+    return F.xxhash64(id_col, text_col)
+
+
 def _features(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -96,22 +105,22 @@ def _features(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFra
         import pyarrow as pa
 
         shingler, number = Shingler(size), TaskContext.get().partitionId() << 33
-        for batch in text_blocks(batches):
+        for batch in released(text_blocks(batches)):
             n = batch.num_rows
             digests, hashes, begin, counts = shingler.block([t or "" for t in batch.column(1).to_pylist()])
             paths = signatures(hashes, begin, counts, TREES * DEPTH)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(number, number + n)), batch.column(0), pa.array(digests, pa.binary()), pa.array(counts), pa.array([p.tobytes() for p in paths], pa.binary())],
-                ["rid", "id", "key", "n_shingles", "paths"],
+                [pa.array(np.arange(number, number + n)), batch.column(0), batch.column(2), pa.array(digests, pa.binary()), pa.array(counts), pa.array([p.tobytes() for p in paths], pa.binary())],
+                ["rid", "id", "row", "key", "n_shingles", "paths"],
             )
             number += n
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"rid long, id {kind}, key binary, n_shingles long, paths binary")
+    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), _row(id_col, text_col).alias("row"))
+    return slim.mapInArrow(run, f"rid long, id {kind}, row long, key binary, n_shingles long, paths binary")
 
 
 def _candidates(texts: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) of keys that share a prefix of ``depth`` in a tree: all pairs of nodes of up to SMALL texts,
-    and each text of a larger node with the node's least key."""
+    """(pairs (a, b) of keys that share a prefix of ``depth`` in a tree, for nodes of up to SMALL texts; keys of larger nodes)."""
     width = 2 * DEPTH
     tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
     prefix = F.substring("paths", F.col("tree") * width + 1, F.lit(2 * depth))
@@ -119,11 +128,10 @@ def _candidates(texts: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
     shared = materialize(nodes.groupBy("node").agg(F.count("*").alias("size"), F.min("key").alias("least")).where("size > 1"), "nodes")
     nodes = in_bitmap(nodes, F.col("node"), key_bitmap(shared.select(F.col("node").alias("key")), "key"), "open").where("open").select("node", "key")
     # the key's length as a second key makes both sides reshuffle, which lets AQE split a large node's partition
-    met = materialize(nodes.withColumn("k", F.length("key")).join(shared.withColumn("k", F.length("least")), ["node", "k"]).drop("k"), "met")
+    met = materialize(nodes.withColumn("k", F.length("key")).join(shared.withColumn("k", F.length("least")), ["node", "k"]).select("node", "key", "size"), "met")
     small = met.where(F.col("size") <= SMALL).groupBy("node").agg(F.collect_list("key").alias("keys"))
     pairs = small.select("keys", F.explode("keys").alias("a")).select("a", F.explode("keys").alias("b")).where("a < b").distinct()
-    stars = met.where((F.col("size") > SMALL) & (F.col("key") != F.col("least"))).select(F.col("least").alias("a"), F.col("key").alias("b")).distinct()
-    return pairs, stars
+    return pairs, met.where(F.col("size") > SMALL).select("key").distinct()
 
 
 def _agreeing(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -142,54 +150,151 @@ def _agreeing(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "pa", "pb").mapInArrow(run, "a binary, b binary")
 
 
-def link_block(keys: list[bytes], sides: np.ndarray, copies: np.ndarray, sets: list[np.ndarray], same: bool, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def _sets(docs: DataFrame, texts: DataFrame, keys: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+    """(key, copies, shingles) of the texts named by ``keys``: sorted 64-bit hashes; a repeated row may give its text twice."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        shingler = Shingler(size)
+        for batch in released(text_blocks(batches)):
+            digests, hashes, begin, counts = shingler.block([t or "" for t in batch.column(2).to_pylist()])
+            same = [i for i, (a, b) in enumerate(zip(digests, batch.column(0).to_pylist(), strict=True)) if a == b]
+            sets = [np.unique(hashes[begin[i] : begin[i] + counts[i]]).tobytes() for i in same]
+            kept = batch.take(pa.array(same, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*kept.columns[:2], pa.array(sets, pa.binary())], ["key", "copies", "shingles"])
+
+    wanted = materialize(texts.select("key", "id", "copies").join(keys, "key", "left_semi").withColumn("near", F.xxhash64("id")), "wanted")
+    read = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+    near = in_bitmap(read, F.xxhash64("doc"), key_bitmap(wanted.select(F.col("near").alias("key")), "key"), "open").where("open").drop("open")
+    held = near.join(wanted, F.col("doc").eqNullSafe(F.col("id"))).select("key", "copies", "text")
+    return materialize(held.mapInArrow(run, "key binary, copies long, shingles binary"), "sets")
+
+
+def prefix_length(n: int, threshold: float) -> int:
+    """How many of a set's ``n`` members, taken in one order for all sets, must hold one of each set this similar."""
+    return n - math.ceil(threshold * n - 1e-9) + 1
+
+
+def _cells(values: np.ndarray) -> np.ndarray:
+    return (values >> np.uint64(44)).astype(np.int64)
+
+
+def _stars(sets: DataFrame, threshold: float) -> DataFrame:
+    """Edges (a, b) that connect every two of the sets whose similarity reaches the threshold.
+
+    Exact prefix filtering: of all members in one order, the first ``prefix_length`` of two similar sets have one in
+    common. The order is by frequency, rare first, so shingles of a passage that many texts share bring nobody
+    together. Frequencies are a sketch of fixed size; the texts of one shingle point to their least key.
+    """
+
+    def count(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        cells = np.zeros(CELLS, np.int64)
+        for batch in released(batches):
+            if batch.num_rows:
+                cells += np.bincount(_cells(np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)), minlength=CELLS)
+        heavy = np.argpartition(cells, CELLS - HEAVY)[-HEAVY:]
+        heavy = heavy[cells[heavy] > 1]
+        yield pa.RecordBatch.from_pydict({"cell": heavy, "n": cells[heavy]})
+
+    totals = sets.select("shingles").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    heavy = totals.orderBy(F.desc("n"), "cell").limit(HEAVY).collect()
+    order = np.zeros(CELLS, np.int32)
+    for place, row in enumerate(reversed(heavy)):
+        order[row.cell] = place + 1
+    shared = sets.sparkSession.sparkContext.broadcast(order)
+
+    def prefixes(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in released(text_blocks(batches, column="shingles")):
+            keys, found = [], []
+            for key, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                values = np.frombuffer(raw, np.uint64)
+                first = values[np.argsort(shared.value[_cells(values)], kind="stable")][: prefix_length(len(values), threshold)]
+                keys += [key] * len(first)
+                found.append(first)
+            flat = np.concatenate(found).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(flat)], ["key", "shingle"])
+
+    rows = sets.select("key", "shingles").mapInArrow(prefixes, "key binary, shingle long")
+    least = materialize(rows.groupBy("shingle").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least < most").drop("most"), "rare")
+    near = in_bitmap(rows, F.col("shingle"), key_bitmap(least.select(F.col("shingle").alias("key")), "key"), "open").where("open")
+    # the length as a second key makes both sides reshuffle, which lets AQE split a shingle's partition
+    joined = near.withColumn("k", F.length("key")).join(least.withColumn("k", F.length("least")), ["shingle", "k"])
+    return joined.where("key <> least").select(F.col("least").alias("a"), F.col("key").alias("b")).distinct()
+
+
+def shared_counts(sets: list[np.ndarray], split: int | None = None) -> np.ndarray:
+    """How many members each two sets have in common; with ``split``, of the sets before it (rows) and from it on (columns)."""
+    n = len(sets)
+    rows, columns, base = (n, n, 0) if split is None else (split, n - split, split)
+    found = np.zeros((rows, columns), np.float32)
+    _, place, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(n), np.fromiter(map(len, sets), np.int64, n))
+    # members that many sets have: products of bounded 0/1 matrices
+    dense = np.flatnonzero(counts > max(n // 8, 8))
+    spot = np.full(len(counts), -1)
+    spot[dense] = np.arange(len(dense))
+    column = spot[place]
+    width = max(1, (1 << 21) // n)
+    for start in range(0, len(dense), width):
+        held = (column >= start) & (column < start + width)
+        ones = np.zeros((n, min(width, len(dense) - start)), np.float32)
+        ones[owner[held], column[held] - start] = 1
+        found += ones[:rows] @ ones[base:].T
+    # members of few sets: each with those that follow it among the holders
+    few = np.flatnonzero((counts[place] > 1) & (column < 0))
+    few = few[np.lexsort((owner[few], place[few]))]
+    value, holder = place[few], owner[few]
+    at, step, total = np.arange(len(few)), 1, np.zeros(rows * columns, np.int64)
+    while len(at):
+        at = at[at + step < len(few)]
+        at = at[value[at] == value[at + step]]
+        i, j = holder[at], holder[at + step]
+        if split is not None:
+            cross = (i < split) & (j >= split)
+            i, j = i[cross], j[cross]
+        if len(i):
+            total += np.bincount(i * columns + (j - base), minlength=rows * columns)
+        step += 1
+    total = total.reshape(rows, columns)
+    return found.astype(np.int64) + (total + total.T if split is None else total)
+
+
+def link_block(copies: np.ndarray, sets: list[np.ndarray], threshold: float, split: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(links of each text counting copies of its partners, local root of each text) among the pairs of one
-    block, or with ``same`` false between the block of side 0 and that of side 1."""
-    n = len(keys)
+    block, or with ``split`` between the block before it and the one from it on."""
+    n = len(sets)
     sizes = np.fromiter(map(len, sets), np.int64, n)
-    values = np.concatenate(sets)
-    owner = np.repeat(np.arange(n), sizes)
-    order = np.argsort(values, kind="stable")
-    owner_sorted = owner[order]
-    _, place, counts = np.unique(values, return_inverse=True, return_counts=True)
-    first = np.cumsum(counts) - counts
-    links, parent = np.zeros(n, np.int64), list(range(n))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    begin = np.cumsum(sizes) - sizes
+    if split is None:
+        shared = shared_counts(sets)
+        linked = shared >= threshold * (sizes[:, None] + sizes - shared) - 1e-9
+        np.fill_diagonal(linked, False)
+        links = linked @ copies
+    else:
+        shared = shared_counts(sets, split)
+        one = shared >= threshold * (sizes[:split, None] + sizes[split:] - shared) - 1e-9
+        links = np.concatenate([one @ copies[split:], copies[:split] @ one])
+        linked = np.zeros((n, n), bool)
+        linked[:split, split:] = one
+        linked[split:, :split] = one.T
+    roots = np.full(n, -1)
     for i in range(n):
-        if not same and sides[i]:
-            continue
-        spots = place[begin[i] : begin[i] + sizes[i]]
-        spots = spots[counts[spots] > 1]
-        span = counts[spots]
-        if not len(spots):
-            continue
-        at = np.repeat(first[spots] - (np.cumsum(span) - span), span) + np.arange(span.sum())
-        shared = np.bincount(owner_sorted[at], minlength=n)
-        linked = shared >= threshold * (sizes[i] + sizes - shared) - 1e-9
-        linked[i] = False
-        if not same:
-            linked &= sides == 1
-        partners = np.flatnonzero(linked)
-        links[i] += copies[partners].sum()
-        if not same:
-            links[partners] += copies[i]
-        for j in partners.tolist():
-            a, b = root(i), root(j)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-    return links, np.fromiter(map(root, range(n)), np.int64, n)
-
-
-def _verified(members: DataFrame, size: int, threshold: float) -> DataFrame:
-    """(key, root, links) of each member and block pair; members hold key, cluster, copies, text."""
-    blocks = F.ceil(F.col("cluster_size") / BLOCK).cast("int")
+        if roots[i] < 0:
+            roots[i], front = i, linked[i] & (roots < 0)
+            while front.any():
+                roots[front] = i
+                front = linked[front].any(axis=0) & (roots < 0)
+    return links.astype(np.int64), roots
+
+
+def _verified(members: DataFrame, threshold: float) -> DataFrame:
+    """(key, root, links) of each member and block pair; members hold cluster, cluster_size, key, copies, shingles."""
+    block = F.least(F.greatest(F.col("cluster_size") / 64, F.lit(BLOCK)), F.lit(MOST_BLOCK))
+    blocks = F.ceil(F.col("cluster_size") / block).cast("int")
     own = F.pmod(F.xxhash64("key"), blocks)
     spread = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     spread = spread.select("cluster", F.least("own", "other").cast("int").alias("lo"), F.greatest("own", "other").cast("int").alias("hi"), "own", "key", "copies", "shingles")
@@ -199,15 +304,14 @@ def _verified(members: DataFrame, size: int, threshold: float) -> DataFrame:
 
         def flush(group, rows):
             unique = {row[1]: row for row in rows}  # rows that share id and text come once
-            rows = [unique[k] for k in sorted(unique)]
-            keys = [r[1] for r in rows]
-            sides = np.array([int(r[0] != group[1]) for r in rows])
-            copies = np.array([r[2] for r in rows], np.int64)
-            links, roots = link_block(keys, sides, copies, [np.frombuffer(r[3], np.uint64) for r in rows], group[1] == group[2], threshold)
+            rows = sorted(unique.values(), key=lambda r: (r[0] != group[1], r[1]))
+            keys, copies = [r[1] for r in rows], np.array([r[2] for r in rows], np.int64)
+            split = None if group[1] == group[2] else sum(r[0] == group[1] for r in rows)
+            links, roots = link_block(copies, [np.frombuffer(r[3], np.uint64) for r in rows], threshold, split)
             return pa.RecordBatch.from_pydict({"key": pa.array(keys, pa.binary()), "root": pa.array([keys[i] for i in roots.tolist()], pa.binary()), "links": links})
 
         group, rows = None, []
-        for batch in batches:
+        for batch in released(batches):
             columns = [batch.column(i).to_pylist() for i in range(7)]
             for cluster, lo, hi, own, key, n, shingles in zip(*columns, strict=True):
                 if (cluster, lo, hi) != group:
@@ -230,57 +334,68 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = S
     or more (words are runs without space and U+0009 to U+000D; a text of fewer words has one shingle of all).
     ``n_links`` counts all other documents it links to, copies included; ``class_id`` is the least id of
     the documents that links connect. A text without words, null included, links to nothing. Repeated
-    rows are copies, null ids are least, an empty table gives no row.
+    rows are copies, null ids are least, a very long text is one set of its distinct shingles, an empty table
+    gives no row.
     """
+    return _classes(docs, threshold, shingle, id_col, text_col).select(F.col("id").alias(id_col), "class_id", "n_links")
+
+
+def _classes(docs: DataFrame, threshold: float, shingle: int, id_col: str, text_col: str) -> DataFrame:
+    """(row, id, class_id, n_links, stays): ``stays`` for the rows that have the class's least (id, word sequence)."""
     features = materialize(_features(docs, id_col, text_col, shingle), "forest")
     worded = features.where("n_shingles > 0")
     texts = materialize(worded.groupBy("key").agg(F.min_by("id", F.struct("id", "rid")).alias("id"), F.count("*").alias("copies"), F.first("paths").alias("paths"), F.first("n_shingles").alias("n_shingles")), "texts")
-    pairs, stars = _candidates(texts, prefix_depth(threshold))
-    clusters = connected_components(_agreeing(pairs, texts, threshold - 0.15).unionByName(stars)).select(F.col("node").alias("key"), F.col("root").alias("cluster"))
+    pairs, crowded = _candidates(texts, prefix_depth(threshold))
+    # five standard deviations below the threshold: less is lost here than by the forest's recall
+    pairs = materialize(_agreeing(pairs, texts, threshold - 0.15), "pairs")
+    crowded = materialize(crowded, "crowded")
+    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).union(crowded).distinct()
+    sets = _sets(docs, texts, keys, shingle, id_col, text_col)
+    # a false positive of the bitmap is compared in vain and changes nothing
+    in_crowd = in_bitmap(sets, F.xxhash64("key"), key_bitmap(crowded.select(F.xxhash64("key").alias("key")), "key"), "open").where("open")
+    stars = _stars(in_crowd, threshold)
+    clusters = connected_components(pairs.unionByName(stars)).select(F.col("node").alias("key"), F.col("root").alias("cluster"))
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("cluster_size"))
     # length as a second key makes both sides reshuffle, which lets AQE split a large cluster's partition
     sized = clusters.withColumn("k", F.length("cluster")).join(sizes.withColumn("k", F.length("cluster")), ["cluster", "k"]).drop("k")
-    members = materialize(sized.join(texts.select("key", "id", "copies"), "key").withColumn("near", F.xxhash64("id")), "members")
-
-    def shingles_of(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        shingler = Shingler(shingle)
-        for batch in text_blocks(batches):
-            digests, hashes, begin, counts = shingler.block([t or "" for t in batch.column(4).to_pylist()])
-            same = [i for i, (a, b) in enumerate(zip(digests, batch.column(0).to_pylist(), strict=True)) if a == b]
-            sets = [np.unique(hashes[begin[i] : begin[i] + counts[i]]).tobytes() for i in same]
-            kept = batch.take(pa.array(same, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*kept.columns[:4], pa.array(sets, pa.binary())], ["key", "cluster", "cluster_size", "copies", "shingles"])
-
-    read = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-    near = in_bitmap(read, F.xxhash64("doc"), key_bitmap(members.select(F.col("near").alias("key")), "key"), "open").where("open").drop("open")
-    texts_of = near.join(members, F.col("doc").eqNullSafe(F.col("id"))).select("key", "cluster", "cluster_size", "copies", "text")
-    shingled = texts_of.mapInArrow(shingles_of, "key binary, cluster binary, cluster_size long, copies long, shingles binary")
-    found = materialize(_verified(shingled, shingle, threshold), "links")
+    found = materialize(_verified(sets.join(sized, "key"), threshold), "links")
     joined = connected_components(found.where("key <> root").select(F.col("key").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("key").agg(F.sum("links").alias("links"))
     rooted = links.join(joined.withColumnRenamed("node", "key"), "key", "left").select("key", "links", F.coalesce("root", "key").alias("root"))
     linked = rooted.join(texts.select("key", "id", "copies", "n_shingles"), "key", "right").withColumn("root", F.coalesce("root", "key")).withColumn("links", F.coalesce("links", F.lit(0)))
     # singles need no join: only texts with links or copies are looked up below
     linked = materialize(linked.where("links > 0 or copies > 1"), "linked")
-    least = linked.groupBy("root").agg(F.min_by("id", F.struct("id")).alias("class_id")).withColumn("k", F.length("root"))
-    classes = linked.withColumn("k", F.length("root")).join(least, ["root", "k"]).select("key", "n_shingles", "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links"))
+    least = linked.groupBy("root").agg(F.min(F.struct("id", "key")).alias("least")).withColumn("k", F.length("root"))
+    classes = linked.withColumn("k", F.length("root")).join(least, ["root", "k"]).select("key", "n_shingles", "least", (F.col("links") + F.col("copies") - 1).alias("n_links"))
     # the number of shingles as a second key makes both sides reshuffle: a large group of copies is split
-    return (
-        features.select("id", "key", "n_shingles")
-        .join(classes.withColumn("found", F.lit(True)), ["key", "n_shingles"], "left")
-        .select(F.col("id").alias(id_col), F.when(F.col("found"), F.col("class_id")).otherwise(F.col("id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    rows = features.select("row", "id", "key", "n_shingles").join(classes.withColumn("found", F.lit(True)), ["key", "n_shingles"], "left")
+    single = F.col("found").isNull()
+    return rows.select(
+        "row",
+        "id",
+        F.when(single, F.col("id")).otherwise(F.col("least.id")).alias("class_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        (single | (F.col("id").eqNullSafe(F.col("least.id")) & (F.col("key") == F.col("least.key")))).alias("stays"),
+        (~single).alias("linked"),
     )
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with the least id of each class; ids are unique here, and other columns stay."""
-    gone = near_classes(docs, id_col=id_col, text_col=text_col, **options).where(~F.col(id_col).eqNullSafe(F.col("class_id"))).select(F.col(id_col).alias("__gone"))
-    gone = materialize(gone, "gone")
-    flagged = in_bitmap(docs, F.xxhash64(id_col), key_bitmap(gone.select(F.xxhash64("__gone").alias("key")), "key"), "__open")
-    doubtful = flagged.where("__open").join(gone, F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
-    return flagged.where(~F.col("__open")).unionByName(doubtful).drop("__open")
+def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each class of ``near_classes``: that of the least id, then the least word sequence.
+
+    All columns stay, whatever their names. Rows that share an id are told apart by their texts; of rows equal in both, one
+    stays. Texts without words, null included, stay; an empty table stays empty.
+    """
+    gone_id, gone_row, row, flag = new_names(docs.columns, 4)
+    touched = materialize(_classes(docs, threshold, shingle, id_col, text_col).where("linked").select(F.col("id").alias(gone_id), F.col("row").alias(gone_row), "stays").distinct(), "touched")
+    flagged = in_bitmap(docs.withColumn(row, _row(id_col, text_col)), F.col(row), key_bitmap(touched.select(F.col(gone_row).alias("key")), "key"), flag)
+    gone = touched.where(~F.col("stays")).drop("stays")
+    doubtful = flagged.where(flag).join(gone, (F.col(row) == F.col(gone_row)) & F.col(id_col).eqNullSafe(F.col(gone_id)), "left_anti")
+    known = touched.where("stays").drop("stays")
+    # rows of a false positive of the bitmap are no copies; they stay as they are
+    other = doubtful.join(known, (F.col(row) == F.col(gone_row)) & F.col(id_col).eqNullSafe(F.col(gone_id)), "left_anti")
+    one = doubtful.join(known, (F.col(row) == F.col(gone_row)) & F.col(id_col).eqNullSafe(F.col(gone_id)), "left_semi").dropDuplicates([id_col, row])
+    return flagged.where(~F.col(flag)).unionByName(other).unionByName(one).drop(row, flag)
 
 
 ORACLE = r"""
