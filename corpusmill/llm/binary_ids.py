@@ -131,7 +131,7 @@ def write_ids(docs: DataFrame, path: str, vocab: str = "word_bpe_49k.json", end_
         if ids:
             yield shard()
 
-    encoded = materialize(encoded_documents(docs, vocab, end_id, id_col, text_col), "encoded")
+    encoded = materialize(encoded_documents(docs, vocab, end_id, id_col, text_col), "encoded", "zstd")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["id", "salt"]
     dealt = encoded.withColumn("id", F.col("id").cast("long")).repartitionByRange(parts, *order).sortWithinPartitions(*order).select("id", "wide", "ids")

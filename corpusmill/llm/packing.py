@@ -184,7 +184,7 @@ def pack(
     rows are packed each, a text longer than a shard is a shard of its own, ties in score go to the document
     routed first, an empty table gives no row.
     """
-    encoded = materialize(encoded_documents(docs, vocab, end_id, id_col, text_col), "encoded")
+    encoded = materialize(encoded_documents(docs, vocab, end_id, id_col, text_col), "encoded", "zstd")
     corpus = docs.sparkSession.sparkContext.broadcast(corpus_counts(encoded))
     kind = docs.schema[id_col].dataType.simpleString()
 
