@@ -80,7 +80,7 @@ def jaccard_pairs(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.58
     so it has one of the item's first n - that + 1, taken from rare to common. Tokens of documents meet only these,
     and only where the sizes allow the similarity; candidates are verified on whole sets. Rows of one id are told apart.
     """
-    rows = _token_sets(docs, id_col, text_col).withColumn("row", F.xxhash64("k", "s")).withColumn("n", F.size("s"))
+    rows = materialize(_token_sets(docs, id_col, text_col).withColumn("row", F.xxhash64("k", "s")).withColumn("n", F.size("s")), "sets")
     items = _token_sets(benchmark, item_col, text_col).withColumn("m", F.size("s")).where("m > 0")
     tokens = rows.select("row", "n", F.explode("s").alias("t"))
     listed = items.select("k", "m", F.explode("s").alias("t"))

@@ -104,10 +104,7 @@ def signature(hashes: np.ndarray, perms: np.ndarray, variant: str) -> np.ndarray
 def minhash_signatures(
     docs: DataFrame, num_perm: int = 256, ngram: int = 5, least: int = 5, variant: str = "v1", seed: int = 42, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(id, sig binary, n_shingles) of each document, ``sig`` being ``num_perm`` big-endian 32-bit numbers; null texts count as empty.
-
-    Inputs of fewer splits than the cluster has cores are dealt out first; larger ones are read where they are.
-    """
+    """(id, sig binary, n_shingles) of each document, ``sig`` being ``num_perm`` big-endian 32-bit numbers; null texts count as empty."""
     perms = permutations(num_perm, variant, seed)
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -129,9 +126,6 @@ def minhash_signatures(
                 start = stop
 
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    cores = docs.sparkSession.sparkContext.defaultParallelism
-    if slim.rdd.getNumPartitions() < cores:
-        slim = slim.repartition(cores)
     return slim.mapInArrow(run, f"id {kind}, sig binary, n_shingles long")
 
 

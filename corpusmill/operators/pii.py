@@ -76,8 +76,21 @@ ENTROPIES = {"assigned": 3.0, "base64": 4.5, "hex": 3.0}
 NEEDED = {
     "EMAIL": "@",
     "IP_ADDRESS": r"[0-9]\.[0-9]|[0-9A-Fa-f]:[0-9A-Fa-f]*:|::",
-    "KEY": r"(?i)AKC|AP[0-9A-F]|AKIA|ASIA|AGPA|AIDA|AROA|A3T|AccountKey|cloudant|[MNO][a-z0-9_-]{23}|gh[pousr]_|AIza|ibm|secret|eyJ|-us[0-9]|npm_|authToken|PRIVATE KEY|SG\.|xox|hooks\.slack|softlayer|sl[_-]?(?:api|key|token|pass)|_live_|AC[0-9a-f]{32}|SK[0-9a-f]{32}|token|passw|api_?key|[\"'][A-Za-z0-9+/_-]{20}",
+    "KEY": r"[\"'][A-Za-z0-9+/_-]{16}|[MNO][A-Za-z0-9_-]{23}|(?:AC|SK)[0-9a-f]{32}|AP[0-9A-F][a-zA-Z0-9]{8}|-us[0-9]",
 }
+#: Parts of key formats in lower case; a text without any of them, and without the shapes above, holds no key.
+KEY_PARTS = (
+    "akc", "akia", "asia", "agpa", "aida", "aroa", "a3t", "accountkey", "cloudant", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "aiza", "ibm", "access_key",
+    "access-key", "accesskey", "eyj", "npm_", "_authtoken", "private key", "sg.", "xox", "hooks.slack", "softlayer", "sl_", "sl-", "slkey", "sltoken", "slapi",
+    "slpass", "_live_", "token", "secret", "passw", "api_key", "apikey",
+)
+
+
+def may_hold_keys(text: Column) -> Column:
+    found = F.lit(False)
+    for part in KEY_PARTS:
+        found = found | F.lower(text).contains(part)
+    return found | text.rlike(NEEDED["KEY"])
 
 
 def is_uuid(value: str) -> bool:
@@ -218,7 +231,7 @@ def scan(docs: DataFrame, key_detector: str = "other", model: BigramModel | None
         return texts.map(lambda t: [{"tag": a, "value": b, "start": c, "end": d} for a, b, c, d in detect(t, model, key_detector)] if t else [])
 
     text = F.col(text_col)
-    may = text.contains(NEEDED["EMAIL"]) | text.rlike(NEEDED["IP_ADDRESS"]) | (F.lit(True) if key_detector == "regex" else text.rlike(NEEDED["KEY"]))
+    may = text.contains(NEEDED["EMAIL"]) | text.rlike(NEEDED["IP_ADDRESS"]) | (F.lit(True) if key_detector == "regex" else may_hold_keys(text))
     # a plan that copies the call below a filter would run it twice
     found = spans.asNondeterministic()(F.when(may, text))
     return docs.withColumn("secrets", found).withColumn("number_secrets", F.size("secrets")).withColumn("has_secrets", F.col("number_secrets") > 0)

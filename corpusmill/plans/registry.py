@@ -7,6 +7,8 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusmill.sources.shared import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 FLAGSHIP = "dedup_keep_min"
@@ -14,6 +16,9 @@ FLAGSHIP = "dedup_keep_min"
 #: Modules of this package that register queries when imported.
 MODULES = ("text_queries", "duplicate_queries", "span_queries", "thread_queries", "entity_queries")
 
+#: Tables of texts, over which queries do heavy work.
+TEXTS = ("documents", "pages", "conversations")
+
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
 
@@ -33,7 +38,8 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in TEXTS else df
 
 
 def _load() -> None:

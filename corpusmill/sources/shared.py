@@ -25,3 +25,14 @@ def materialize(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/corpusmill/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Inputs of this size in bytes are dealt out to all cores before heavy work; larger ones have files and row groups enough.
+SPREAD_FROM, SPREAD_TO = 4 << 20, 256 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores if it is small: a small table is often one row group, which one task reads. Others stay as they are."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if SPREAD_FROM <= size <= SPREAD_TO and cores > 1 else df
