@@ -21,17 +21,22 @@ from corpusmill.llm.tokens import vocabulary
 
 #: Words whose ids a worker remembers; a full memo is emptied.
 MEMO_WORDS = 350_000
-#: Rounds of one recursion, and symbol rows that its rounds may make; both bound DuckDB's memory.
-ROUNDS, ROUND_ROWS = 48, 3_000_000
+#: Rounds of one recursion, and symbol rows that its rounds may make (fewer for long words, whose query is wider); they bound DuckDB's memory.
+ROUNDS, ROUND_ROWS, LONG_ROWS = 48, 3_000_000, 600_000
 
-CONTRACT = f"""
+#: Bytes from which a word is first cut where no token can reach across, and contracted by all places of its least pair a round.
+LONG = 256
+#: Ids that one decoding query reads.
+DECODE_IDS = 1_000_000
+
+CONTRACT = """
 WITH RECURSIVE steps(word, pos, tok, round) AS (
     SELECT word, pos, tok, 0 FROM symbols
     UNION ALL
     SELECT word, pos, tok, round FROM (
         WITH pairs AS (
             SELECT word, pos, tok, round, lead(tok) OVER w AS follower, lead(pos) OVER w AS follower_pos
-            FROM steps WHERE round < {ROUNDS} WINDOW w AS (PARTITION BY word ORDER BY pos)
+            FROM steps WHERE round < {rounds} WINDOW w AS (PARTITION BY word ORDER BY pos)
         ), best AS (
             SELECT word, min((merged, pos, follower_pos)) AS pick
             FROM pairs JOIN merges ON tok = first AND follower = second GROUP BY word
@@ -44,6 +49,42 @@ SELECT word, pos, tok, last FROM steps JOIN (SELECT word, max(round) AS last FRO
 WHERE round = last ORDER BY word, pos
 """
 
+#: For long words: the places of the one least pair, from the left, don't wait for each other up to the first where a
+#: neighbour makes a pair of still lower rank with the merged token; of a run of overlapping pairs every other one is taken.
+CONTRACT_LONG = """
+WITH RECURSIVE steps(word, pos, tok, round) AS (
+    SELECT word, pos, tok, 0 FROM symbols
+    UNION ALL
+    SELECT word, pos, tok, round FROM (
+        WITH pairs AS (
+            SELECT word, pos, tok, round, row_number() OVER w AS nr, lag(tok) OVER w AS before, lead(tok) OVER w AS follower, lead(tok, 2) OVER w AS after
+            FROM steps WHERE round < {rounds} WINDOW w AS (PARTITION BY word ORDER BY pos)
+        ), possible AS (
+            SELECT word, nr, before, after, merged, min(merged) OVER (PARTITION BY word) AS least FROM pairs JOIN merges ON tok = first AND follower = second
+        ), places AS (
+            SELECT *, row_number() OVER (PARTITION BY word ORDER BY nr) AS place FROM possible WHERE merged = least
+        ), turns AS (
+            SELECT *, row_number() OVER (PARTITION BY word, nr - place ORDER BY nr) AS turn FROM places
+        ), risks AS (
+            SELECT t.word, t.nr, t.merged, (l.first IS NOT NULL OR r.first IS NOT NULL OR b.first IS NOT NULL)::INT AS risk FROM turns t
+            LEFT JOIN early l ON l.first = t.before AND l.second = t.merged
+            LEFT JOIN early r ON r.first = t.merged AND r.second = t.after
+            LEFT JOIN early b ON b.first = t.merged AND b.second = t.merged
+            WHERE turn % 2 = 1
+        ), picked AS (
+            SELECT word, nr, merged FROM (SELECT *, sum(risk) OVER (PARTITION BY word ORDER BY nr) - risk AS earlier FROM risks) WHERE earlier = 0
+        ), going AS (
+            SELECT word, nr, merged FROM picked UNION ALL SELECT word, nr + 1, NULL FROM picked
+        )
+        SELECT p.word, pos, coalesce(merged, tok) AS tok, round + 1 AS round
+        FROM pairs p SEMI JOIN picked ON p.word = picked.word LEFT JOIN going g ON p.word = g.word AND p.nr = g.nr
+        WHERE g.word IS NULL OR merged IS NOT NULL
+    )
+)
+SELECT word, pos, tok, last FROM steps JOIN (SELECT word, max(round) AS last FROM steps GROUP BY word) USING (word)
+WHERE round = last ORDER BY word, pos
+"""
+
 DECODE = "SELECT doc, from_hex(string_agg(letters, '' ORDER BY pos)) AS bytes FROM ids JOIN tokens USING (tok) GROUP BY doc"
 
 
@@ -52,7 +93,6 @@ class SqlBpe:
 
     def __init__(self, path: str, pattern: str):
         import duckdb
-        import pyarrow as pa
         import regex
 
         with open(path, "rb") as file:
@@ -60,41 +100,72 @@ class SqlBpe:
         self.ranks, self.split = ranks, regex.compile(pattern).findall
         self.bytes = np.array([ranks[bytes((b,))] for b in range(256)], np.int32)
         splits = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "700MB", "temp_directory": ""})
         self._register("merge_rows", dict(zip(("first", "second", "merged"), map(list, zip(*splits, strict=True)), strict=True)))
         self.db.execute("CREATE TABLE merges AS SELECT first::INT AS first, second::INT AS second, merged::INT AS merged FROM merge_rows")
+        self.db.execute("CREATE TABLE early AS SELECT first, second FROM merges WHERE merged < greatest(first, second)")
         self._register("token_rows", {"tok": list(ranks.values()), "letters": [t.hex() for t in ranks]})
         self.db.execute("CREATE TABLE tokens AS SELECT tok::INT AS tok, letters FROM token_rows")
         self.db.unregister("merge_rows")
         self.db.unregister("token_rows")
         self.memo: dict[str, bytes] = {}
-        self.pa = pa
+        self.prefixes: set[bytes] | None = None
 
     def _register(self, name: str, columns: dict) -> None:
         import pyarrow as pa
 
         self.db.register(name, pa.table(columns))
 
-    def _contract(self, words: np.ndarray, positions: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, ...]:
+    def _contract(self, words: np.ndarray, positions: np.ndarray, tokens: np.ndarray, query: str, rounds: int) -> tuple[np.ndarray, ...]:
         self._register("symbols", {"word": words, "pos": positions, "tok": tokens})
-        found = self.db.execute(CONTRACT).fetchnumpy()
+        found = self.db.execute(query.format(rounds=rounds)).fetchnumpy()
         self.db.unregister("symbols")
         return tuple(np.asarray(found[c]) for c in ("word", "pos", "tok", "last"))
 
+    def parts(self, word: bytes) -> list[bytes]:
+        """A word cut wherever no token of the vocabulary stands in it across the cut: merges never meet there."""
+        if self.prefixes is None:
+            self.prefixes = {t[:i] for t in self.ranks for i in range(2, len(t))}
+        cuts, reach = [0], 1
+        for i in range(len(word)):
+            if i >= reach:
+                cuts.append(i)
+                reach = i + 1
+            size = 2
+            while i + size <= len(word):
+                piece = word[i : i + size]
+                if piece in self.ranks:
+                    reach = max(reach, i + size)
+                if piece not in self.prefixes:
+                    break
+                size += 1
+        return [word[i:j] for i, j in zip(cuts, [*cuts[1:], len(word)], strict=True)]
+
     def _encode_words(self, words: list[bytes]) -> list[np.ndarray]:
         """Ids of words that are no token themselves."""
+        cut = {i: self.parts(w) for i, w in enumerate(words) if len(w) >= LONG}
+        whole = [w for i, w in enumerate(words) if i not in cut]
+        pieces = sorted({p for parts in cut.values() for p in parts}, key=len)
+        short = [p for p in pieces if len(p) < LONG]
+        known = dict(zip([*whole, *short], self._merged([*whole, *short], CONTRACT), strict=True))
+        known |= zip(pieces[len(short) :], self._merged(pieces[len(short) :], CONTRACT_LONG), strict=True)
+        return [np.concatenate([known[p] for p in cut[i]]) if i in cut else known[w] for i, w in enumerate(words)]
+
+    def _merged(self, words: list[bytes], query: str) -> list[np.ndarray]:
+        """Ids of words by contraction from their bytes, in recursions whose rounds make a bounded number of rows."""
         found: list[np.ndarray] = [np.empty(0, np.int32)] * len(words)
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         cost = np.cumsum(lengths * np.minimum(lengths, ROUNDS))
-        begin = 0
+        begin, most = 0, LONG_ROWS if query is CONTRACT_LONG else ROUND_ROWS
         while begin < len(words):
-            end = max(begin + 1, int(np.searchsorted(cost, (cost[begin - 1] if begin else 0) + ROUND_ROWS, "right")))
+            end = max(begin + 1, int(np.searchsorted(cost, (cost[begin - 1] if begin else 0) + most, "right")))
             word = np.repeat(np.arange(begin, end), lengths[begin:end])
             pos = np.arange(len(word)) - np.repeat(np.cumsum(lengths[begin:end]) - lengths[begin:end], lengths[begin:end])
             tok = self.bytes[np.frombuffer(b"".join(words[begin:end]), np.uint8)]
             while len(word):
-                word, pos, tok, last = self._contract(word, pos, tok)
-                done = last < ROUNDS  # the others go on from where this recursion ended
+                rounds = max(1, min(ROUNDS, most // len(word)))
+                word, pos, tok, last = self._contract(word, pos, tok, query, rounds)
+                done = last < rounds  # the others go on from where this recursion ended
                 ids, first = np.unique(word[done], return_index=True)
                 for w, part in zip(ids.tolist(), np.split(tok[done], first[1:]), strict=False):
                     found[w] = part
@@ -122,15 +193,19 @@ class SqlBpe:
         return [np.frombuffer(b"".join(map(get, words)), "<i4") for words in cut]
 
     def decode_block(self, ids: list[np.ndarray]) -> list[bytes]:
+        """The bytes of each document's ids, by ordered aggregation over at most DECODE_IDS ids a query."""
         found = [b""] * len(ids)
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         if not lengths.sum():
             return found
-        ends = np.cumsum(lengths)
-        self._register("ids", {"doc": np.repeat(np.arange(len(ids)), lengths), "pos": np.arange(ends[-1]) - np.repeat(ends - lengths, lengths), "tok": np.concatenate(ids)})
-        for doc, text in self.db.execute(DECODE).fetchall():
-            found[doc] = text
-        self.db.unregister("ids")
+        flat, doc, ends = np.concatenate(ids), np.repeat(np.arange(len(ids)), lengths), np.cumsum(lengths)
+        pos = np.arange(ends[-1]) - np.repeat(ends - lengths, lengths)
+        for start in range(0, len(flat), DECODE_IDS):
+            span = slice(start, start + DECODE_IDS)
+            self._register("ids", {"doc": doc[span], "pos": pos[span], "tok": flat[span]})
+            for i, text in self.db.execute(DECODE).fetchall():
+                found[i] += text
+            self.db.unregister("ids")
         return found
 
 
@@ -144,7 +219,8 @@ def encode_and_decode(docs: DataFrame, vocab: str = "byte_bpe_multi_50k.tiktoken
 
     Digests are of the ids as little-endian unsigned 32-bit integers and of the decoded bytes. Nothing is
     shuffled. Null texts count as empty and have no id, null document ids pass through, repeated rows
-    are encoded each, words of any length are contracted in bounded steps, an empty table gives no row.
+    are encoded each, long words are cut where no token can reach and contracted in steps of bounded memory, an empty
+    table gives no row.
     """
 
     def run(batches: Iterator) -> Iterator:
