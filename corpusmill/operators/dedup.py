@@ -56,6 +56,8 @@ def first_by_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.withColumn("__n", F.row_number().over(rank)).where("__n = 1").drop("__n")
 
 
-def dedup_report(before: DataFrame, after: DataFrame) -> DataFrame:
-    b, a = before.agg(F.count("*").alias("rows_before")), after.agg(F.count("*").alias("rows_after"))
+def dedup_report(before: DataFrame, after: DataFrame, size: Column | None = None) -> DataFrame:
+    """Rows before and after, the percentage kept and, with a ``size`` of a row, the sums of it."""
+    sums = lambda side: [F.count("*").alias(f"rows_{side}")] + ([F.coalesce(F.sum(size), F.lit(0)).alias(f"size_{side}")] if size is not None else [])
+    b, a = before.agg(*sums("before")), after.agg(*sums("after"))
     return b.crossJoin(a).withColumn("kept_percent", F.round(F.try_divide(100 * F.col("rows_after"), F.col("rows_before")), 2))

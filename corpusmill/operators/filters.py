@@ -130,5 +130,14 @@ def without_listed(df: DataFrame, listed: DataFrame, keys: list[str]) -> DataFra
     return df.join(listed.select(*keys).distinct(), keys, "left_anti")
 
 
+#: Extensions of data files, of which a share is kept: fixed values.
+DATA_EXTENSIONS = ("json", "yml", "xml", "html", "yaml")
+
+
+def data_sampled(key: Column, path: Column, share: float = 0.5) -> Column:
+    """Whether a file is kept: a keyed share of data files, all others."""
+    return ~tx.extension(path).isin(*DATA_EXTENSIONS) | sampled("data files", key, share)
+
+
 def sampled(salt: str, key: Column, share: float) -> Column:
     return keyed_uniform(salt, key) < share

@@ -106,10 +106,10 @@ def dedup_v2(spark, sf):
     return dedup.keep_least(docs, dedup.near_duplicate_components(docs, num_perm=250, variant="v2")).select("doc_id", "lang", "source", "n_chars")
 
 
-@query("dedup_report", f"WITH RECURSIVE {BANDS_SQL}, {COMPONENTS_SQL}, k AS (SELECT count(*) AS n FROM components WHERE id <> component) SELECT count(*) AS rows_before, count(*) - (SELECT n FROM k) AS rows_after, round(100 * (count(*) - (SELECT n FROM k)) / count(*), 2) AS kept_percent FROM documents")
+@query("dedup_report", f"WITH RECURSIVE {BANDS_SQL}, {COMPONENTS_SQL}, k AS (SELECT count(*) AS n, coalesce(sum(n_chars), 0) AS size FROM components JOIN documents ON doc_id = id WHERE id <> component) SELECT count(*) AS rows_before, sum(n_chars)::BIGINT AS size_before, count(*) - (SELECT n FROM k) AS rows_after, (sum(n_chars) - (SELECT size FROM k))::BIGINT AS size_after, round(100 * (count(*) - (SELECT n FROM k)) / count(*), 2) AS kept_percent FROM documents")
 def dedup_report(spark, sf):
     docs = table(spark, sf, "documents")
-    return dedup.dedup_report(docs, dedup.keep_least(docs, _components(spark, sf)))
+    return dedup.dedup_report(docs, dedup.keep_least(docs, _components(spark, sf)), F.col("n_chars"))
 
 
 @query("graph_components", """WITH RECURSIVE e AS (SELECT o_custkey AS src, o_custkey // 3 AS dst FROM orders), b AS (SELECT src AS a, dst AS b FROM e WHERE src <> dst UNION SELECT dst, src FROM e WHERE src <> dst),

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
 from corpusmill.functions.hashing import keyed_uniform
 from corpusmill.operators import commits, filters, statistics
 from corpusmill.plans.registry import query, table
+from corpusmill.sources import io
+from corpusmill.sources.shared import shared_dir
 
 U = "(('0x' || substr(md5('{salt}:' || {key}), 1, 8))::BIGINT / 4294967296.0)"
 
@@ -91,9 +95,11 @@ PARAMETERS_SQL = ", ".join(f"({i}, " + ", ".join(f"'{v}'" for v in row) + ")" fo
           AND (coalesce(try_cast(al AS DOUBLE), 0) = 0 OR al_n >= try_cast(al AS DOUBLE) * n)""",
 )
 def filter_per_extension(spark, sf):
-    raw = spark.createDataFrame(
-        [(i, *row) for i, row in enumerate(PARAMETERS)], "nr int, language string, extension string, include string, long_line_threshold string, alphanum_threshold string, alpha_filter string"
-    )
+    """The parameters are written as a file and read as one."""
+    path = f"{shared_dir(spark)}/corpusmill/parameters-{uuid.uuid4().hex}"
+    names = "`language` string, `extension` string, `Include` string, `Long_line_threshold` string, `Alphanum_threshold` string, `Alpha filter` string"
+    spark.createDataFrame(PARAMETERS, names).coalesce(1).write.option("header", "true").option("emptyValue", "").csv(path)
+    raw = io.read_extension_parameters(spark, path)
     return filters.per_extension(table(spark, sf, "documents"), filters.parse_extension_parameters(raw), "lang", "source").select("doc_id")
 
 
@@ -188,11 +194,18 @@ def fertility_ratio(spark, sf):
     return table(spark, sf, "documents").select("doc_id", char_token_ratio("byte_bpe_50k.json")(F.col("text")).alias("ratio"))
 
 
-@query("comment_ratio", None)
+@query(
+    "comment_ratio",
+    """WITH c AS (SELECT doc_id, trim(regexp_replace(string_split(text, chr(10))[1], '[^A-Za-z0-9 .,]', '', 'g')) AS line, n_chars FROM documents)
+       SELECT doc_id, (length(line) + CASE WHEN n_chars % 2 = 0 THEN length(line) + 1 ELSE 0 END) / (length(line) + 10 + CASE WHEN n_chars % 2 = 0 THEN length(line) + 7 ELSE 0 END)::DOUBLE AS ratio FROM c""",
+)
 def comment_ratio(spark, sf):
+    """Programs of a comment, an assignment and in half of them a docstring, made of a text's first line."""
     from corpusmill.operators.markup import natural_language_ratio
 
-    return table(spark, sf, "documents").select("doc_id", natural_language_ratio(F.col("text"), F.lit("python")).alias("ratio"))
+    line = F.trim(F.regexp_replace(F.substring_index("text", "\n", 1), "[^A-Za-z0-9 .,]", ""))
+    docstring = F.when(F.col("n_chars") % 2 == 0, F.concat(F.lit('"""'), line, F.lit('"""\n'))).otherwise("")
+    return table(spark, sf, "documents").select("doc_id", natural_language_ratio(F.concat(docstring, F.lit("# "), line, F.lit("\nx = 12\n")), F.lit("python")).alias("ratio"))
 
 
 @query(
@@ -333,3 +346,42 @@ def excluded_ids(spark, sf):
 @query("unrecognized_sources", "SELECT regexp_extract(url, '\\.([a-z]+)$', 1) AS value, count(*) AS n FROM pages WHERE regexp_matches(url, '\\.([a-z]+)$') GROUP BY 1")
 def unrecognized_sources(spark, sf):
     return statistics.unrecognized(table(spark, sf, "pages"), r"\.([a-z]+)$", "url")
+
+
+@query("filter_comments", "SELECT doc_id FROM documents WHERE (n_chars % 100) / 100.0 > 0.01 AND (n_chars % 100) / 100.0 < 0.8")
+def filter_comments(spark, sf):
+    docs = table(spark, sf, "documents").withColumn("ratio", (F.col("n_chars") % 100) / 100.0)
+    return docs.where(filters.comments("ratio").keep).select("doc_id")
+
+
+@query("filter_fertility", "SELECT doc_id FROM documents WHERE (n_chars % 50) / 10.0 >= (CASE doc_id % 4 WHEN 0 THEN 2.5 WHEN 1 THEN 2.9 WHEN 2 THEN 2.6 ELSE 0 END)")
+def filter_fertility(spark, sf):
+    """Languages without a bound pass."""
+    from corpusmill.operators.markup import fertile
+
+    language = F.get(F.array(*map(F.lit, ("Python", "java", "javascript", "go"))), (F.col("doc_id") % 4).cast("int"))
+    return table(spark, sf, "documents").where(fertile(language, (F.col("n_chars") % 50) / 10.0)).select("doc_id")
+
+
+PATHS_SQL = "p AS (SELECT doc_id, (['src/a.py', 'b.json', 'Dockerfile', 'x/Makefile', 'c.yaml', 'notes.txt'])[doc_id % 6 + 1] AS path FROM documents)"
+
+
+def _paths(spark, sf):
+    listed = F.array(*map(F.lit, ("src/a.py", "b.json", "Dockerfile", "x/Makefile", "c.yaml", "notes.txt")))
+    return table(spark, sf, "documents").select("doc_id", F.get(listed, (F.col("doc_id") % 6).cast("int")).alias("path"))
+
+
+@query("extension_whitelist", f"WITH {PATHS_SQL} SELECT doc_id, path FROM p WHERE string_split(path, '.')[-1] IN ('py', 'json') OR ends_with(path, 'Dockerfile') OR ends_with(path, 'Makefile')")
+def extension_whitelist(spark, sf):
+    return _paths(spark, sf).where(filters.extension_allowed(F.col("path"), ["py", "json"]))
+
+
+@query("data_subsample", f"WITH {PATHS_SQL} SELECT doc_id, path FROM p WHERE string_split(path, '.')[-1] NOT IN ('json', 'yml', 'xml', 'html', 'yaml') OR {uniform_sql('data files', 'doc_id')} < 0.5")
+def data_subsample(spark, sf):
+    return _paths(spark, sf).where(filters.data_sampled(F.col("doc_id"), F.col("path")))
+
+
+@query("language_names", "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'c-sharp' WHEN 1 THEN 'f-sharp' WHEN 2 THEN 'common-lisp' ELSE 'go' END AS name FROM documents")
+def language_names(spark, sf):
+    listed = F.array(*map(F.lit, ("C#", "F#", "Common Lisp", "Go")))
+    return table(spark, sf, "documents").select("doc_id", tx.language_format(F.get(listed, (F.col("doc_id") % 4).cast("int"))).alias("name"))

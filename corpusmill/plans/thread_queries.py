@@ -47,10 +47,19 @@ def issue_mask_users(spark, sf):
     return masked.select("conv_id", "x.turn", "x.m.author")
 
 
-@query("issue_pipeline")
+@query(
+    "issue_pipeline",
+    """WITH t AS (SELECT conv_id, turn, role, regexp_replace(regexp_replace(text, '^\\s+|\\s+$', '', 'g'), '_{20,}', '', 'g') AS text FROM conversations),
+       s AS (SELECT conv_id, sum(length(text))::INT AS text_size, count(DISTINCT role)::INT AS user_count, count(*)::INT AS event_count FROM t GROUP BY conv_id),
+       f AS (SELECT conv_id, role, min(turn) AS first FROM t GROUP BY ALL), n AS (SELECT conv_id, role, row_number() OVER (PARTITION BY conv_id ORDER BY first) - 1 AS i FROM f),
+       r AS (SELECT conv_id, coalesce(max(role) FILTER (i = 0), chr(1)) AS r0, coalesce(max(role) FILTER (i = 1), chr(1)) AS r1, coalesce(max(role) FILTER (i = 2), chr(1)) AS r2 FROM n GROUP BY conv_id)
+       SELECT conv_id, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::INT AS pos, 'username_' || i AS author, replace(replace(replace(text, r0, 'username_0'), r1, 'username_1'), r2, 'username_2') AS text, text_size, user_count, event_count
+       FROM t JOIN s USING (conv_id) JOIN n USING (conv_id, role) JOIN r USING (conv_id) WHERE text_size >= 200 AND (user_count >= 2 OR (text_size <= 7000 AND event_count <= 10))""",
+)
 def issue_pipeline(spark, sf):
+    """The whole chain; these conversations hold no mail, long text or bot."""
     kept, _ = issues.run_pipeline(_events(spark, sf))
-    return kept.select("conv_id", F.to_json("events").alias("events"), "text_size", "user_count", "event_count")
+    return kept.select("conv_id", F.posexplode("events").alias("pos", "e"), "text_size", "user_count", "event_count").select("conv_id", "pos", "e.author", "e.text", "text_size", "user_count", "event_count")
 
 
 @query("issue_report", """SELECT * FROM (WITH s AS (SELECT conv_id, sum(length(text)) AS size, count(DISTINCT role) AS users, count(*) AS n FROM conversations GROUP BY conv_id), k AS (SELECT * FROM s WHERE size >= 200 AND (users >= 2 OR (size <= 7000 AND n <= 10)))
@@ -212,3 +221,11 @@ def script_extensions(spark, sf):
     ids = table(spark, sf, "conversations").select("conv_id").distinct()
     meta = F.when(F.col("conv_id") % 3 == 0, '{"metadata":{"language_info":{"file_extension":".jl"}}}').when(F.col("conv_id") % 3 == 1, '{"metadata":{"kernelspec":{"name":"python3"}}}').otherwise('{"metadata":{}}')
     return ids.select("conv_id", notebooks.script_extension(meta).alias("extension"))
+
+
+@query("event_texts", "SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN text WHEN turn % 3 = 1 THEN role ELSE '' END AS text FROM conversations")
+def event_texts(spark, sf):
+    """A comment, else a description, else nothing."""
+    comment = F.when(F.col("turn") % 3 == 0, F.col("text")).when(F.col("turn") % 3 == 1, "")
+    description = F.when(F.col("turn") % 3 != 2, F.col("role"))
+    return table(spark, sf, "conversations").select("conv_id", "turn", issues.event_text(comment, description).alias("text"))

@@ -8,15 +8,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet", subset: str | None = None, split: str | None = None, **options: str) -> DataFrame:
-    """A directory of files; ``subset`` is a sub-directory, ``split`` a value of the split column if there is one."""
+def read_corpus(
+    spark: SparkSession, path: str | list[str], fmt: str = "parquet", subset: str | None = None, split: str | None = None, config: str | None = None, revision: str | None = None, ignore_corrupt: bool = False, **options: str
+) -> DataFrame:
+    """One or several directories of files. ``revision``, ``config`` and ``subset`` are folders below each, in this order; ``split`` is
+    a value of the split column if there is one; ``ignore_corrupt`` leaves broken and missing files out."""
+    paths = ["/".join(x for x in (p.rstrip("/"), revision, config, subset) if x) for p in ([path] if isinstance(path, str) else path)]
     reader = spark.read.format(fmt).options(**options)
+    if ignore_corrupt:
+        reader = reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
     if fmt == "parquet":
         reader = reader.option("mergeSchema", options.get("mergeSchema", "true"))
-    df = reader.load(f"{path}/{subset}" if subset else path)
+    df = reader.load(paths)
     return df.where(F.col("split") == split) if split and "split" in df.columns else df
 
 
+def read_extension_parameters(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a parameter file in their order: language, extension, include, long_line_threshold, alphanum_threshold, alpha_filter, nr; all text."""
+    rows = spark.read.option("header", "true").option("multiLine", "true").csv(path)
+    known = {c.lower().replace(" ", "_"): c for c in rows.columns}
+    names = ("language", "extension", "include", "long_line_threshold", "alphanum_threshold", "alpha_filter")
+    return rows.select(*[F.col(f"`{known[n]}`").alias(n) for n in names], F.monotonically_increasing_id().alias("nr"))
+
+
 def read_table(spark: SparkSession, fmt: str, **options: str) -> DataFrame:
     """Any connector on the class path, such as a warehouse's."""
     return spark.read.format(fmt).options(**options).load()
