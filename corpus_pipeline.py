@@ -14,25 +14,37 @@ from corpusmill.session import ship_package
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go; clean ones stay as they are."""
+    """Documents that the rules reject go; clean ones stay as they are.
+
+    Null, empty and short texts are rejected, repeated rows share their fate, an empty table stays empty.
+    """
     ship_package(spark)
     return quality.drop_rejected(docs)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts equal but for white space one stays: the longest, then the least doc_id."""
+    """Of texts equal but for white space one stays: the longest, then the least doc_id.
+
+    Null counts as empty text, of repeated rows one stays, an empty table stays empty.
+    """
     ship_package(spark)
     return exact_dedup.drop_copies(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links of Jaccard similarity 0.8 or more connect the least doc_id stays."""
+    """Of documents that links of Jaccard similarity 0.8 or more connect the least doc_id stays.
+
+    Texts without words, null included, stay; rows of one id are told apart by their texts; an empty table stays empty.
+    """
     ship_package(spark)
     return near_dup.drop_near_copies(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in windows of 2048 tokens."""
+    """Pieces of the documents in windows of 2048 tokens.
+
+    A null text counts as empty and has its end token alone, repeated rows are packed each, an empty table gives no piece.
+    """
     ship_package(spark)
     return packing.pack(docs)
 
