@@ -163,7 +163,8 @@ class SqlBpe:
             pos = np.arange(len(word)) - np.repeat(np.cumsum(lengths[begin:end]) - lengths[begin:end], lengths[begin:end])
             tok = self.bytes[np.frombuffer(b"".join(words[begin:end]), np.uint8)]
             while len(word):
-                rounds = max(1, min(ROUNDS, most // len(word)))
+                # short words make no more rows than their cost, as they end after as many rounds as they have bytes
+                rounds = max(1, min(ROUNDS, most // len(word))) if query is CONTRACT_LONG else ROUNDS
                 word, pos, tok, last = self._contract(word, pos, tok, query, rounds)
                 done = last < rounds  # the others go on from where this recursion ended
                 ids, first = np.unique(word[done], return_index=True)
