@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import WORD, materialize, text_blocks
+from corpusmill.llm.common import WORD, materialize, released, text_blocks
 from corpusmill.llm.tokens import vocabulary
 
 #: The end of a text among the word counts; no word is empty.
@@ -26,8 +26,8 @@ END = ""
 #: Words of a share of 1/65536 or more: 65536 at most, whatever the corpus; these may be sent to all tasks.
 FREQUENT = 65536
 ROWS = 4096
-#: Expectation steps over the training counts.
-STEPS = 2
+#: Expectation steps over the training counts: until the log likelihood gains less than this share, or so many.
+TOLERANCE, STEPS = 0.002, 6
 UPPER = str.maketrans({c: chr(c + 32) for c in range(65, 91)})
 
 
@@ -122,9 +122,9 @@ class Lattice:
             found[places] = alpha[np.arange(len(places)), lengths]
         return found
 
-    def expect(self, words: list[bytes], counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """Expected uses of each trie node over all segmentations of the words, by their counts."""
-        found = np.zeros(len(self.child))
+    def expect(self, words: list[bytes], counts: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, float]:
+        """(expected uses of each trie node over all segmentations of the words, by their counts; their log likelihood)."""
+        found, likelihood = np.zeros(len(self.child)), 0.0
         for places in self._batches(words):
             lengths, width, arcs = self._arcs([words[i] for i in places])
             alpha = np.full((len(places), width + 1), -np.inf)
@@ -135,12 +135,13 @@ class Lattice:
             beta = np.full_like(alpha, -np.inf)
             beta[np.arange(len(places)), lengths] = 0
             total = alpha[np.arange(len(places)), lengths]
+            likelihood += float(total @ counts[places])
             for i, j, rows, state, w in reversed(kept):
                 through = w + beta[rows, j]
                 beta[rows, i] = np.logaddexp(beta[rows, i], through)
                 uses = np.exp(alpha[rows, i] + through - total[rows]) * counts[places[rows]]
                 found += np.bincount(state, uses, len(found))
-        return found
+        return found, likelihood
 
 
 @lru_cache(maxsize=1)
@@ -166,7 +167,7 @@ def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
             counts.clear()
             return out
 
-        for batch in text_blocks(batches):
+        for batch in released(text_blocks(batches)):
             counts[END] += batch.num_rows
             for text in batch.column(0).to_pylist():
                 counts.update(_lowered_words(text, words_of))
@@ -179,15 +180,16 @@ def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
     return parts.groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def piece_probabilities(counts: DataFrame, vocab: str, steps: int, smoothing: float = 0.1) -> tuple[np.ndarray, float]:
-    """(natural log probability of each piece, of the end) after ``steps`` of expectation over the word counts.
+def piece_probabilities(counts: DataFrame, vocab: str, steps: int, tolerance: float = TOLERANCE, smoothing: float = 0.1) -> tuple[np.ndarray, float]:
+    """(natural log probability of each piece, of the end) after expectation steps over the word counts.
 
-    Only sums by piece come to the driver: at most as many as the vocabulary has.
+    Steps end when the words' log likelihood gains less than ``tolerance`` of itself, or after ``steps``. Only sums by
+    piece come to the driver: at most as many as the vocabulary has.
     """
     model = lattice(vocabulary(vocab))
     words = counts.where(F.col("word") != END)
     ends = counts.where(F.col("word") == END).agg(F.sum("c")).first()[0] or 0
-    logs, end_log = model.first, 0.0
+    logs, end_log, last = model.first, 0.0, -math.inf
     for _ in range(steps):
         sent = counts.sparkSession.sparkContext.broadcast(logs)
 
@@ -195,24 +197,32 @@ def piece_probabilities(counts: DataFrame, vocab: str, steps: int, smoothing: fl
             import pyarrow as pa
 
             own = lattice(vocabulary(vocab))
-            weights, total = own.weights(sent.value), np.zeros(len(own.child))
+            weights, total, likelihood = own.weights(sent.value), np.zeros(len(own.child)), 0.0
             for batch in batches:
                 batch_words = [w.encode("utf-8", "surrogatepass") for w in batch.column(0).to_pylist()]
                 if batch_words:
-                    total += own.expect(batch_words, batch.column(1).to_numpy(), weights)
+                    uses, gained = own.expect(batch_words, batch.column(1).to_numpy(), weights)
+                    total += uses
+                    likelihood += gained
             used = np.flatnonzero(total)
-            yield pa.RecordBatch.from_pydict({"node": used, "uses": total[used]})
+            yield pa.RecordBatch.from_pydict({"node": np.append(used, -1), "uses": np.append(total[used], likelihood)})
 
-        uses = np.zeros(len(model.child))
+        uses, reached = np.zeros(len(model.child)), 0.0
         for row in words.mapInArrow(run, "node long, uses double").groupBy("node").agg(F.sum("uses").alias("uses")).collect():
-            uses[row.node] = row.uses
+            if row.node < 0:
+                reached = row.uses
+            else:
+                uses[row.node] = row.uses
         pieces = uses[model.node] + smoothing
         total = pieces.sum() + ends + smoothing
         logs, end_log = np.log(pieces / total), math.log((ends + smoothing) / total)
+        if reached - last < tolerance * abs(reached):
+            break
+        last = reached
     return logs, end_log
 
 
-def score(docs: DataFrame, vocab: str = "piece_bpe_32k.model", steps: int = STEPS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, vocab: str = "piece_bpe_32k.model", steps: int = STEPS, tolerance: float = TOLERANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Training documents are those whose crc32 of the id as text is not 1 modulo 5 (a null id as empty
@@ -225,9 +235,10 @@ def score(docs: DataFrame, vocab: str = "piece_bpe_32k.model", steps: int = STEP
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), held.alias("held_out"))
     counts = materialize(word_counts(rows.where(~F.col("held_out")), "text"), "words")
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    logs, end_log = piece_probabilities(counts, vocab, steps)
+    logs, end_log = piece_probabilities(counts, vocab, steps, tolerance)
     frequent = {r.word: r.c for r in counts.where(F.col("c") * FREQUENT >= n).collect()}
-    shared = docs.sparkSession.sparkContext.broadcast((frequent, logs, end_log))
+    all_ends = counts.where(F.col("word") == END).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    shared = docs.sparkSession.sparkContext.broadcast((frequent, logs, end_log, all_ends))
     scale = n + 0.5 * (v + 1)
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -235,12 +246,11 @@ def score(docs: DataFrame, vocab: str = "piece_bpe_32k.model", steps: int = STEP
         import pyarrow as pa
 
         own = lattice(vocabulary(vocab))
-        frequent, logs, end_log = shared.value
+        frequent, logs, end_log, ends = shared.value
         weights = own.weights(logs)
         words_of = re.compile(WORD).findall
         number = TaskContext.get().partitionId() << 33
-        ends = frequent.get(END, 0)
-        for batch in text_blocks(batches):
+        for batch in released(text_blocks(batches)):
             codes: dict[str, int] = {}
             n_docs, flat, sizes = batch.num_rows, [], []
             for text in batch.column(1).to_pylist():
