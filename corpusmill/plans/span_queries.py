@@ -33,7 +33,12 @@ q AS (SELECT *, length(ip) = 7 AND NOT (contains(near, 'dns') OR contains(near,
 """
 
 
-@query("ipv4_hits", f"WITH {QUADS_SQL} SELECT doc_id, ip, {VALID_SQL} AND ({PRIVATE_SQL}) AS private FROM q WHERE {VALID_SQL} AND NOT version")
+#: Quads between the separators that the detector asks for.
+EDGES = r"""[\s@,?!;:''"()\[\]{}<>=|\\*#&/¿¡]"""
+PARTED_SQL = QUADS_SQL.replace(f"regexp_extract_all(text, '{IP_ANY}')", f"regexp_extract_all(text, '(?m)(?:^|{EDGES})({IP_ANY})(?:$|{EDGES}|\\.(?:\\s|$))', 1)")
+
+
+@query("ipv4_hits", f"WITH {PARTED_SQL} SELECT doc_id, ip, {VALID_SQL} AND ({PRIVATE_SQL}) AS private FROM q WHERE {VALID_SQL} AND NOT version")
 def ipv4_hits(spark, sf):
     ips = _scanned(spark, sf).select("doc_id", F.explode(F.filter("secrets", lambda s: (s["tag"] == "IP_ADDRESS") & ~s["value"].contains(":"))).alias("s")).select("doc_id", F.col("s.value").alias("ip")).distinct()
     return ips.select("doc_id", "ip", tx.is_private_ip(F.col("ip")).alias("private"))
