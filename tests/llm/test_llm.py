@@ -9,6 +9,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from corpusmill.llm import binary_ids, bpe_sql, exact_dedup, html_text, lattice_lm, line_templates, near_dup, packing, quality, token_counts
@@ -70,9 +71,20 @@ def test_token_counts(docs, rows, empty):
     assert token_counts.count_tokens(empty).count() == 0
 
 
+def test_token_counts_of_long_texts(monkeypatch):
+    lib, draw = library("byte_bpe_50k.json"), random.Random(6)
+    counter = token_counts.TokenCounter(public_tokenizers.path("byte_bpe_50k.json"))
+    long = ["".join(draw.choice(["word", "it's", " ", "  ", "\n\n ", "é日", "42", "'ll", "...", "<|endoftext|>", "\u3000", "x" * 40]) for _ in range(4000)) for _ in range(3)]
+    long.append("y" * 5000)
+    want = [len(lib.encode(t, add_special_tokens=False).ids) for t in long]
+    for size in (1_000_000, 700, 33):
+        monkeypatch.setattr(token_counts, "PART_CHARS", size)
+        assert counter.count_block([*long, None, ""]).tolist() == [*want, 0, 0]
+
+
 def test_packing(docs, unique, rows, empty):
     lib, pieces = library("byte_bpe_50k.json"), collections.defaultdict(list)
-    found = packing.pack(unique, size=64, shard_chars=2000).collect()
+    found = packing.pack(unique, size=64, shard_ids=500).collect()
     for r in found:
         pieces[r.doc_id].append(r)
     for i, t, *_ in rows[:-1]:
@@ -90,10 +102,60 @@ def test_packing(docs, unique, rows, empty):
             assert offset == at
             at += length
         assert at <= 64
-    assert sum(sum(n for _, n in p) < 64 for p in windows.values()) <= unique.rdd.getNumPartitions()
+    assert sum(sum(n for _, n in p) < 64 for p in windows.values()) <= int(unique.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     assert packing.pack(empty).count() == 0 and packing.pack(docs).agg({"length": "sum"}).first()[0] > 0
 
 
+def test_encoder_equals_the_library():
+    """Special strings, contractions, letters of every kind, control characters and long words."""
+    from corpusmill.llm.tokens import Encoder
+
+    draw = random.Random(3)
+    parts = ["it's", "I'LL", " ", "\n", "İ", "ı", "ǅ", "e\u0301", "é", "日本", "½", "²", "42", "<|endoftext|>", "<|startoftext|>", "\x01", "\x02", "\x85", "\xa0", "…", "’s", "ſ", "\u212a", "ß", "Σ", "  ", "\x1c", "Zq", "--", "\x00", "😀", "µ", "€", "\u200b"]
+    odd = ["".join(draw.choice(parts) for _ in range(draw.randrange(1, 25))) for _ in range(1500)]
+    odd += [f"a{chr(c)}1{chr(c)} {chr(c)}b {chr(c)}{chr(c)}'s{chr(c)}A{chr(c)}" for c in range(0x2600)] + ["z" * 20000, "qj" * 5000, "", texts()[0] * 50]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        found = Encoder(public_tokenizers.path(name))
+        assert found.encode_text != found._library
+        want = library(name).encode_batch_fast(odd, add_special_tokens=False)
+        assert all(a.tolist() == b.ids for a, b in zip(found.encode_block(odd), want, strict=True))
+
+
+def test_packing_takes_the_best_neighbour(spark, rows):
+    """In one range and one shard every document joined to an open window is the unused one of highest BM25 score."""
+    lib = library("byte_bpe_50k.json")
+    docs = spark.createDataFrame([r for r in rows[:-1] if r[0] != 900], SCHEMA)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        found = packing.pack(docs, size=1 << 9).orderBy("sequence_id", "offset").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    ids = {i: lib.encode(t, add_special_tokens=False).ids + [1] for i, t, *_ in rows[:-1] if t is not None}
+    tails = {i: x[len(x) // 512 * 512 :] for i, x in ids.items()}
+    df = collections.Counter(w for x in ids.values() for w in set(x))
+    mean, n = sum(map(len, ids.values())) / len(ids), len(ids)
+    near = collections.Counter(w for x in tails.values() for w in set(x))
+
+    def bm25(seed, other):
+        tf = collections.Counter(tails[other])
+        shared = [w for w in set(tails[seed]) & set(tf) if near[w] > 1]
+        return sum(np.log1p((n - df[w] + 0.5) / (df[w] + 0.5)) * tf[w] * 2.2 / (tf[w] + 1.2 * (0.25 + 0.75 * len(tails[other]) / mean)) for w in shared)
+
+    unused, seed, judged = {i for i, x in tails.items() if x}, None, 0
+    for r in found:
+        if r.start < len(ids[r.doc_id]) // 512 * 512:
+            continue  # whole windows of long documents
+        if r.offset == 0:
+            seed = r.doc_id
+        elif r.doc_id in unused:
+            best = max(bm25(seed, i) for i in unused)
+            assert bm25(seed, r.doc_id) >= best - 1e-6
+            judged += best > 0
+        unused.discard(r.doc_id)
+    assert judged >= 10 and not unused
+
+
 def test_exact_groups(unique, docs, rows, empty):
     found = sorted(map(tuple, exact_dedup.exact_groups(unique, digest_all=True).collect()))
     assert found == duck(rows[:-1], exact_dedup.ORACLE)
@@ -110,6 +172,19 @@ def test_line_templates(unique, rows, empty):
     assert line_templates.drop_templates(empty).count() == 0
 
 
+def test_long_and_short_lines(spark):
+    """A passage of 60 words in three documents goes, one in two stays; a line of one word goes from ten documents on."""
+    words = [f"w{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10]}" for k in range(60)]
+    passage, other = " ".join(words), " ".join(reversed(words))
+    letters = "abcdefghijklmno"
+    rows = [(i, "\n".join(([passage] if i in (1, 5, 9) else []) + ([other] if i in (2, 3) else []) + ["Contents"] * (i < 10) + ["Rare"] * (i < 9) + ["12 34"] + [f"own {letters[i]} text {letters[i] * 3}"])) for i in range(15)]
+    rows += [(20, rows[2][1]), (21, rows[2][1]), (22, None), (22, None), (23, "")]  # copies count once
+    schema = "doc_id long, text string, lang string, source string, n_chars long, size string, row string"
+    found = sorted(((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in line_templates.drop_templates(spark.createDataFrame([(*r, None, None, None, None, None) for r in rows], schema).repartition(3)).collect()))
+    assert [x[2] for x in found[:15]] == [(i in (1, 5, 9)) + (i < 10) for i in range(15)]
+    assert [x[1:] for x in found[15:]] == [(rows[2][1].count("\n") + 1, 1, "\n".join(x for x in rows[2][1].split("\n") if x != "Contents"))] * 2 + [(0, 0, "")] * 3
+
+
 def test_main_text(spark):
     long = "Sentence with several words &amp; more. " * 6
     page = f"<html><head><title>t</title></head><body><nav>menu</nav><div class='ad'>buy</div><h2>Head&nbsp;line</h2><p>{long}<p>{long}<script>x<y</script><form>sign</form><section id=comments><p>{long}</section><footer>f</footer>"
@@ -139,6 +214,60 @@ def test_main_text_keeps_articles():
     assert html_text.main_text(f"<div><p>{story}</p><p>{other}</p></div><div class='site-footer'>{extra}</div>") == f"{text} {beside}"
 
 
+def test_main_text_keeps_what_the_distribution_shows(spark):
+    """Link lists inside an article, short paragraphs beside long ones, marked parts that are text."""
+    story = "story and more words of the page. " * 6
+    text = story.strip()
+    links = "".join(f"<li><a href=x>item {i}</a></li>" for i in range(6))
+    assert html_text.main_text(f"<article><p>{story}</p><ul>{links}</ul><p>end</p></article>") == f"{text} " + " ".join(f"item {i}" for i in range(6)) + " end"
+    assert html_text.main_text(f"<body><div><p>{story}</p><nav>menu</nav><p>Short close.</p></div><div>copyright</div></body>") == f"{text} Short close."
+    assert html_text.main_text(f"<div><p>{story}</p><p>{story}</p><section class='related-work'><p>{story}</p></section></div>") == " ".join([text] * 3)
+    assert html_text.main_text(f"<div><p>{story}</p><p>{story}</p><div class='related'><ul>{links}</ul></div></div>") == " ".join([text] * 2)
+    assert html_text.main_text(f"<div><p>{story}</p><p>{story}</p><div class='comments'><p>{story}</p></div></div>") == " ".join([text] * 2)
+    assert html_text.main_text(f"<p>{story}" * 3000) == " ".join([text] * 3000)
+
+
+def test_main_text_windows_equal_brute_force():
+    """Surge and dive over lines without marks: a passage is a run of windows with text, and one of them is above the threshold."""
+    draw = random.Random(4)
+    for _ in range(200):
+        sizes = [draw.choice([0, 0, 0, 0, 5, 40, 90]) for _ in range(draw.randrange(1, 25))]
+        page = "".join(f"<div>{'x' * n}</div>" if n else "<div><a>menu</a></div>" for n in sizes)
+        runs, i = [], 0
+        while i < len(sizes):
+            if sum(sizes[i : i + 3]):
+                j = i
+                while j < len(sizes) and sum(sizes[j : j + 3]):
+                    j += 1
+                runs.append((i, j))
+                i = j
+            i += 1
+        text = lambda run: ["x" * sizes[k] if sizes[k] else "menu" for k in range(*run)]
+        kept = [r for r in runs if max(sum(sizes[k : k + 3]) for k in range(*r)) > html_text.SURGE]
+        if not kept and runs:
+            kept = [max(runs, key=lambda r: sum(sizes[r[0] : r[1]]))]
+        assert html_text.main_text(page) == " ".join(x for r in kept for x in text(r)), sizes
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<b>x" * 40_000 + "</i>" * 40_000, "<a x=\"y\" z='q' " * 30_000, "<div class=ad>x" * 20_000, "<div class=related>x" * 20_000, "<b>" * 30_000 + "<p>x" * 30_000, "<script " * 60_000, "<!x" * 100_000, "<a '" * 50_000 + '<a "' * 50_000, "<div><p>x" * 30_000 + "</div>" * 30_000, "<!--" * 100_000],
+)
+def test_main_text_of_hostile_pages_is_linear(page):
+    import time
+
+    began = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - began < 8
+
+
+def test_extract_of_odd_rows(spark):
+    schema = "page_id long, url string, html string, text string, n_chars int, __html string"
+    assert html_text.extract(spark.createDataFrame([], schema)).count() == 0
+    rows = spark.createDataFrame([(None, None, "<p>a &amp; b", "x", 1, "y"), (1, "u", "", "x", 1, "y")], schema)
+    assert sorted(map(tuple, html_text.extract(rows).collect()), key=str) == [(1, "u", "", 0), (None, None, "a & b", 5)]
+
+
 def base_statistics(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
     windows = collections.Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
@@ -194,6 +323,12 @@ def test_binary_round_trip(spark, docs, rows, empty):
             ids = np.array(lib.encode(by_id[r.doc_id] or "", add_special_tokens=False).ids + [1], "<u4")
             assert (r.start, r.n_tokens, r.ids_crc32, bytes(r.ids)) == (at, len(ids), zlib.crc32(ids.tobytes()), ids.tobytes())
             at += len(ids)
+    ids = np.arange(100_000, dtype="<u4") * 7 % 49_000
+    for plane_bits in (1, 8):
+        image = binary_ids.write_shard(ids, [1, None], [99_000, 1_000], plane_bits)
+        for start, stop in ((0, 1), (32_767, 32_769), (50_000, 99_999), (99_999, 200_000), (5, 5)):
+            assert np.array_equal(binary_ids.read_range(image, start, stop), ids[start:stop])
+        assert binary_ids.read_shard(image)[1] == [1, None]
     path = binary_ids.id_files_path(spark, "none")
     binary_ids.write_ids(empty, path)
     assert binary_ids.read_ids(spark, path).count() == 0
@@ -211,8 +346,26 @@ def test_sql_bpe(docs, rows, empty):
     assert bpe_sql.encode_and_decode(empty).count() == 0
 
 
+def test_sql_bpe_of_long_words():
+    """Words of up to 100,000 bytes, and short alphabets where a merged token's pair ranks lower than its own."""
+    import tiktoken
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    with open(path, "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    lib = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    bpe, draw = bpe_sql.SqlBpe(path, public_tokenizers.PATTERN), random.Random(2)
+    words = ["z" * 100_000, base64.b64encode(draw.randbytes(75_000)).decode(), "ab" * 3000, "".join(draw.choice(WORDS) for _ in range(4000)), "日本語" * 3000]
+    for _ in range(60):
+        few = "".join(draw.choice("etaoinsrhld-=.aAbc01é日") for _ in range(draw.choice([2, 3, 5, 8])))
+        words.append("".join(draw.choice(few) for _ in range(draw.randrange(200, 1500))))
+    ids = bpe.encode_block(words)
+    assert all(a.tolist() == lib.encode_ordinary(w) for a, w in zip(ids, words, strict=True))
+    assert bpe.decode_block(ids) == [w.encode() for w in words]
+
+
 def test_lattice_scores(docs, rows, empty):
-    found = {r.doc_id: r for r in lattice_lm.score(docs).collect()}
+    found = {r.doc_id: r for r in lattice_lm.score(docs, steps=2).collect()}
     tokens = [(i, re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) + [None]) for i, t, *_ in rows]
     held = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
     counts = collections.Counter(w for i, ws in tokens if not held(i) for w in ws)
@@ -225,6 +378,44 @@ def test_lattice_scores(docs, rows, empty):
     assert lattice_lm.score(empty).count() == 0
 
 
+def test_lattice_counts_the_ends_of_long_texts(spark):
+    """The end is rarer than any frequent word here, and known all the same."""
+    rows = [(i, " ".join(["word"] * 70_000)) for i in (0, 2, 3, 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    held = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 5 == 1]
+    trained = len(rows) - len(held)
+    n = trained * 70_001
+    for r in lattice_lm.score(docs, steps=1).collect():
+        want = 70_000 * np.log10((trained * 70_000 + 0.5) / (n + 1.5)) + np.log10((trained + 0.5) / (n + 1.5))
+        assert r.n_known == 70_001 and r.train_tokens == n and abs(r.base_score - want) < 1e-6 * abs(want)
+
+
+def test_lattice_scores_equal_brute_force(spark, unique, rows):
+    """The whole model against sums over all segmentations, with the trained probabilities; steps raise the likelihood."""
+    vocab = "piece_bpe_32k.model"
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1
+    words = [(i, re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))) for i, t, *_ in rows[:-1]]
+    counts = collections.Counter(w for i, ws in words if not held(i) for w in ws)
+    counts[lattice_lm.END] = sum(not held(i) for i, _ in words)
+    table = spark.createDataFrame(list(counts.items()), "word string, c long")
+    logs, end = lattice_lm.piece_probabilities(table, vocab, 3, 0.0)
+    pieces = dict(zip(lattice_lm.lattice(public_tokenizers.path(vocab)).pieces, np.exp(logs), strict=True))
+    assert abs(sum(pieces.values()) + np.exp(end) - 1) < 1e-9
+
+    def probability(word):
+        raw = b" " + word.encode()
+        alpha = [1.0] + [0.0] * len(raw)
+        for j in range(1, len(raw) + 1):
+            alpha[j] = sum(alpha[i] * pieces[raw[i:j]] for i in range(max(0, j - 64), j) if raw[i:j] in pieces)
+        return np.log10(alpha[-1])
+
+    found = {r.doc_id: r.score for r in lattice_lm.score(unique, steps=3, tolerance=0.0).collect()}
+    for i, ws in words:
+        if all(len(w) < 40 for w in ws):
+            want = sum(map(probability, ws)) + end / np.log(10)
+            assert abs(found[i] - want) < 1e-6 * max(1, abs(want))
+
+
 def test_lattice_sums_all_segmentations():
     lattice = lattice_lm.lattice(public_tokenizers.path("piece_bpe_32k.model"))
     logs = dict(zip(lattice.pieces, lattice.first, strict=True))
@@ -255,14 +446,96 @@ def test_near_classes_among_texts_that_share_passages(spark):
     assert not lost
 
 
-def test_pipeline(spark, rows, tmp_path):
-    spark.createDataFrame(rows[:-1], SCHEMA).select("doc_id", "text", "lang", "source", "n_chars").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+def test_link_block_equals_brute_force():
+    draw = np.random.Generator(np.random.PCG64(5))
+    for n, pool in ((1, 10), (40, 30), (150, 400)):
+        base = [np.unique(draw.integers(0, pool, draw.integers(1, 60)).astype(np.uint64)) for _ in range(n)]
+        sets = base + [np.unique(np.append(s[1:], np.uint64(9999))) for s in base]
+        copies = draw.integers(1, 4, len(sets))
+        shared = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+        sizes = np.array(list(map(len, sets)))
+        linked = shared >= 0.6 * (sizes[:, None] + sizes - shared) - 1e-9
+        np.fill_diagonal(linked, False)
+        assert (near_dup.shared_counts(sets) - np.diag(np.diag(near_dup.shared_counts(sets))) == shared - np.diag(np.diag(shared))).all()
+        links, roots = near_dup.link_block(copies, sets, 0.6)
+        assert (links == linked @ copies).all() and all(roots[i] == roots[j] for i, j in np.argwhere(linked))
+        assert len(set(roots)) == len({tuple(np.flatnonzero(r)) for r in np.linalg.matrix_power(linked.astype(float) + np.eye(len(sets)), 2 * len(sets) if len(sets) < 40 else 64) > 0})
+        links, _ = near_dup.link_block(copies, sets, 0.6, n)
+        assert (links == np.concatenate([linked[:n, n:] @ copies[n:], copies[:n] @ linked[:n, n:]])).all()
+
+
+def test_near_copies_go_by_row(spark):
+    """Rows of one id with different texts are told apart; clashing names and repeated rows do no harm."""
+    a, b = " ".join(WORDS), " ".join(reversed(WORDS))
+    rows = [(1, a, 7), (2, a + " tail", 8), (2, b, 9), (3, None, 1), (3, "", 1), (4, b, 2), (4, b, 2), (None, "x y", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, bitmap_bucket int").withColumnRenamed("bitmap_bucket", "bitmap").withColumn("__c0", F.lit(1)).withColumn("bitmap_bucket", F.lit(2))
+    left = near_dup.drop_near_copies(docs)
+    assert left.columns == docs.columns
+    assert sorted(((r.doc_id or 0), r.text or "") for r in left.collect()) == sorted([(1, a), (2, b), (3, ""), (3, ""), (0, "x y")])
+    same = spark.createDataFrame([(1, a), (1, a), (5, a)], "doc_id long, text string")
+    assert [r.doc_id for r in near_dup.drop_near_copies(same).collect()] == [1]
+    assert near_dup.drop_near_copies(docs.where("false")).count() == 0
+
+
+def test_near_classes_of_many_variants(spark):
+    """One template, 1,500 variants: classes and links equal brute force over all pairs."""
+    draw = random.Random(11)
+    base = [f"w{k}" for k in range(60)]
+    rows = []
+    for i in range(1500):
+        words = list(base)
+        for _ in range(draw.randrange(4)):
+            words[draw.randrange(60)] = f"v{draw.randrange(40)}"
+        rows.append((i, " ".join(words)))
+    sets = [np.unique([hash(tuple(t.split()[k : k + 5])) for k in range(56)]).astype(np.int64).astype(np.uint64) for _, t in rows]
+    texts_seen = {}
+    for i, t in rows:
+        texts_seen.setdefault(t, []).append(i)
+    keys = sorted(texts_seen)
+    links, roots = near_dup.link_block(np.array([len(texts_seen[t]) for t in keys]), [sets[texts_seen[t][0]] for t in keys], 0.8)
+    least = {}
+    for t, r in zip(keys, roots, strict=True):
+        least[r] = min(least.get(r, 1 << 60), min(texts_seen[t]))
+    want = sorted((i, least[roots[k]], int(links[k]) + len(texts_seen[t]) - 1) for k, t in enumerate(keys) for i in texts_seen[t])
+    found = near_dup.near_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert sorted(map(tuple, found)) == want
+
+
+def test_pipeline(spark, rows, empty, tmp_path):
+    """Against SQL for the rules and the near copies, and plain Python for the exact ones; some documents are all boilerplate."""
+    letters = "abcdefghijklmnop"
+    shared = " ".join(WORDS) + " and some more words of a frequent notice"
+    boiler = [(2000 + i, f"{shared}\nonly {letters[i] * 3} here", "en", "boiler", 100, None, None) for i in range(12)]
+    fine = [(2100, f"{shared}\n" + " ".join(f"{w}{c}" for w in ("own", "mine") for c in letters), "en", "boiler", 100, None, None)]
+    every = rows[:-1] + boiler + fine
+    spark.createDataFrame(every, SCHEMA).select("doc_id", "text", "lang", "source", "n_chars").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
     packed = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
-    clean = [(r[0], r[1] or "") for r in rows[:-1]]
-    clean = [(i, t) for i, t in clean if not ((s := base_statistics(t))[0] < 20 or 100 * s[4] > 30 * s[0])]
+    kept = {r[0] for r in duck(every, f"SELECT doc_id, kept FROM ({quality.ORACLE})") if r[1]}
+    assert 2100 in kept and not kept & {r[0] for r in boiler}
     groups = collections.defaultdict(list)
-    for i, t in clean:
-        groups[re.sub(r"[ \t-\r]", "", t)].append((-len(t), i, t))
+    for i, t, *_ in every:
+        if i in kept:
+            groups[re.sub(r"[ \t-\r]", "", t)].append((-len(t), i, t))
     clean = sorted((i, t) for g in groups.values() for _, i, t in [min(g)])
     classes = dict(r[:2] for r in duck([(i, t, None, None, None) for i, t in clean], near_dup.ORACLE))
     assert packed == {i for i, _ in clean if classes[i] == i}
+    empty.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_drop_stages_with_clashing_columns(spark):
+    """Helper names of any kind in the caller's table, and empty tables."""
+    schema = "doc_id long, text string, source string, bitmap int, bitmap_bucket int, __open int, __key int, __row int, __c0 int, key int, row int, stays int, open int"
+    text = " ".join(WORDS) + " " + " ".join(reversed(WORDS))
+    docs = spark.createDataFrame([(1, text, "h", *[7] * 10), (2, text, "h", *[8] * 10), (3, None, None, *[None] * 10)], schema)
+    for drop, left in ((quality.drop_rejected, [1, 2]), (exact_dedup.drop_copies, [1, 3]), (near_dup.drop_near_copies, [1, 3])):
+        found = drop(docs)
+        assert found.columns == docs.columns and sorted(r.doc_id for r in found.collect()) == left, drop
+        assert drop(docs.where("false")).count() == 0
+
+
+def test_quality_equals_its_statement(spark, unique, rows):
+    found = quality.judge(unique)
+    names = sorted(found.columns)
+    want = duck(rows[:-1], f"SELECT {', '.join(names)} FROM ({quality.ORACLE})")
+    assert sorted(tuple(r[c] for c in names) for r in found.collect()) == want
