@@ -5,7 +5,7 @@ Two deterministic transducers give the number of tokens of a text without buildi
 * The splitter reads character classes and marks where pieces begin. A block of texts is cut into
   chunks; each chunk's state map (exit state for every entry state) is computed for all chunks in
   lockstep, the maps compose in a parallel prefix scan, and a last lockstep pass emits the marks.
-* The counter reads a piece's bytes. Its state is the tail of the piece whose segmentation later
+* The counter reads a piece's bytes; between pieces it is in its first state. Its state is the tail of the piece whose segmentation later
   bytes may still change; a transition is annotated with the number of tokens that became final by
   it, a state with the number its tail gives at the end. States and transitions are compiled on first
   use from the merge ranks and kept within a bound.
@@ -16,6 +16,7 @@ Null and empty texts have no token. Strings of special tokens count one, as the
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -24,12 +25,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import text_blocks, text_of
+from corpusmill.llm.common import released, text_blocks, text_of
 from corpusmill.llm.tokens import WHITE_SPACE, byte_letters, vocabulary
 
 #: Bounds of the counter's tables; a full table is emptied and compiled again as needed.
 MAX_TRANSITIONS, MAX_PAIRS, MAX_PIECES = 400_000, 250_000, 250_000
 CHUNK = 256
+#: Characters of a long text that are split and counted at once.
+PART_CHARS = 1_000_000
 
 # character classes of the splitter; the letters of contractions have their own
 LETTER, SHORT, R, E, V, EL, NUMBER, BLANK, SPACE, QUOTE, OTHER, END = range(12)
@@ -234,20 +237,48 @@ class TokenCounter:
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         self.counter = Counter(vocab, {(raw(a), raw(b)): i for i, (a, b) in enumerate(merges)})
         self.splitter = Splitter()
+        self.edge = re.compile(f"(?<=[^{WHITE_SPACE}])(?=[{WHITE_SPACE}])").search
+
+    def _cut(self, text: str) -> list[str]:
+        """A long text in parts of bounded size, cut where white space follows something else: there a piece always begins."""
+        parts, start = [], 0
+        while len(text) - start > PART_CHARS:
+            found = self.edge(text, start + PART_CHARS)
+            if not found:
+                break
+            parts.append(text[start : found.start()])
+            start = found.start()
+        return [*parts, text[start:]]
 
     def count_block(self, texts: list[str | None]) -> np.ndarray:
+        """Tokens of each text; blocks of bounded size are counted together, whatever the length of a text."""
         totals = np.zeros(len(texts), np.int64)
-        parts, owners = [], []
+        parts, owners, held = [], [], 0
+
+        def flush() -> None:
+            nonlocal held
+            np.add.at(totals, owners, self._count_parts(parts))
+            parts.clear()
+            owners.clear()
+            held = 0
+
         for i, text in enumerate(texts):
             found = [text] if text else []
             for special in self.special:
                 cut = [p.split(special) for p in found]
                 totals[i] += sum(map(len, cut)) - len(cut)
                 found = [p for c in cut for p in c if p]
-            parts += found
-            owners += [i] * len(found)
-        if not parts:
-            return totals
+            for part in (q for p in found for q in (self._cut(p) if len(p) > PART_CHARS else [p])):
+                if parts and held + len(part) > 2 * PART_CHARS:
+                    flush()
+                parts.append(part)
+                owners.append(i)
+                held += len(part)
+        if parts:
+            flush()
+        return totals
+
+    def _count_parts(self, parts: list[str]) -> np.ndarray:
         joined = "\n".join(parts)
         points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
         lengths = np.fromiter(map(len, parts), np.int64, len(parts))
@@ -256,10 +287,11 @@ class TokenCounter:
         bounds = starts.tolist()
         pieces = [joined[i:j] for i, j in zip(bounds, [*bounds[1:], len(joined)], strict=True)]
         counts = self.counter.counts(pieces)
-        counts[np.searchsorted(starts, ends)] = 0  # the characters between texts
+        counts[np.searchsorted(starts, ends)] = 0  # the characters between parts
+        # a piece takes the counter from its first state back to it, so its map is that state and a count: the scan is a sum
+        scan = np.concatenate([[0], np.cumsum(counts)])
         first = np.searchsorted(starts, np.concatenate([[0], ends + 1]))
-        np.add.at(totals, owners, np.add.reduceat(counts, first))
-        return totals
+        return scan[np.append(first[1:], len(counts))] - scan[first]
 
 
 @lru_cache(maxsize=2)
@@ -271,14 +303,15 @@ def count_tokens(docs: DataFrame, vocab: str = "byte_bpe_50k.json", limit: int =
     """One row a document: its id, n_bytes (UTF-8), n_tokens and over_limit (more than ``limit`` tokens).
 
     Rows are read once and never shuffled; repeated rows give repeated results, null ids pass
-    through, null texts count as empty, other columns are not read. An empty table gives none.
+    through, null texts count as empty, other columns are not read. An empty table gives none. A long
+    text is counted in parts, so it takes no more memory than its own characters.
     """
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         counter = counter_of(vocabulary(vocab))
-        for batch in text_blocks(batches):
+        for batch in released(text_blocks(batches)):
             n = counter.count_block(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], ["id", "n_bytes", "n_tokens"])
 
