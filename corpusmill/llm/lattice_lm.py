@@ -28,6 +28,8 @@ FREQUENT = 65536
 ROWS = 4096
 #: Expectation steps over the training counts: until the log likelihood gains less than this share, or so many.
 TOLERANCE, STEPS = 0.002, 6
+#: Words whose scores a task remembers; a full memo is emptied.
+MEMO_WORDS = 300_000
 UPPER = str.maketrans({c: chr(c + 32) for c in range(65, 91)})
 
 
@@ -250,6 +252,7 @@ def score(docs: DataFrame, vocab: str = "piece_bpe_32k.model", steps: int = STEP
         weights = own.weights(logs)
         words_of = re.compile(WORD).findall
         number = TaskContext.get().partitionId() << 33
+        known_scores: dict[str, float] = {}
         for batch in released(text_blocks(batches)):
             codes: dict[str, int] = {}
             n_docs, flat, sizes = batch.num_rows, [], []
@@ -260,7 +263,12 @@ def score(docs: DataFrame, vocab: str = "piece_bpe_32k.model", steps: int = STEP
             flat, sizes = np.array(flat, np.int64), np.array(sizes, np.int64)
             owner = np.repeat(np.arange(n_docs), sizes)
             words = list(codes)
-            of_word = own.score([w.encode("utf-8", "surrogatepass") for w in words], weights) if words else np.empty(0)
+            if len(known_scores) + len(words) > MEMO_WORDS:
+                known_scores.clear()
+            unseen = [w for w in words if w not in known_scores]
+            if unseen:
+                known_scores.update(zip(unseen, own.score([w.encode("utf-8", "surrogatepass") for w in unseen], weights).tolist(), strict=True))
+            of_word = np.fromiter(map(known_scores.__getitem__, words), np.float64, len(words))
             count = np.array([frequent.get(w, 0) for w in words], np.int64)
             common = count[flat] > 0
             base = np.bincount(owner[common], np.log10((count[flat[common]] + 0.5) / scale), n_docs) + math.log10((ends + 0.5) / scale)
