@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
+from array import array
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,6 +33,8 @@ TRIGGERS = {
 GOOD = {"PASSWORD": 1.0, "KEY": 1.0, "NAME": 0.7, "USERNAME": 0.7, "EMAIL": 0.9, "IP_ADDRESS": 1.0, "AMBIGUOUS": 1.0}
 BAD = {"PASSWORD": 0.0, "KEY": 0.0, "NAME": 0.6, "USERNAME": 0.61, "EMAIL": 0.0, "IP_ADDRESS": 0.0, "AMBIGUOUS": 0.0}
 TOKENS = "array<struct<start:int,end:int>>"
+#: Numbers from which a block of spans leaves its worker.
+SPAN_BLOCK = 1 << 20
 
 
 def trimmed(entity: Column) -> Column:
@@ -45,15 +51,43 @@ def trimmed(entity: Column) -> Column:
     return F.struct(entity["tag"].alias("tag"), new.alias("value"), start.cast("int").alias("start"), (start + F.char_length(new)).cast("int").alias("end"))
 
 
-def token_spans(text: Column) -> Column:
-    """Spans (start, end) of runs of word characters, plus, dot and dash, and of single other characters that are no space."""
-    pattern = re.compile(r"[\w+.\-]+|\S")
+@lru_cache(maxsize=1)
+def combining_marks() -> str:
+    """All combining marks, of which Python's word characters have none."""
+    return "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c)[0] == "M")
 
-    @F.pandas_udf(TOKENS)
-    def spans(texts):
-        return texts.map(lambda t: [{"start": m.start(), "end": m.end()} for m in pattern.finditer(t or "")])
 
-    return spans(text)
+def token_spans(text: Column, pattern: str = r"[\w+.\-]+|\S") -> Column:
+    """Spans (start, end) of runs of word characters, plus, dot and dash, and of single other characters that are no space.
+
+    Another ``pattern`` finds other tokens. Spans are held as two numbers each and leave by blocks of bounded size, or one
+    longer text. A filter on the result does not find the spans again.
+    """
+
+    def spans(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        find = re.compile(pattern).finditer
+
+        def block(ends, bounds):
+            offsets, flat = np.frombuffer(ends, np.int32), np.frombuffer(bounds, np.int32)
+            pairs = pa.StructArray.from_arrays([pa.array(flat[::2]), pa.array(flat[1::2])], ["start", "end"])
+            return pa.ListArray.from_arrays(pa.array(offsets), pairs)
+
+        for texts in batches:
+            ends, bounds = array("i", [0]), array("i")
+            for t in texts:
+                for m in find(t.as_py() or ""):
+                    bounds.extend(m.span())
+                ends.append(len(bounds) // 2)
+                if len(bounds) > SPAN_BLOCK:
+                    yield block(ends, bounds)
+                    ends, bounds = array("i", [0]), array("i")
+            if len(ends) > 1:
+                yield block(ends, bounds)
+
+    return F.arrow_udf(spans, TOKENS, F.ArrowUDFType.SCALAR_ITER).asNondeterministic()(text)
 
 
 def with_ends(values: Column, first: Column, last: Column) -> Column:

@@ -110,7 +110,9 @@ def entity_scores(spark, sf):
 
 @query("token_spans", "WITH t AS (SELECT doc_id, regexp_extract_all(text, '[\\p{L}\\p{M}\\p{N}_+.\\-]+|[^\\s]') AS w FROM documents) SELECT doc_id, len(w)::INT AS n, list_sum(list_transform(w, lambda x: length(x)))::INT AS chars FROM t WHERE len(w) > 0")
 def token_spans(spark, sf):
-    found = table(spark, sf, "documents").select("doc_id", en.token_spans(F.col("text")).alias("s")).where(F.size("s") > 0)
+    """Combining marks belong to words and only ASCII spaces separate, as in the statement."""
+    tokens = en.token_spans(F.col("text"), rf"[\w{en.combining_marks()}+.\-]+|[^ \t\n\f\r]")
+    found = table(spark, sf, "documents").select("doc_id", tokens.alias("s")).where(F.size("s") > 0)
     return found.select("doc_id", F.size("s").alias("n"), F.aggregate("s", F.lit(0), lambda a, x: a + x["end"] - x["start"]).alias("chars"))
 
 

@@ -373,6 +373,20 @@ def test_shared_folder_is_asked_for_on_a_cluster():
         shared_dir(cluster)
 
 
+def test_token_spans_are_found_once_in_bounded_blocks(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(entities, "SPAN_BLOCK", 5)
+    rows = [(1, "a_b+c. (d)"), (2, None), (3, "e\u0301x\u00a0y\n"), (4, ""), (5, "\u00e9" * 9), (6, " \t"), (7, "- " * 50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = {r.doc_id: [tuple(x) for x in r.s] for r in df.select("doc_id", entities.token_spans(F.col("text")).alias("s")).collect()}
+    assert found == {i: [m.span() for m in re.finditer(r"[\w+.\-]+|\S", t or "")] for i, t in rows}
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    result = registry.queries()["token_spans"](spark, str(tmp_path))
+    assert result._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert sorted(map(tuple, result.collect())) == sorted(db.execute(registry.oracle_sql()["token_spans"]).fetchall())
+
+
 def test_html_diff(spark):
     assert "diff_add" in one(spark, commits.html_diff("a", "b"), a="x\ny", b="x\nz")
 
