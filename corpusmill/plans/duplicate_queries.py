@@ -115,7 +115,7 @@ def dedup_report(spark, sf):
 @query("graph_components", """WITH RECURSIVE e AS (SELECT o_custkey AS src, o_custkey // 3 AS dst FROM orders), b AS (SELECT src AS a, dst AS b FROM e WHERE src <> dst UNION SELECT dst, src FROM e WHERE src <> dst),
     r AS (SELECT a, min(b) AS b FROM b GROUP BY a), x AS (SELECT DISTINCT a FROM b) SELECT a AS id, 0::BIGINT AS component FROM x WHERE a >= 0 UNION SELECT src, src FROM e WHERE src = dst AND src NOT IN (SELECT a FROM b)""")
 def graph_components(spark, sf):
-    """Keys joined to a third of themselves form one tree with the root 0."""
+    """Keys joined to a third of themselves form one tree with the root 0, which the statement presumes, unless a key on the way is missing."""
     return connected_components(table(spark, sf, "orders").select(F.col("o_custkey").alias("src"), F.expr("o_custkey div 3").alias("dst")))
 
 

@@ -255,6 +255,12 @@ def test_components_of_a_long_path_take_few_rounds(spark, monkeypatch):
     assert rounds.count("pointers") < 20
 
 
+def test_missing_key_splits_the_tree(spark, tmp_path):
+    spark.createDataFrame([(k,) for k in range(1, 30) if k != 4], "o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    found = {r.id: r.component for r in registry.queries()["graph_components"](spark, str(tmp_path)).collect()}
+    assert found == {k: 4 if k in (4, 12, 13, 14) else 0 for k in range(30)}
+
+
 def test_signatures_equal_brute_force():
     draw = np.random.Generator(np.random.PCG64(1))
     for variant, kind in (("v1", np.uint64), ("v2", np.uint32)):
