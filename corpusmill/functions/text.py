@@ -24,18 +24,39 @@ def mean_line_length(text: Column) -> Column:
     return (F.char_length(text) - F.size(parts) + 1) / F.size(parts)
 
 
+#: Letters and numbers that Unicode 14 and 15 added, as hexadecimal ranges: older Java versions don't know them.
+NEW_LETTERS = (
+    "870-887 889-88E 8B5 8C8-8C9 C5D CDD 170D 171F 1B4C 2C2F 2C5F 9FFD-9FFF A7C0-A7C1 A7D0-A7D1 A7D3 A7D5-A7D9 A7F2-A7F4 "
+    "10570-1057A 1057C-1058A 1058C-10592 10594-10595 10597-105A1 105A3-105B1 105B3-105B9 105BB-105BC 10780-10785 10787-107B0 "
+    "107B2-107BA 10F70-10F81 11071-11072 11075 1123F-11240 11740-11746 11AB0-11ABF 11F02 11F04-11F10 11F12-11F33 12F90-12FF0 1342F "
+    "13441-13446 16A70-16ABE 1AFF0-1AFF3 1AFF5-1AFFB 1AFFD-1AFFE 1B11F-1B122 1B132 1B155 1DF00-1DF1E 1DF25-1DF2A 1E030-1E06D "
+    "1E290-1E2AD 1E4D0-1E4EB 1E7E0-1E7E6 1E7E8-1E7EB 1E7ED-1E7EE 1E7F0-1E7FE 2A6DE-2A6DF 2B735-2B739 31350-323AF"
+)
+NEW_NUMBERS = "11F50-11F59 16AC0-16AC9 1D2C0-1D2D3 1E4F0-1E4F9"
+
+
+def outside(known: str, added: str) -> str:
+    """A Java class of the characters that are neither of ``known`` nor in the ranges ``added``, which all lie from U+0870 on."""
+    ranges = "".join("-".join(f"\\x{{{x}}}" for x in r.split("-")) for r in added.split())
+    return f"[[^{known}]&&[\\x00-\\x{{86F}}[^{ranges}]]]"
+
+
+NO_LETTER = outside(r"\p{L}", NEW_LETTERS)
+NO_LETTER_OR_NUMBER = outside(r"\p{L}\p{N}", f"{NEW_LETTERS} {NEW_NUMBERS}")
+
+
 def count_class(text: Column, java_class: str) -> Column:
     """Characters outside the complement ``java_class``, such as ``[^\\p{L}]`` for letters."""
     return F.char_length(F.regexp_replace(text, java_class, ""))
 
 
 def alpha_count(text: Column) -> Column:
-    return count_class(text, r"[^\p{L}]")
+    return count_class(text, NO_LETTER)
 
 
 def alnum_fraction(text: Column) -> Column:
     """Share of letters and numbers; null for an empty text."""
-    return F.try_divide(count_class(text, r"[^\p{L}\p{N}]"), F.char_length(text))
+    return F.try_divide(count_class(text, NO_LETTER_OR_NUMBER), F.char_length(text))
 
 
 def word_tokens(text: Column, unicode: bool = False) -> Column:

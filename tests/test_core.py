@@ -159,6 +159,14 @@ def test_comment_ratio_of_empty_first_lines(spark, tmp_path):
     assert ours == theirs
 
 
+def test_filter_basic_of_odd_texts(spark, tmp_path):
+    rows = [None, "", "\n", "abc", "...a", "....a", "!!!\u0870", "!!\u05d0\u088f", "!!!\U00010570", "!!!\U00011f50", "!!!\u20ac", "a" * 1000, "a" * 1001, "b" * 100 + "\nb" * 101]
+    documents = spark.createDataFrame([(i, t, 8) for i, t in enumerate(rows)], "doc_id long, text string, n_chars long")
+    ours, theirs = against_statement(spark, "filter_basic", tmp_path, documents=documents)
+    assert ours == theirs
+    assert one(spark, tx.alpha_count(F.lit("a\u0870\U00010570\U00011f501 "))) == 3
+
+
 def test_sources_and_sinks(spark, tmp_path):
     df = spark.range(50).withColumn("lang", F.when(F.col("id") % 2 == 0, "a").otherwise("b"))
     assert io.partitioned_save(df, f"{tmp_path}/p", chunk=20, most=4, least=1) == 3
