@@ -59,7 +59,8 @@ def comments(ratio: str, low: float = 0.01, high: float = 0.8) -> Filter:
 def run_chain(df: DataFrame, filters: list[Filter], size: str) -> tuple[DataFrame, DataFrame]:
     """(kept rows, report). The report has for each filter the rows and ``size`` before and after it, and the percentages kept.
 
-    Flags are computed once; the report is one aggregation over their prefixes.
+    Flags are computed once; the report is one aggregation over their prefixes. A percentage of nothing is NaN; the first size is
+    null where no row has one.
     """
     flagged = df
     for i, f in enumerate(filters):
@@ -67,7 +68,8 @@ def run_chain(df: DataFrame, filters: list[Filter], size: str) -> tuple[DataFram
     passed = [F.lit(True)]
     for i in range(len(filters)):
         passed.append(passed[-1] & F.col(f"__f{i}"))
-    sums = [F.coalesce(F.sum(F.when(p, v)), F.lit(0)).alias(f"{n}{i}") for i, p in enumerate(passed) for n, v in (("c", F.lit(1)), ("b", F.col(size)))]
+    none = lambda i, n: F.lit(0 if i or n == "c" else None).cast("long")
+    sums = [F.coalesce(F.sum(F.when(p, v)), none(i, n)).alias(f"{n}{i}") for i, p in enumerate(passed) for n, v in (("c", F.lit(1)), ("b", F.col(size)))]
     steps = F.explode(
         F.array(
             *[
@@ -77,7 +79,8 @@ def run_chain(df: DataFrame, filters: list[Filter], size: str) -> tuple[DataFram
         )
     )
     report = flagged.agg(*sums).select(steps.alias("s")).select("s.*")
-    percent = lambda a, b: F.round(F.coalesce(F.try_divide(100.0 * F.col(a), F.col(b)), F.lit(0.0)), 2)
+    share = lambda a, b: F.when(F.col(b) == 0, float("nan")).otherwise(F.try_divide(100.0 * F.col(a), F.col(b)))
+    percent = lambda a, b: F.round(share(a, b) * 100) / 100
     report = report.withColumn("rows_percent", percent("rows_after", "rows_before")).withColumn("size_percent", percent("size_after", "size_before"))
     return flagged.where(passed[-1]).drop(*[f"__f{i}" for i in range(len(filters))]), report
 
