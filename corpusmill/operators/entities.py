@@ -33,7 +33,7 @@ TRIGGERS = {
 GOOD = {"PASSWORD": 1.0, "KEY": 1.0, "NAME": 0.7, "USERNAME": 0.7, "EMAIL": 0.9, "IP_ADDRESS": 1.0, "AMBIGUOUS": 1.0}
 BAD = {"PASSWORD": 0.0, "KEY": 0.0, "NAME": 0.6, "USERNAME": 0.61, "EMAIL": 0.0, "IP_ADDRESS": 0.0, "AMBIGUOUS": 0.0}
 TOKENS = "array<struct<start:int,end:int>>"
-#: Numbers from which a block of spans leaves its worker.
+#: Numbers from which a block of spans leaves its worker, and characters of a long text.
 SPAN_BLOCK = 1 << 20
 
 
@@ -53,14 +53,15 @@ def trimmed(entity: Column) -> Column:
 
 @lru_cache(maxsize=1)
 def combining_marks() -> str:
-    """All combining marks, of which Python's word characters have none."""
-    return "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c)[0] == "M")
+    """All combining marks, of which Python's word characters have none, as ranges of a pattern: single ones are slow there."""
+    marks = {c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c))[0] == "M"}
+    return "".join(f"{chr(c)}-{chr(d)}" for c, d in zip(sorted(c for c in marks if c - 1 not in marks), sorted(c for c in marks if c + 1 not in marks), strict=True))
 
 
 def token_spans(text: Column, pattern: str = r"[\w+.\-]+|\S") -> Column:
     """Spans (start, end) of runs of word characters, plus, dot and dash, and of single other characters that are no space.
 
-    Another ``pattern`` finds other tokens. Spans are held as two numbers each and leave by blocks of bounded size, or one
+    Another ``pattern``, without groups, finds other tokens. Spans are held as two numbers each and leave by blocks of bounded size, or one
     longer text. A filter on the result does not find the spans again.
     """
 
@@ -68,7 +69,14 @@ def token_spans(text: Column, pattern: str = r"[\w+.\-]+|\S") -> Column:
         import numpy as np
         import pyarrow as pa
 
-        find = re.compile(pattern).finditer
+        tokens = re.compile(f"({pattern})")
+
+        def found(text):
+            """Starts and ends in turn; a text is split, which is faster but holds its tokens, unless it is long."""
+            if len(text) > SPAN_BLOCK:
+                return (x for m in tokens.finditer(text) for x in m.span())
+            parts = tokens.split(text)
+            return array("i", np.cumsum(np.fromiter(map(len, parts), np.int32, len(parts)), dtype=np.int32)[:-1].tobytes())
 
         def block(ends, bounds):
             offsets, flat = np.frombuffer(ends, np.int32), np.frombuffer(bounds, np.int32)
@@ -78,8 +86,7 @@ def token_spans(text: Column, pattern: str = r"[\w+.\-]+|\S") -> Column:
         for texts in batches:
             ends, bounds = array("i", [0]), array("i")
             for t in texts:
-                for m in find(t.as_py() or ""):
-                    bounds.extend(m.span())
+                bounds.extend(found(t.as_py() or ""))
                 ends.append(len(bounds) // 2)
                 if len(bounds) > SPAN_BLOCK:
                     yield block(ends, bounds)

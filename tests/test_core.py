@@ -421,7 +421,7 @@ def test_shared_folder_is_asked_for_on_a_cluster():
 
 
 def test_token_spans_are_found_once_in_bounded_blocks(spark, monkeypatch, tmp_path):
-    monkeypatch.setattr(entities, "SPAN_BLOCK", 5)
+    monkeypatch.setattr(entities, "SPAN_BLOCK", 7)
     rows = [(1, "a_b+c. (d)"), (2, None), (3, "e\u0301x\u00a0y\n"), (4, ""), (5, "\u00e9" * 9), (6, " \t"), (7, "- " * 50)]
     df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     found = {r.doc_id: [tuple(x) for x in r.s] for r in df.select("doc_id", entities.token_spans(F.col("text")).alias("s")).collect()}
