@@ -8,6 +8,7 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -427,6 +428,51 @@ def test_lattice_sums_all_segmentations():
     assert np.allclose(lattice.score(words, lattice.weights(lattice.first)), [np.log(brute(b" " + w)) for w in words])
 
 
+def test_lattice_words_equal_the_pattern():
+    """Words come from Arrow a block at a time, as the pattern and lower-casing of A-Z give them."""
+    texts = [None, "", " \t\n", "a", " A\x0bb\x0cC\r\nd\te\x1cf\x85G\xa0h ", "ÀZ İ \x00 \u3000Z  a", *texts_of_words()]
+    for batch in (pa.array(texts, pa.string()), pa.array(["x", *texts], pa.string()).slice(1), pa.array([None, " "], pa.string()), pa.array([], pa.string())):
+        owner, codes, words = lattice_lm.lowered_words(batch)
+        found = [[] for _ in batch]
+        for i, code in zip(owner.tolist(), codes.tolist(), strict=True):
+            found[i].append(words[code].as_py())
+        want = [re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for t in batch.to_pylist()]
+        assert found == want and len(set(words.to_pylist())) == len(words)
+
+
+def texts_of_words():
+    return [t for t in texts() if len(t) < 2000]
+
+
+def test_lattice_sums_agree_with_logarithms(monkeypatch):
+    """Plain probabilities, which spare a logarithm an arc, give what sums of logarithms give; long words don't underflow."""
+    lattice = lattice_lm.lattice(public_tokenizers.path("piece_bpe_32k.model"))
+    weights = lattice.weights(lattice.first)
+    words = [b"x" * 400, *(w.encode() for t in texts_of_words() for w in t.lower().split())]
+    counts = np.arange(1, len(words) + 1)
+    plain, (uses, likelihood) = lattice.score(words, weights), lattice.expect(words, counts, weights)
+    monkeypatch.setattr(lattice_lm, "LEAST", 0.0)
+    again, (uses_again, likelihood_again) = lattice.score(words, weights), lattice.expect(words, counts, weights)
+    assert np.isfinite(plain).all() and np.allclose(plain, again, rtol=1e-10) and np.allclose(uses, uses_again, rtol=1e-8)
+    assert abs(likelihood - likelihood_again) < 1e-9 * abs(likelihood)
+
+
+def test_lattice_scores_words_of_held_out_documents(spark):
+    """A word that only held-out documents have is scored once, unknown to the base; frequent and rare words alike."""
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
+    rows = [(i, "unseen Unseen word" if held(i) else "word other") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in lattice_lm.score(docs, steps=1).collect()}
+    frequent, lattice_lm.FREQUENT = lattice_lm.FREQUENT, 1
+    try:
+        rare = {r.doc_id: r for r in lattice_lm.score(docs, steps=1).collect()}
+    finally:
+        lattice_lm.FREQUENT = frequent
+    for i, r in found.items():
+        assert r.held_out == held(i) and r.n_known == (2 if held(i) else 3)
+        assert tuple(r)[:5] == tuple(rare[i])[:5] and abs(r.base_score - rare[i].base_score) < 1e-9 and abs(r.score - rare[i].score) < 1e-9
+
+
 def test_near_classes(unique, rows, empty):
     found = sorted(map(tuple, near_dup.near_classes(unique).collect()))
     assert found == duck(rows[:-1], near_dup.ORACLE)
