@@ -82,11 +82,10 @@ class Bm25Shard:
 
     def scores(self, document: int) -> np.ndarray:
         """BM25 score of every document of the shard for the terms of one."""
-        found = np.zeros(self.n)
-        for term in self.queries[document]:
-            span = slice(self.first[term], self.last[term])
-            found[self.documents[span]] += self.weights[span]
-        return found
+        terms = self.queries[document]
+        first, df = self.first[terms], self.last[terms] - self.first[terms]
+        spans = np.repeat(first - np.cumsum(df) + df, df) + np.arange(df.sum())
+        return np.bincount(self.documents[spans], self.weights[spans], self.n)
 
 
 class Packer:

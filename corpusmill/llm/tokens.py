@@ -13,6 +13,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -27,6 +28,10 @@ LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ſ"
 SYMBOLS = "\x00\x03-\x08\x0e-\x1f!-/:-@\\[-`{-\x7f¡-©«-±´¶-¸»¿×÷‐-‧‰-⁞€"
 #: What ends a word, and what stands for a word that the library encodes, in the rank table of a vocabulary with word ends.
 WORD_END, ELSEWHERE = "\x01", "\x02"
+#: Bytes with which no character with that property begins.
+WORD_BYTES = ~np.isin(np.arange(256), [*b"\t\n\x0b\x0c\r ", *(c.encode()[0] for c in "\x85\xa0\u1680\u2000\u2028\u205f\u3000")])
+#: Characters whose chunks are encoded together.
+BLOCK = 8_000_000
 #: Stored ids: those of larger vocabularies take four bytes.
 NARROW, WIDE = np.dtype("<u2"), np.dtype("<u4")
 
@@ -55,7 +60,7 @@ class Encoder:
         special = {x["content"]: x["id"] for x in description["added_tokens"]}
         self.special = list(special)
         self.dtype = NARROW if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else WIDE
-        self.encode_text = self._library
+        self.encode_text, self.by_chunks = self._library, False
         model, splitter, normal = description["model"], description["pre_tokenizer"] or {}, description["normalizer"]
         if model["type"] != "BPE" or model.get("dropout") or not special:
             return
@@ -69,6 +74,10 @@ class Encoder:
         if splitter.get("type") == "ByteLevel" and splitter["use_regex"] and not splitter["add_prefix_space"] and not normal and not suffix:
             self.fast = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
             self.encode_text = lambda text: self.fast.encode_to_numpy(text, allowed_special="all")
+            self.by_chunks = not any(" " in s for s in special)
+            self.sizes = np.zeros(self.fast.n_vocab, np.int64)
+            for token, i in [*ranks.items(), *((s.encode(), i) for s, i in special.items())]:
+                self.sizes[i] = len(token)
         elif suffix and splitter.get("type") == "Sequence" and splitter["pretokenizers"][0].get("behavior") == "Removed" and normal and len(special) > 1:
             # lower case; white space is dropped, and no rule looks across it
             self.mark = special[self.special[0]]
@@ -128,6 +137,67 @@ class Encoder:
         none = np.empty(0, self.dtype)
         return [self.encode_text(t).astype(self.dtype) if t else none for t in texts]
 
+    def encode_array(self, texts, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts of an Arrow array, each followed by ``end``; where each text begins, and the end of all).
+
+        The byte-level splitter parts every text before a space that a character other than white space follows, whatever
+        stands around it, and no special string has a space. So each distinct chunk of the array is encoded once: those that begin
+        with such a space as one text, in which they are parted again.
+        """
+        import pyarrow as pa
+
+        dtype = np.promote_types(self.dtype, np.min_scalar_type(end)).newbyteorder("<")
+        if not self.by_chunks:
+            parts = [np.append(x, x.dtype.type(end)) for x in (y.astype(dtype) for y in self.encode_block(texts.to_pylist()))]
+            return np.concatenate([np.empty(0, dtype), *parts]), np.concatenate([[0], np.cumsum([len(x) for x in parts], dtype=np.int64)])
+        filled = texts.fill_null("").cast(pa.large_binary())
+        bounds = np.frombuffer(filled.buffers()[1], np.int64)[filled.offset : filled.offset + len(filled) + 1]
+        data = np.frombuffer(filled.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+        bounds = bounds - bounds[0]
+        cut = words_begin(data, bounds)
+        begin = np.flatnonzero(cut | starts(bounds, len(data)))
+        cuts = cut[begin]
+        ends = np.append(begin[1:], len(data))
+        chunks = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(np.append(begin, len(data)).astype(np.int64)), pa.py_buffer(data)]).dictionary_encode()
+        codes, distinct = chunks.indices.to_numpy(), chunks.dictionary
+        n = len(distinct)
+        joined = np.zeros(n, bool)
+        joined[codes[cuts]] = True
+        sizes = np.zeros(n, np.int64)
+        sizes[codes] = ends - begin
+        together = np.flatnonzero(joined)
+        ids = self.encode_text(str(distinct.take(pa.array(together)).buffers()[2].slice(0, sizes[together].sum()), "utf-8")) if len(together) else np.empty(0, self.dtype)
+        last = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum(sizes[together]), "right")
+        alone = np.flatnonzero(~joined)
+        singles = [self.encode_text(x.decode()) for x in distinct.take(pa.array(alone)).to_pylist()]
+        # the ids of all chunks, then the end's, and where those of each chunk begin
+        pool = np.concatenate([ids, *singles, [end]]).astype(dtype)
+        first, count = np.zeros(n + 1, np.int64), np.ones(n + 1, np.int64)
+        first[together], count[together] = np.append(0, last)[:-1], np.diff(last, prepend=0)
+        count[alone] = [len(x) for x in singles]
+        first[alone] = len(ids) + np.cumsum(count[alone]) - count[alone]
+        first[n] = len(pool) - 1
+        stops = np.searchsorted(begin, bounds[1:])
+        order = np.insert(codes.astype(np.int64), stops, n)
+        count = count[order]
+        total = np.cumsum(count)
+        flat = pool[np.repeat(first[order] - total + count, count) + np.arange(total[-1] if len(total) else 0)]
+        return flat, np.append(0, total[stops + np.arange(len(stops))])
+
+
+def starts(bounds: np.ndarray, size: int) -> np.ndarray:
+    """Whether a text begins at a byte."""
+    found = np.zeros(size + 1, bool)
+    found[bounds] = True
+    return found[:-1]
+
+
+def words_begin(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Whether a byte of UTF-8 texts, from one bound to the next, is a space that a character other than white space follows in its text."""
+    found = np.zeros(len(data), bool)
+    found[:-1] = (data[:-1] == 32) & WORD_BYTES[data[1:]] & ~starts(bounds, len(data))[1:]
+    return found
+
 
 @lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
@@ -152,11 +222,12 @@ def encoded_documents(docs: DataFrame, vocab: str, end_id: int, id_col: str, tex
         encode = encoder(vocabulary(vocab))
         narrow = encode.dtype.itemsize == 2 and end_id < 1 << 16
         stored = NARROW if narrow else WIDE
-        end = np.array([end_id], stored).tobytes()
-        for batch in released(text_blocks(batches)):
-            ids = [x.astype(stored).tobytes() + end for x in encode.encode_block(batch.column(1).to_pylist())]
-            salt = [zlib.crc32(x) for x in ids]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(salt, pa.int64()), pa.array([not narrow] * len(ids)), pa.array(ids, pa.binary())], ["id", "salt", "wide", "ids"])
+        for batch in released(text_blocks(batches, limit=BLOCK)):
+            flat, bounds = encode.encode_array(batch.column(1), end_id)
+            flat, bounds = memoryview(flat.astype(stored, copy=False)).cast("B"), bounds * stored.itemsize
+            salt = [zlib.crc32(flat[a:b]) for a, b in pairwise(bounds.tolist())]
+            ids = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(salt), [None, pa.py_buffer(bounds), pa.py_buffer(flat)]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(salt, pa.int64()), pa.array([not narrow] * len(salt)), ids], ["id", "salt", "wide", "ids"])
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, salt long, wide boolean, ids binary")
 

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from corpusmill.llm import binary_ids, bpe_sql, exact_dedup, html_text, lattice_lm, line_templates, near_dup, packing, quality, token_counts
+from corpusmill.llm import binary_ids, bpe_sql, exact_dedup, html_text, lattice_lm, line_templates, near_dup, packing, quality, token_counts, tokens
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, row string"
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
@@ -365,6 +365,21 @@ def test_sql_bpe_of_long_words():
     assert bpe.decode_block(ids) == [w.encode() for w in words]
 
 
+def test_chunks_of_texts_are_encoded_once(monkeypatch):
+    """Ids by distinct chunks are those of whole texts, whatever white space, special string or bound stands at a cut."""
+    bpe = tokens.encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    draw = random.Random(11)
+    parts = ["a", "b ", " ", "  ", "\n", "\t", "\xa0", "\u3000", "\u2003", "\x1c", "\x85", "é", "¿", "日", "’", "'s", *bpe.special, "1", " <", "½", "."]
+    odd = [None, "", " ", "  ", *texts()] + ["".join(draw.choice(parts) for _ in range(draw.randrange(1, 14))) for _ in range(3000)]
+    for batch in (pa.array(["skip", *odd], pa.string()).slice(1), pa.array([None, ""], pa.string()), pa.array([], pa.string())):
+        ids, bounds = bpe.encode_array(batch, 1)
+        assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [[*x.tolist(), 1] for x in bpe.encode_block(batch.to_pylist())]
+    seen, plain = [], bpe.encode_text
+    monkeypatch.setattr(bpe, "encode_text", lambda text: seen.append(text) or plain(text))
+    bpe.encode_array(pa.array(["the same words again and again"] * 500), 1)
+    assert sum(map(len, seen)) <= len("the same words again and again")
+
+
 def test_lattice_scores(docs, rows, empty):
     found = {r.doc_id: r for r in lattice_lm.score(docs, steps=2).collect()}
     tokens = [(i, re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) + [None]) for i, t, *_ in rows]
