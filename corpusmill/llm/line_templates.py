@@ -18,6 +18,8 @@ LEADING, DOCUMENTS, CONSTANT_SHARE = 2, 10, 0.5
 #: Tokens of a long line, and documents from which it recurs.
 LONG_TOKENS, LONG_DOCUMENTS = 20, 3
 VARIABLE = "<*>"
+#: Bytes of leading tokens that stand in a leaf's key as they are; a digest and its mark take 33.
+LEAF_BYTES = 32
 
 
 def _masked_lines(text: Column) -> Column:
@@ -45,24 +47,27 @@ def _key(*parts: Column) -> Column:
 
 
 def _leaf(masked: Column, size: Column, leading: int) -> Column:
-    return _key(size.cast("string"), F.substring_index(masked, " ", leading))
+    """The number of tokens and the leading tokens; the latter as a digest if they are long, which is longer than any that stand as they are."""
+    first = F.substring_index(masked, " ", leading)
+    return F.concat(size.cast("string"), F.lit("\n"), F.when(F.octet_length(first) <= LEAF_BYTES, first).otherwise(F.concat(F.lit("#"), F.md5(first.cast("binary")))))
 
 
 def _in_leaves(text: Column, leading: int) -> Column:
-    """Masked lines of a text that have a token, each once and with its leaf."""
+    """(text, n, leaf) of the masked lines of a text that have a token, each once; n is the number of tokens."""
     worded = F.filter(F.array_distinct(_masked_lines(text)), lambda t: F.trim(t) != "")
-    return F.transform(worded, lambda t: F.struct(t.alias("text"), _leaf(t, _size(t), leading).alias("leaf")))
+    sized = F.transform(worded, lambda t: F.struct(t.alias("text"), _size(t).alias("n")))
+    return F.transform(sized, lambda t: F.struct(t["text"].alias("text"), t["n"].alias("n"), _leaf(t["text"], t["n"], leading).alias("leaf")))
 
 
 def _digest(masked: Column) -> Column:
     return F.unhex(F.md5(masked.cast("binary")))
 
 
-def _constant_tokens(masked: Column) -> Column:
-    """Tokens of a masked line that are not variable."""
+def _constant_tokens(masked: Column, size: Column) -> Column:
+    """Tokens of a masked line of ``size`` tokens that are not variable; most lines have no variable one."""
     marked = F.concat(F.lit(" "), F.replace(masked, F.lit(" "), F.lit("  ")), F.lit(" "))
     rest = F.replace(marked, F.lit(f" {VARIABLE} "), F.lit(""))
-    return _size(masked) - ((F.octet_length(marked) - F.octet_length(rest)) / (len(VARIABLE) + 2)).cast("int")
+    return F.when(masked.contains(VARIABLE), size - ((F.octet_length(marked) - F.octet_length(rest)) / (len(VARIABLE) + 2)).cast("int")).otherwise(size)
 
 
 def _open(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
@@ -95,7 +100,7 @@ def drop_templates(
     """
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     row_key = F.xxhash64("id", "text")
-    digests = F.transform("lines", lambda x: F.struct(x["leaf"].alias("leaf"), _digest(x["text"]).alias("line"), _size(x["text"]).alias("n"), _constant_tokens(x["text"]).alias("c")))
+    digests = F.transform("lines", lambda x: F.struct(x["leaf"].alias("leaf"), _digest(x["text"]).alias("line"), x["n"].alias("n"), _constant_tokens(x["text"], x["n"]).alias("c")))
     lined = rows.select(row_key.alias("row"), _digest(F.col("text")).alias("identity"), _in_leaves(F.col("text"), leading).alias("lines"))
     table = materialize(lined.select(F.monotonically_increasing_id().alias("rid"), "row", "identity", digests.alias("lines")), "lines")
 
@@ -108,7 +113,7 @@ def drop_templates(
     leaves = single.select(F.explode(F.array_distinct("lines.leaf")).alias("leaf")).groupBy("leaf").count().where(F.col("count") >= documents).select("leaf")
     leaves = materialize(leaves, "leaves")
     lines = single.select("rid", F.explode("lines").alias("x")).select("rid", "x.*")
-    held = lines.groupBy("line").agg(F.count("*").alias("held"), F.first("leaf").alias("leaf"), F.first("n").alias("n"), F.first("c").alias("c"))
+    held = lines.groupBy("line").agg(F.count("*").alias("held"), F.first("n").alias("n"), F.first("c").alias("c"))
     held = materialize(held.where(F.col("held") >= min(documents, long_documents)), "held")
     full = held.where(F.col("held") >= documents).select("line")
     long = held.where((F.col("held") >= long_documents) & (F.col("n") >= long_tokens) & (F.col("c") >= constant_share * F.col("n"))).select("line")

@@ -365,6 +365,20 @@ def test_sql_bpe_of_long_words():
     assert bpe.decode_block(ids) == [w.encode() for w in words]
 
 
+def test_leaves_are_exact_and_bounded(spark):
+    """A line's tokens are counted once; its leaf is its number of tokens and its leading tokens, as a digest where they are long."""
+    lines = ["a", "a b", "a b c", "a b d", "a bc", "ab c", "a <*> c", "é" * 16, "é" * 17, "x" * 32, "x" * 33, "#" + hashlib.md5(b"x" * 33).hexdigest(), "x" * 5000 + " y", "x" * 5000 + " z", "2 b"]
+    found = spark.createDataFrame([("\n".join([*lines, "", lines[0]]),)], "text string").select(line_templates._in_leaves(F.col("text"), 2).alias("x")).first().x
+    masked = [" ".join("<*>" if re.search("[0-9]", t) else t for t in line.split(" ")) for line in lines]
+    assert [(r.text, r.n) for r in found] == [(m, len(m.split(" "))) for m in masked]
+    keys = [(len(m.split(" ")), *m.split(" ")[:2]) for m in masked]
+    assert all((r.leaf == q.leaf) == (a == b) for r, a in zip(found, keys, strict=True) for q, b in zip(found, keys, strict=True))
+    assert max(len(r.leaf.encode()) for r in found) <= 2 + 33
+    size = F.col("n")
+    constant = spark.createDataFrame([(m, len(m.split(" "))) for m in masked], "m string, n int").select("m", line_templates._constant_tokens(F.col("m"), size).alias("c")).collect()
+    assert [r.c for r in constant] == [sum(t != "<*>" for t in m.split(" ")) for m in masked]
+
+
 def test_chunks_of_texts_are_encoded_once(monkeypatch):
     """Ids by distinct chunks are those of whole texts, whatever white space, special string or bound stands at a cut."""
     bpe = tokens.encoder(public_tokenizers.path("byte_bpe_50k.json"))
