@@ -1,8 +1,9 @@
 """Byte-level BPE by recursive SQL: an in-process DuckDB in each partition contracts and decodes.
 
-A word's bytes are rows (word, position, token). A recursive query joins neighbouring tokens with the
-merge table and contracts every word's leftmost pair of least rank, once a round, until no word has a
-pair left. An ordered aggregation over (document, position) turns ids back into bytes.
+Words are cut where no token of the vocabulary stands across, so that merges never meet there. The bytes
+of a piece are rows (word, position, token). A recursive query joins neighbouring tokens with the merge
+table and contracts every piece's leftmost pair of least rank, once a round, until no piece has a pair
+left. An ordered aggregation over (document, position) turns ids back into bytes.
 """
 
 from __future__ import annotations
@@ -11,20 +12,23 @@ import base64
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import text_blocks
-from corpusmill.llm.tokens import vocabulary
+from corpusmill.llm.common import released, text_blocks
+from corpusmill.llm.tokens import BLOCK, binary_slices, distinct_chunks, expanded, vocabulary
 
-#: Words whose ids a worker remembers; a full memo is emptied.
-MEMO_WORDS = 350_000
+#: Pieces of words whose ids a worker remembers; a full memo is emptied.
+MEMO_PIECES = 350_000
+#: Bytes of words that are cut at once.
+WORD_BYTES = 4_000_000
 #: Rounds of one recursion, and symbol rows that its rounds may make (fewer for long words, whose query is wider); they bound DuckDB's memory.
 ROUNDS, ROUND_ROWS, LONG_ROWS = 48, 3_000_000, 600_000
 
-#: Bytes from which a word is first cut where no token can reach across, and contracted by all places of its least pair a round.
+#: Bytes from which a piece is contracted by all places of its least pair a round.
 LONG = 256
 #: Ids that one decoding query reads.
 DECODE_IDS = 1_000_000
@@ -85,7 +89,8 @@ SELECT word, pos, tok, last FROM steps JOIN (SELECT word, max(round) AS last FRO
 WHERE round = last ORDER BY word, pos
 """
 
-DECODE = "SELECT doc, from_hex(string_agg(letters, '' ORDER BY pos)) AS bytes FROM ids JOIN tokens USING (tok) GROUP BY doc"
+#: A byte is the character of its number; rows come sorted to the aggregate, which one thread does in their order.
+DECODE = "SELECT doc, string_agg(letters, '') AS letters FROM (SELECT doc, letters FROM ids JOIN tokens USING (tok) ORDER BY pos) GROUP BY doc"
 
 
 class SqlBpe:
@@ -104,12 +109,24 @@ class SqlBpe:
         self._register("merge_rows", dict(zip(("first", "second", "merged"), map(list, zip(*splits, strict=True)), strict=True)))
         self.db.execute("CREATE TABLE merges AS SELECT first::INT AS first, second::INT AS second, merged::INT AS merged FROM merge_rows")
         self.db.execute("CREATE TABLE early AS SELECT first, second FROM merges WHERE merged < greatest(first, second)")
-        self._register("token_rows", {"tok": list(ranks.values()), "letters": [t.hex() for t in ranks]})
+        self._register("token_rows", {"tok": list(ranks.values()), "letters": [t.decode("latin-1") for t in ranks]})
         self.db.execute("CREATE TABLE tokens AS SELECT tok::INT AS tok, letters FROM token_rows")
         self.db.unregister("merge_rows")
         self.db.unregister("token_rows")
-        self.memo: dict[str, bytes] = {}
-        self.prefixes: set[bytes] | None = None
+        self.memo: dict[bytes, bytes] = {}
+        self._plant()
+
+    def _plant(self) -> None:
+        """The vocabulary as a tree of bytes: what follows a node by a byte, and which token ends at a node, or -1."""
+        inner = {t[:i] for t in self.ranks for i in range(1, len(t))} | {bytes((b,)) for b in range(256)}
+        nodes = {t: i for i, t in enumerate(sorted(inner, key=lambda t: (len(t), t)))}
+        self.inner = len(nodes)
+        nodes |= {t: i for i, t in enumerate((t for t in self.ranks if t not in inner), len(nodes))}
+        self.child, self.token = np.zeros((self.inner, 256), np.int32), np.full(len(nodes), -1, np.int32)
+        for t, i in nodes.items():
+            self.token[i] = self.ranks.get(t, -1)
+            if len(t) > 1:
+                self.child[nodes[t[:-1]], t[-1]] = i
 
     def _register(self, name: str, columns: dict) -> None:
         import pyarrow as pa
@@ -122,34 +139,25 @@ class SqlBpe:
         self.db.unregister("symbols")
         return tuple(np.asarray(found[c]) for c in ("word", "pos", "tok", "last"))
 
-    def parts(self, word: bytes) -> list[bytes]:
-        """A word cut wherever no token of the vocabulary stands in it across the cut: merges never meet there."""
-        if self.prefixes is None:
-            self.prefixes = {t[:i] for t in self.ranks for i in range(2, len(t))}
-        cuts, reach = [0], 1
-        for i in range(len(word)):
-            if i >= reach:
-                cuts.append(i)
-                reach = i + 1
-            size = 2
-            while i + size <= len(word):
-                piece = word[i : i + size]
-                if piece in self.ranks:
-                    reach = max(reach, i + size)
-                if piece not in self.prefixes:
-                    break
-                size += 1
-        return [word[i:j] for i, j in zip(cuts, [*cuts[1:], len(word)], strict=True)]
-
-    def _encode_words(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of words that are no token themselves."""
-        cut = {i: self.parts(w) for i, w in enumerate(words) if len(w) >= LONG}
-        whole = [w for i, w in enumerate(words) if i not in cut]
-        pieces = sorted({p for parts in cut.values() for p in parts}, key=len)
-        short = [p for p in pieces if len(p) < LONG]
-        known = dict(zip([*whole, *short], self._merged([*whole, *short], CONTRACT), strict=True))
-        known |= zip(pieces[len(short) :], self._merged(pieces[len(short) :], CONTRACT_LONG), strict=True)
-        return [np.concatenate([known[p] for p in cut[i]]) if i in cut else known[w] for i, w in enumerate(words)]
+    def _reach(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(end, token) of the longest token that begins at each byte of words, from one bound to the next, and lies in its word."""
+        end, token = np.arange(1, len(data) + 1), self.token[data]
+        stop = np.repeat(bounds[1:], np.diff(bounds))
+        at, node, size = np.arange(len(data)), data.astype(np.int32), 1
+        while len(at):
+            open_ = (node < self.inner) & (at + size < stop[at])
+            at, node = at[open_], node[open_]
+            node = self.child[node, data[at + size]]
+            at, node, size = at[node > 0], node[node > 0], size + 1
+            found = self.token[node]
+            ends = found >= 0
+            end[at[ends]], token[at[ends]] = at[ends] + size, found[ends]
+        return end, token
+
+    def _encode_pieces(self, pieces: list[bytes]) -> None:
+        """Remembers the ids of pieces of words."""
+        for of, query in (([p for p in pieces if len(p) < LONG], CONTRACT), (sorted((p for p in pieces if len(p) >= LONG), key=len), CONTRACT_LONG)):
+            self.memo.update((p, ids.astype("<i4").tobytes()) for p, ids in zip(of, self._merged(of, query), strict=True))
 
     def _merged(self, words: list[bytes], query: str) -> list[np.ndarray]:
         """Ids of words by contraction from their bytes, in recursions whose rounds make a bounded number of rows."""
@@ -174,24 +182,61 @@ class SqlBpe:
             begin = end
         return found
 
-    def encode_block(self, texts: list[str | None]) -> list[np.ndarray]:
-        cut = [self.split(t) if t else [] for t in texts]
-        seen = set().union(*cut)
-        missing = [w for w in seen if w not in self.memo]
-        if len(self.memo) + len(missing) > MEMO_WORDS:
+    def _encode_words(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, where those of each word begin and the end of all) of words of bytes, from one bound to the next.
+
+        A word that is a token is its id, as in the library; others are cut wherever no token stands across.
+        """
+        import pyarrow as pa
+
+        end, token = self._reach(data, bounds)
+        known = end[bounds[:-1]] == bounds[1:]
+        known &= token[bounds[:-1]] >= 0
+        begin = np.flatnonzero(np.append(True, np.maximum.accumulate(end)[:-1] <= np.arange(1, len(data))))
+        first_piece = np.searchsorted(begin, bounds)
+        whole = np.zeros(len(begin), bool)
+        whole[first_piece[:-1][known]] = True
+        begin = begin[whole | ~np.repeat(known, np.diff(first_piece))]
+        first_piece = np.searchsorted(begin, bounds)
+        whole = np.repeat(known, np.diff(first_piece))
+        ends = np.append(begin[1:], len(data))
+        whole |= ends - begin == 1
+        first, count = token[begin].astype(np.int64), np.ones(len(begin), np.int64)
+        rest = np.flatnonzero(~whole)
+        pieces = binary_slices(data, begin).take(pa.array(rest)).dictionary_encode()
+        distinct = pieces.dictionary.to_pylist()
+        missing = [p for p in distinct if p not in self.memo]
+        if len(self.memo) + len(missing) > MEMO_PIECES:
             self.memo.clear()
-            missing = list(seen)
-        rest = []
-        for word in missing:
-            rank = self.ranks.get(word.encode())
-            if rank is None:
-                rest.append(word)
-            else:
-                self.memo[word] = np.int32(rank).tobytes()
-        if rest:
-            self.memo.update((w, ids.astype("<i4").tobytes()) for w, ids in zip(rest, self._encode_words([w.encode() for w in rest]), strict=True))
-        get = self.memo.__getitem__
-        return [np.frombuffer(b"".join(map(get, words)), "<i4") for words in cut]
+            missing = distinct
+        self._encode_pieces(missing)
+        found = list(map(self.memo.__getitem__, distinct))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        base = int(self.token.max()) + 1
+        codes = pieces.indices.to_numpy()
+        first[rest], count[rest] = base + (np.cumsum(sizes) - sizes)[codes], sizes[codes]
+        pool = np.concatenate([np.arange(base, dtype=np.int32), np.frombuffer(b"".join(found), "<i4")])
+        ids, at = expanded(pool, first, count)
+        return ids, at[first_piece]
+
+    def encode_block(self, texts) -> list[np.ndarray]:
+        """The ids of each text of a list or an Arrow array; each distinct chunk of them is split and encoded once."""
+        import pyarrow as pa
+
+        data, bounds, codes, stops = distinct_chunks(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+        if not len(data):
+            return [np.empty(0, np.int32)] * len(texts)
+        words = pa.array([w for text in data for w in self.split(text)], pa.large_string())
+        at = np.frombuffer(words.buffers()[1], np.int64)[: len(words) + 1]
+        letters, parts, begin = np.frombuffer(words.buffers()[2], np.uint8), [], 0
+        while begin < len(words):
+            stop = max(begin + 1, int(np.searchsorted(at, at[begin] + WORD_BYTES, "right")) - 1)
+            parts.append(self._encode_words(letters[at[begin] : at[stop]], at[begin : stop + 1] - at[begin]))
+            begin = stop
+        ids = np.concatenate([x for x, _ in parts])
+        first = np.append(0, np.cumsum(np.concatenate([np.diff(x) for _, x in parts])))[np.searchsorted(at, bounds)]
+        flat, at = expanded(ids, first[:-1][codes], np.diff(first)[codes])
+        return [flat[a:b] for a, b in pairwise(at[stops].tolist())]
 
     def decode_block(self, ids: list[np.ndarray]) -> list[bytes]:
         """The bytes of each document's ids, by ordered aggregation over at most DECODE_IDS ids a query."""
@@ -204,8 +249,8 @@ class SqlBpe:
         for start in range(0, len(flat), DECODE_IDS):
             span = slice(start, start + DECODE_IDS)
             self._register("ids", {"doc": doc[span], "pos": pos[span], "tok": flat[span]})
-            for i, text in self.db.execute(DECODE).fetchall():
-                found[i] += text
+            for i, letters in self.db.execute(DECODE).fetchall():
+                found[i] += letters.encode("latin-1")
             self.db.unregister("ids")
         return found
 
@@ -220,7 +265,7 @@ def encode_and_decode(docs: DataFrame, vocab: str = "byte_bpe_multi_50k.tiktoken
 
     Digests are of the ids as little-endian unsigned 32-bit integers and of the decoded bytes. Nothing is
     shuffled. Null texts count as empty and have no id, null document ids pass through, repeated rows
-    are encoded each, long words are cut where no token can reach and contracted in steps of bounded memory, an empty
+    are encoded each, long words are contracted in steps of bounded memory, an empty
     table gives no row.
     """
 
@@ -229,8 +274,8 @@ def encode_and_decode(docs: DataFrame, vocab: str = "byte_bpe_multi_50k.tiktoken
         import pyarrow as pa
 
         bpe = sql_bpe(vocabulary(vocab), public_tokenizers.PATTERN)
-        for batch in text_blocks(batches):
-            ids = bpe.encode_block(batch.column(1).to_pylist())
+        for batch in released(text_blocks(batches, limit=BLOCK)):
+            ids = bpe.encode_block(batch.column(1))
             texts = bpe.decode_block(ids)
             raw = [x.astype("<u4").tobytes() for x in ids]
             digest = lambda x: hashlib.sha256(x).hexdigest()

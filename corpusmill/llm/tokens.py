@@ -185,6 +185,55 @@ class Encoder:
         return flat, np.append(0, total[stops + np.arange(len(stops))])
 
 
+def distinct_chunks(texts) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct chunks of the texts of an Arrow array, cut before every space that a character other than white space follows.
+
+    Returns texts to split, in which chunks are parted again (those that begin with such a space as one text, then each other);
+    where the bytes of each chunk begin in them, and the end of all; the chunks of all texts, by number; how many come before
+    each text, and of all.
+    """
+    import pyarrow as pa
+
+    data, bounds = flat_bytes(texts)
+    cut = words_begin(data, bounds)
+    begin = np.flatnonzero(cut | starts(bounds, len(data)))
+    chunks = binary_slices(data, begin).dictionary_encode()
+    codes, distinct = chunks.indices.to_numpy(), chunks.dictionary
+    joined = np.zeros(len(distinct), bool)
+    joined[codes[cut[begin]]] = True
+    together, alone = np.flatnonzero(joined), np.flatnonzero(~joined)
+    first = distinct.take(pa.array(together))
+    rest = distinct.take(pa.array(alone)).to_pylist()
+    text, ends = flat_bytes(first)
+    place = np.empty(len(distinct), np.int64)
+    place[together], place[alone] = np.arange(len(together)), len(together) + np.arange(len(alone))
+    at = np.append(ends, ends[-1] + np.cumsum([len(x) for x in rest], dtype=np.int64))
+    return [x.decode() for x in [text.tobytes(), *rest] if x], at, place[codes], np.searchsorted(begin, bounds)
+
+
+def flat_bytes(texts) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all texts of an Arrow array, where each begins and the end of all); null counts as empty."""
+    import pyarrow as pa
+
+    filled = texts.cast(pa.large_binary()).fill_null(b"")
+    bounds = np.frombuffer(filled.buffers()[1], np.int64)[filled.offset : filled.offset + len(filled) + 1] if len(filled) else np.zeros(1, np.int64)
+    return np.frombuffer(filled.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]], bounds - bounds[0]
+
+
+def binary_slices(data: np.ndarray, begin: np.ndarray):
+    """The bytes from each place to the next, the last to the end, as an Arrow array without copies."""
+    import pyarrow as pa
+
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(np.append(begin, len(data)).astype(np.int64)), pa.py_buffer(data)])
+
+
+def expanded(pool: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the ranges of ``pool`` one after another, where each begins and the end of all)."""
+    total = np.cumsum(count)
+    flat = pool[np.repeat(first - total + count, count) + np.arange(total[-1] if len(total) else 0)]
+    return flat, np.append(0, total)
+
+
 def starts(bounds: np.ndarray, size: int) -> np.ndarray:
     """Whether a text begins at a byte."""
     found = np.zeros(size + 1, bool)

@@ -365,6 +365,36 @@ def test_sql_bpe_of_long_words():
     assert bpe.decode_block(ids) == [w.encode() for w in words]
 
 
+def test_sql_bpe_by_pieces(monkeypatch):
+    """Ids are the library's whatever stands at the cuts of chunks and pieces; decoding follows positions."""
+    import tiktoken
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    bpe, draw = bpe_sql.SqlBpe(path, public_tokenizers.PATTERN), random.Random(12)
+    lib = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.ranks, special_tokens={})
+    parts = ["a", "b ", " ", "  ", "\n", "\t", "\xa0", "\u3000", "\u2003", "\x1c", "\x85", "\0", "é", "¿", "日", "’", "'s", "<|endoftext|>", "12", " <", "½", ".", "zqj", "ththe", " queesastado"]
+    odd = [None, "", " ", "  ", *texts()] + ["".join(draw.choice(parts) for _ in range(draw.randrange(1, 14))) for _ in range(3000)]
+    for batch, together in ((odd, 4_000_000), (odd, 100), (pa.array(["skip", *odd], pa.string()).slice(1), 1000), ([None, ""], 1), ([], 1)):
+        monkeypatch.setattr(bpe_sql, "WORD_BYTES", together)
+        ids = bpe.encode_block(batch)
+        plain = batch if isinstance(batch, list) else batch.to_pylist()
+        assert [x.tolist() for x in ids] == [lib.encode_ordinary(t or "") for t in plain]
+        assert bpe.decode_block(ids) == [(t or "").encode() for t in plain]
+    order = list(range(len(ids := lib.encode_ordinary(text := "an ordered aggregation, " * 500))))
+    draw.shuffle(order)
+    bpe._register("ids", {"doc": [0] * len(ids), "pos": order, "tok": [ids[i] for i in order]})
+    assert bpe.db.execute(bpe_sql.DECODE).fetchall() == [(0, text)]
+
+
+def test_sql_bpe_contracts_a_piece_once(monkeypatch):
+    """No token stands across the parts of these words, so they are not contracted again for each word."""
+    bpe, draw = bpe_sql.SqlBpe(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN), random.Random(13)
+    made, merged = [], bpe._merged
+    monkeypatch.setattr(bpe, "_merged", lambda words, query: made.extend(words) or merged(words, query))
+    bpe.encode_block([" " + "".join(draw.choice(["xqz", "zqj", "jqx", "qjz"]) for _ in range(8)) for _ in range(2000)])
+    assert len(made) == len(set(made)) and sum(map(len, made)) < 5000
+
+
 def test_leaves_are_exact_and_bounded(spark):
     """A line's tokens are counted once; its leaf is its number of tokens and its leading tokens, as a digest where they are long."""
     lines = ["a", "a b", "a b c", "a b d", "a bc", "ab c", "a <*> c", "é" * 16, "é" * 17, "x" * 32, "x" * 33, "#" + hashlib.md5(b"x" * 33).hexdigest(), "x" * 5000 + " y", "x" * 5000 + " z", "2 b"]
