@@ -30,6 +30,8 @@ SYMBOLS = "\x00\x03-\x08\x0e-\x1f!-/:-@\\[-`{-\x7f¡-©«-±´¶-¸»¿×÷‐-
 WORD_END, ELSEWHERE = "\x01", "\x02"
 #: Bytes with which no character with that property begins.
 WORD_BYTES = ~np.isin(np.arange(256), [*b"\t\n\x0b\x0c\r ", *(c.encode()[0] for c in "\x85\xa0\u1680\u2000\u2028\u205f\u3000")])
+#: Space and U+0009 to U+000D.
+DROPPED_BYTES = np.isin(np.arange(256), list(b"\t\n\x0b\x0c\r "))
 #: Characters whose chunks are encoded together.
 BLOCK = 8_000_000
 #: Stored ids: those of larger vocabularies take four bytes.
@@ -60,7 +62,7 @@ class Encoder:
         special = {x["content"]: x["id"] for x in description["added_tokens"]}
         self.special = list(special)
         self.dtype = NARROW if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else WIDE
-        self.encode_text, self.by_chunks = self._library, False
+        self.encode_text, self.chunks = self._library, None
         model, splitter, normal = description["model"], description["pre_tokenizer"] or {}, description["normalizer"]
         if model["type"] != "BPE" or model.get("dropout") or not special:
             return
@@ -74,7 +76,7 @@ class Encoder:
         if splitter.get("type") == "ByteLevel" and splitter["use_regex"] and not splitter["add_prefix_space"] and not normal and not suffix:
             self.fast = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
             self.encode_text = lambda text: self.fast.encode_to_numpy(text, allowed_special="all")
-            self.by_chunks = not any(" " in s for s in special)
+            self.chunks = None if any(" " in s for s in special) else self._byte_chunks
             self.sizes = np.zeros(self.fast.n_vocab, np.int64)
             for token, i in [*ranks.items(), *((s.encode(), i) for s, i in special.items())]:
                 self.sizes[i] = len(token)
@@ -87,6 +89,10 @@ class Encoder:
             self.pieces = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[{SYMBOLS}]+").findall
             self.words = re.compile("[^ \t-\r]+").findall
             self.encode_text = self._words
+            self.chunks = None if any(re.search("[ \t-\r]", s) for s in special) else self._word_chunks
+            self.sizes = np.zeros(self.fast.n_vocab, np.int64)
+            for token, i in ranks.items():
+                self.sizes[i] = len(token.removesuffix(WORD_END.encode()))
 
     def _ranks(self, model: dict, special: dict[str, int], suffix: str) -> dict[bytes, int] | None:
         """Ids by the bytes of their tokens (a word's end as WORD_END), or none if ids don't give the order of the merges
@@ -140,49 +146,60 @@ class Encoder:
     def encode_array(self, texts, end: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts of an Arrow array, each followed by ``end``; where each text begins, and the end of all).
 
-        The byte-level splitter parts every text before a space that a character other than white space follows, whatever
-        stands around it, and no special string has a space. So each distinct chunk of the array is encoded once: those that begin
-        with such a space as one text, in which they are parted again.
+        Each distinct chunk of the array is encoded once, where the vocabulary has chunks.
         """
-        import pyarrow as pa
-
         dtype = np.promote_types(self.dtype, np.min_scalar_type(end)).newbyteorder("<")
-        if not self.by_chunks:
+        if not self.chunks:
             parts = [np.append(x, x.dtype.type(end)) for x in (y.astype(dtype) for y in self.encode_block(texts.to_pylist()))]
             return np.concatenate([np.empty(0, dtype), *parts]), np.concatenate([[0], np.cumsum([len(x) for x in parts], dtype=np.int64)])
-        filled = texts.fill_null("").cast(pa.large_binary())
-        bounds = np.frombuffer(filled.buffers()[1], np.int64)[filled.offset : filled.offset + len(filled) + 1]
-        data = np.frombuffer(filled.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
-        bounds = bounds - bounds[0]
-        cut = words_begin(data, bounds)
-        begin = np.flatnonzero(cut | starts(bounds, len(data)))
-        cuts = cut[begin]
-        ends = np.append(begin[1:], len(data))
-        chunks = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(np.append(begin, len(data)).astype(np.int64)), pa.py_buffer(data)]).dictionary_encode()
-        codes, distinct = chunks.indices.to_numpy(), chunks.dictionary
-        n = len(distinct)
-        joined = np.zeros(n, bool)
-        joined[codes[cuts]] = True
-        sizes = np.zeros(n, np.int64)
-        sizes[codes] = ends - begin
-        together = np.flatnonzero(joined)
-        ids = self.encode_text(str(distinct.take(pa.array(together)).buffers()[2].slice(0, sizes[together].sum()), "utf-8")) if len(together) else np.empty(0, self.dtype)
-        last = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum(sizes[together]), "right")
-        alone = np.flatnonzero(~joined)
-        singles = [self.encode_text(x.decode()) for x in distinct.take(pa.array(alone)).to_pylist()]
-        # the ids of all chunks, then the end's, and where those of each chunk begin
-        pool = np.concatenate([ids, *singles, [end]]).astype(dtype)
-        first, count = np.zeros(n + 1, np.int64), np.ones(n + 1, np.int64)
-        first[together], count[together] = np.append(0, last)[:-1], np.diff(last, prepend=0)
-        count[alone] = [len(x) for x in singles]
-        first[alone] = len(ids) + np.cumsum(count[alone]) - count[alone]
-        first[n] = len(pool) - 1
-        stops = np.searchsorted(begin, bounds[1:])
-        order = np.insert(codes.astype(np.int64), stops, n)
-        count = count[order]
-        total = np.cumsum(count)
-        flat = pool[np.repeat(first[order] - total + count, count) + np.arange(total[-1] if len(total) else 0)]
-        return flat, np.append(0, total[stops + np.arange(len(stops))])
+        pool, count, codes, stops = self.chunks(texts)
+        n = len(count)
+        pool, count = np.append(pool, end).astype(dtype), np.append(count, 1)
+        order = np.insert(codes.astype(np.int64), stops[1:], n)
+        flat, at = expanded(pool, (np.cumsum(count) - count)[order], count[order])
+        return flat, at[stops + np.arange(len(stops))]
+
+    def _byte_chunks(self, texts) -> tuple[np.ndarray, ...]:
+        """(ids of the distinct chunks one after another, how many of each, the chunks of all texts by number, how many before each text and of all).
+
+        The byte-level splitter parts every text before a space that a character other than white space follows, whatever
+        stands around it, and no special string has a space. So the chunks that begin with such a space are encoded as one
+        text, in which they are parted again.
+        """
+        joined, bounds, codes, stops = distinct_chunks(texts)
+        ids = np.concatenate([np.empty(0, self.dtype), *map(self.encode_text, joined)])
+        last = np.searchsorted(np.cumsum(self.sizes[ids]), bounds[1:], "right")
+        return ids, np.diff(last, prepend=0), codes, stops
+
+    def _word_chunks(self, texts) -> tuple[np.ndarray, ...]:
+        """The same of a vocabulary with word ends: chunks are what stands between white space, which is dropped; neither a rule
+        nor a special string reaches across. Lower case keeps the number of bytes of what ``safe`` lets through."""
+        import pyarrow as pa
+
+        data, bounds = flat_bytes(texts)
+        inside = ~DROPPED_BYTES[data]
+        first = inside & (starts(bounds, len(data)) | np.append(True, ~inside[:-1])[: len(data)])
+        chunks = binary_slices(data[inside], np.flatnonzero(first[inside])).dictionary_encode()
+        codes, distinct = chunks.indices.to_numpy(), chunks.dictionary.cast(pa.large_string()).to_pylist()
+        safe = np.fromiter((self.safe(x) is not None for x in distinct), bool, len(distinct))
+        joined = " ".join([x for x, own in zip(distinct, safe, strict=True) if own])
+        if any(s in joined for s in self.special):
+            safe &= np.fromiter((not any(s in x for s in self.special) for x in distinct), bool, len(distinct))
+            joined = " ".join([x for x, own in zip(distinct, safe, strict=True) if own])
+        found = self.pieces(joined.lower())
+        ids = self.fast.encode_to_numpy(WORD_END.join(found) + WORD_END) if found else np.empty(0, self.dtype)
+        sizes = flat_bytes(chunks.dictionary)[1]
+        last = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum(np.diff(sizes)[safe]), "right")
+        count = np.empty(len(distinct), np.int64)
+        count[safe] = np.diff(last, prepend=0)
+        elsewhere = [x.ids for x in self.tokenizer.encode_batch_fast([x for x, own in zip(distinct, safe, strict=True) if not own], add_special_tokens=False)]
+        count[~safe] = [len(x) for x in elsewhere]
+        # the safe ones' ids stand first
+        place = np.empty(len(distinct), np.int64)
+        place[np.argsort(~safe, kind="stable")] = np.arange(len(distinct))
+        pool = np.concatenate([ids, *(np.asarray(x, self.dtype) for x in elsewhere)]).astype(self.dtype)
+        stops = np.searchsorted(np.flatnonzero(first), bounds)
+        return pool, np.concatenate([count[safe], count[~safe]]), place[codes], stops
 
 
 def distinct_chunks(texts) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:

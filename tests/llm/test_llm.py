@@ -424,6 +424,20 @@ def test_chunks_of_texts_are_encoded_once(monkeypatch):
     assert sum(map(len, seen)) <= len("the same words again and again")
 
 
+def test_words_of_texts_are_encoded_once(monkeypatch):
+    """Ids by distinct words are the library's, whatever white space, special string, letter or bound stands around them."""
+    bpe, lib, draw = tokens.encoder(public_tokenizers.path("word_bpe_49k.json")), library("word_bpe_49k.json"), random.Random(14)
+    parts = ["a", "B ", " ", "  ", "\n", "\t", "\x0b", "\xa0", "\u3000", "\x1c", "\x85", "\0", "\x01", "\x02", "É", "e\u0301", "\u0301", "İ", "Σ", "ΑΣ ", "ſ", "¿", "日", "’", "'s", "'", "LL", *bpe.special, "<|", "endoftext|>", "12", "½", "!!", "Å"]
+    odd = [None, "", " ", "  ", *texts()] + ["".join(draw.choice(parts) for _ in range(draw.randrange(1, 14))) for _ in range(3000)]
+    for batch in (pa.array(["skip", *odd], pa.string()).slice(1), pa.array([None, "", " "], pa.string()), pa.array([], pa.string())):
+        ids, bounds = bpe.encode_array(batch, 1)
+        assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [[*lib.encode(t or "", add_special_tokens=False).ids, 1] for t in batch.to_pylist()]
+    seen, plain = [], bpe.pieces
+    monkeypatch.setattr(bpe, "pieces", lambda text: seen.append(text) or plain(text))
+    bpe.encode_array(pa.array(["the same words again and again"] * 500), 1)
+    assert sum(map(len, seen)) <= len("the same words again and again")
+
+
 def test_lattice_scores(docs, rows, empty):
     found = {r.doc_id: r for r in lattice_lm.score(docs, steps=2).collect()}
     tokens = [(i, re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) + [None]) for i, t, *_ in rows]
